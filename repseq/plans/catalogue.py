@@ -1,0 +1,14 @@
+"""Every query on the driver's tables, with its SQL."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raise NotImplementedError
