@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from repseq.llm import mixing, sharding
+from repseq.llm import decontamination, mixing, quality_rules, sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_decontamination": decontamination.op2_decontamination,
     "op7_sharding": sharding.op7_sharding,
+    "op8_simhash": simhash.op8_simhash,
+    "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_mixing": mixing.op10_mixing,
 }
 
