@@ -6,14 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from repseq.llm import decontamination, mixing, quality_rules, sharding, simhash
+from repseq.llm import decontamination, language_id, mixing, quality_classifier, quality_rules, sharding, simhash, token_files, toxicity, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_classifier": quality_classifier.op1_quality_classifier,
     "op2_decontamination": decontamination.op2_decontamination,
+    "op3_url_filters": url_filters.op3_url_filters,
+    "op4_toxicity": toxicity.op4_toxicity,
+    "op5_language_id": language_id.op5_language_id,
+    "op6_token_files": token_files.op6_token_files,
     "op7_sharding": sharding.op7_sharding,
     "op8_simhash": simhash.op8_simhash,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_mixing": mixing.op10_mixing,
 }
 
-ORACLES: dict[str, str] = {"op10_mixing": mixing.ORACLE}
+ORACLES: dict[str, str] = {"op3_url_filters": url_filters.ORACLE, "op10_mixing": mixing.ORACLE}
