@@ -50,11 +50,10 @@ def active_entries(captures: DataFrame, intervals: DataFrame) -> DataFrame:
     given = captures.drop("host", "n_entries", "categories")
     given = given.withColumn("host", host_of(F.col("url")))
     asked = given.where("host <> '' AND fetched_on IS NOT NULL").select("host", F.col("fetched_on").alias("day")).distinct()
-    horizon = asked.agg(F.max("day").alias("horizon"))
+    horizon = F.lit(given.agg(F.max("fetched_on")).first()[0]).cast("date")
     month = lambda c: F.trunc(c, "month")
-    until = F.least(F.coalesce(F.date_sub("valid_to", 1), F.col("horizon")), F.col("horizon"))
-    listed = intervals.join(F.broadcast(horizon)).where(F.col("valid_from") <= until)  # one row
-    listed = listed.select("key", "category", "valid_from", "valid_to", F.explode(F.sequence(month(F.col("valid_from")), month(until), F.expr("INTERVAL 1 MONTH"))).alias("month"))
+    until = F.least(F.coalesce(F.date_sub("valid_to", 1), horizon), horizon)
+    listed = intervals.where((F.col("valid_from") <= until) & horizon.isNotNull()).select("key", "category", "valid_from", "valid_to", F.explode(F.sequence(month(F.col("valid_from")), month(until), F.expr("INTERVAL 1 MONTH"))).alias("month"))
     keyed = asked.select("host", "day", month(F.col("day")).alias("month"), F.explode(host_keys(F.col("host"))).alias("key"))
     hits = keyed.join(listed, ["key", "month"]).where("day >= valid_from AND (valid_to IS NULL OR day < valid_to)")
     found = hits.groupBy("host", "day").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_set("category")), ",").alias("of"))
