@@ -126,22 +126,36 @@ def levenshtein_to(one: str, others: list[str]) -> np.ndarray:
 ALIGNED = "struct<a:string,b:string,start_a:int,start_b:int,score:int>"
 
 
-def _column(a: Column, b: Column, kind: str, of) -> Column:
+def udf_of(kind: str, of):
+    """A vectorised function of two strings; each different pair of a batch is aligned once, null gives null."""
+
+    def rows_of(left: pd.Series, right: pd.Series) -> list:
+        known: dict = {}
+        for p, q in zip(left, right, strict=True):
+            if (p, q) not in known:
+                known[p, q] = None if p is None or q is None else of(p, q)
+        return [known[p, q] for p, q in zip(left, right, strict=True)]
+
+    if kind != ALIGNED:
+
+        @F.pandas_udf(kind)
+        def numbers(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+            for left, right in batches:
+                yield pd.Series(rows_of(left, right), dtype="Int32")
+
+        return numbers
+
     @F.pandas_udf(kind)
-    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series | pd.DataFrame]:
+    def structs(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        names = ["a", "b", "start_a", "start_b", "score"]
         for left, right in batches:
-            known: dict = {}
-            rows = []
-            for p, q in zip(left, right, strict=True):
-                if (p, q) not in known:
-                    known[p, q] = None if p is None or q is None else of(p, q)
-                rows.append(known[p, q])
-            if kind.startswith("struct"):
-                yield pd.DataFrame([vars(r) if r else dict.fromkeys(("a", "b", "start_a", "start_b", "score")) for r in rows], columns=["a", "b", "start_a", "start_b", "score"])
-            else:
-                yield pd.Series(rows, dtype="Int32")
-
-    return run(a, b)
+            yield pd.DataFrame([vars(r) if r else dict.fromkeys(names) for r in rows_of(left, right)], columns=names)
+
+    return structs
+
+
+def _column(a: Column, b: Column, kind: str, of) -> Column:
+    return udf_of(kind, of)(a, b)
 
 
 def local_align(a: Column, b: Column) -> Column:

@@ -74,8 +74,8 @@ def scan(seq: Column, motif: str) -> Column:
 # --- any scores ---------------------------------------------------------------------
 
 
-def codon_graph(motif: str) -> tuple[list[str], list[list[int]]]:
-    """Nodes in topological order (letter, and numbers of the nodes before it): node 0 is the root, each residue a trie of its codons, whose last bases all lead on to the next residue."""
+def codon_graph(motif: str) -> tuple[list[str], list[list[int]], list[int]]:
+    """Nodes in topological order (letter, and numbers of the nodes before it), and those that end the motif: node 0 is the root, each residue a trie of its codons, whose last bases all lead on to the next residue."""
     letters, before = [""], [[]]
     ends = [0]
     for residues in parse(motif):
@@ -89,7 +89,7 @@ def codon_graph(motif: str) -> tuple[list[str], list[list[int]]]:
                     before.append(list(ends) if k == 1 else [tree[codon[: k - 1]]])
             last.append(tree[codon])
         ends = last
-    return letters, before
+    return letters, before, ends
 
 
 def align_hits(seq: str, motif: str, threshold: int, match: int = MATCH, mismatch: int = MISMATCH, insert: int = INDEL, delete: int = INDEL) -> list[tuple[int, int, int]]:
@@ -97,10 +97,11 @@ def align_hits(seq: str, motif: str, threshold: int, match: int = MATCH, mismatc
 
     A cell is the best of zero, a diagonal step, a skipped graph base (``delete``) and an
     extra read base (``insert``), in that order among equals. A cell at the threshold is
-    a candidate; it takes the place of the one before it on its path unless that one is better. Candidates are listed by
-    node, then place; of neighbours in the list with one begin the first best stays.
+    a candidate; it takes the place of the one before it on its path unless that one is better. The ends of the motif
+    count as one node, with the best of them at each place. Candidates are listed by node, then
+    place; of neighbours in the list with one begin the first best stays.
     """
-    letters, before = codon_graph(motif)
+    letters, before, ends = codon_graph(motif)
     n, m = len(letters), len(seq)
     score = np.zeros((n, m + 1), np.int64)
     back: dict[tuple[int, int], tuple[int, int]] = {}
@@ -125,8 +126,13 @@ def align_hits(seq: str, motif: str, threshold: int, match: int = MATCH, mismatc
                 kept[v, j] = True
                 if source in kept and score[source] <= best:
                     kept[source] = False
+    final: dict[int, int] = {}
+    for v, j in sorted(c for c, k in kept.items() if k and c[0] in ends):
+        if j not in final or score[v, j] > score[final[j], j]:
+            final[j] = v
+    inner = sorted(c for c, k in kept.items() if k and c[0] not in ends)
     hits = []
-    for v, j in sorted(c for c, k in kept.items() if k):
+    for v, j in [*inner, *((final[j], j) for j in sorted(final))]:
         at = (v, j)
         while back[at] in back:
             at = back[at]

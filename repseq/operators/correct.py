@@ -12,6 +12,7 @@ from repseq.functions.align import align_global, differing_columns
 from repseq.functions.dna import kmers
 from repseq.operators import consensus as C
 from repseq.operators.cluster import graph_cluster, hierarchical_cluster
+from repseq.operators.shared import materialise
 
 TRUSTED_K = 11
 
@@ -109,12 +110,12 @@ def correct_reads(members: DataFrame, threshold: int = 2, cutoff: float = 4.0, c
     reads the side with more trusted k-mers; trusted are those of the sample's pluralities of
     more than two reads. Pairs are few and look up only their own k-mers.
     """
-    members = members.groupBy("sample", "cluster", "seq").agg(F.sum("qty").cast("long").alias("qty"))
+    members = materialise(members.groupBy("sample", "cluster", "seq").agg(F.sum("qty").cast("long").alias("qty")))
     scope = F.concat_ws("\x1f", "sample", "cluster")
     parted = graph_cluster(members.withColumn("scope", scope), threshold, "scope").withColumnRenamed("cluster", "pre")
-    pre = members.withColumn("scope", scope).join(parted, ["scope", "seq"])
+    pre = materialise(members.withColumn("scope", scope).join(parted, ["scope", "seq"]))
     fine = hierarchical_cluster(pre.select("sample", "cluster", "pre", "seq", "qty"), cutoff, ("sample", "cluster", "pre"))
-    made = C.consensus_clusters(fine, ["sample", "cluster", "part"])
+    made = materialise(C.consensus_clusters(materialise(fine), ["sample", "cluster", "part"]))
     pairs = made.where("kind = 'pair'")
     trusted = trusted_kmers(made.where("kind = 'plurality'"))
     asked = pairs.select("sample", "cluster", "part", "a", "b", F.explode(F.array_union(kmers(F.col("a"), TRUSTED_K), kmers(F.col("b"), TRUSTED_K))).alias("kmer"))
