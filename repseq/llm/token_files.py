@@ -8,10 +8,10 @@ import uuid
 import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import pyarrow.fs
 import public_tokenizers
 from pyspark import TaskContext
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from repseq.llm.textcore import blocks
+from repseq.llm.textcore import LOWER, Block, Slices, blocks, runs
 from repseq.operators.shared import checkpoint_dir
 
 VOCABULARY = "word_bpe_49k.json"
@@ -29,59 +29,149 @@ LENGTH = 2048
 BATCH = 64
 #: Bytes of text a file is planned for.
 FILE_BYTES = 64 << 20
-#: Words and ids a worker keeps encoded.
-CACHE_WORDS = 400_000
+#: Different pieces of words whose ids a worker keeps.
+CACHE_PIECES = 3_000_000
+
+
+#: Bytes by what they are to the tokenizer: 0 white space, 1 ASCII letters, 2 digits, 3 signs, 4 what makes a word be encoded whole.
+_KIND = np.full(256, 4, np.uint8)
+_KIND[[0x20, *range(0x09, 0x0E)]] = 0
+_KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
+_KIND[0x30:0x3A] = 2
+_KIND[[c for c in b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"]] = 3
+
+
+def pieces(block: Block) -> tuple[np.ndarray, ...]:
+    """A block's bytes in lower case, starts and ends of the pieces to encode, which are letters only, and the first of each text (and the end).
+
+    The tokenizer drops white space, writes lower case, and keeps letters, single digits
+    and runs of other signs apart, so words of ASCII and Latin-1 letters, digits and ASCII signs are cut where these
+    meet. Words with anything else (other scripts, marks that compose with the letter before,
+    apostrophes, control characters, the beginning of a special token) are left whole and as they are.
+    """
+    buf = block.buf
+    n = len(buf)
+    kind = _KIND[buf]
+    lower = LOWER[buf]
+    lead = np.zeros(n, bool)
+    lead[:-1] = (buf[:-1] == 0xC3) & (buf[1:] != 0x97) & (buf[1:] != 0xB7)
+    tail = np.flatnonzero(lead) + 1
+    kind[lead] = 1
+    kind[tail] = 1
+    capital = tail[buf[tail] <= 0x9E]
+    lower[capital] += 0x20
+    special = np.flatnonzero((buf[:-1] == 0x3C) & (buf[1:] == 0x7C))
+    kind[special] = 4
+    starts, ends, _ = runs(kind > 0, block.offs)
+    odd = np.concatenate([[0], np.cumsum(kind == 4)])
+    hard = odd[ends] > odd[starts]
+    inside = np.zeros(n + 1, np.int8)
+    np.add.at(inside, starts[hard], 1)
+    np.add.at(inside, ends[hard], -1)
+    whole = np.cumsum(inside[:-1]) > 0
+    kind[whole] = 5
+    lower[whole] = buf[whole]
+    first = np.zeros(n, bool)
+    first[starts] = True
+    first[1:] |= (kind[1:] != kind[:-1]) & (kind[1:] > 0)
+    begin = np.flatnonzero(first)
+    stop = np.minimum(ends[np.searchsorted(ends, begin, "right")] if len(begin) else begin, np.append(begin[1:], n))
+    return lower, begin, stop, kind[begin] == 1, np.searchsorted(begin, block.offs)
 
 
 class Encoder:
-    """Encodes texts word by word, each different word once.
+    """Encodes texts piece by piece, each different piece once, as long as the table of known ones has room.
 
-    The tokenizer drops white space and never lets a token, or a rule of its
-    normaliser, cross it, so a text's ids are those of its words between ASCII white
-    space. The tests hold this against encoding whole texts.
+    The tests hold this against encoding whole texts.
     """
 
     def __init__(self, path: str, end_id: int = END_ID):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
-        self.end_id = end_id
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
-        self.known: dict[str, np.ndarray] = {}
-
-    def ids_of(self, words: list[str]) -> list[np.ndarray]:
-        fresh = [w for w in words if w not in self.known]
-        if len(self.known) + len(fresh) > CACHE_WORDS:
-            self.known = {}
-            fresh = words
-        for at in range(0, len(fresh), 4096):
-            some = fresh[at : at + 4096]
-            for word, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self.known[word] = np.array(e.ids, self.kind)
-        return [self.known[w] for w in words]
-
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts one after another, each text ending with the end id; and how many each has."""
-        texts = pc.fill_null(texts, "")
-        split = pc.ascii_split_whitespace(texts)
-        words = split.flatten().dictionary_encode()
-        words = words.combine_chunks() if isinstance(words, pa.ChunkedArray) else words
-        table = self.ids_of(words.dictionary.to_pylist())
-        table.append(np.array([self.end_id], self.kind))
-        size = np.array([len(t) for t in table], np.int64)
-        first = np.cumsum(size) - size
-        pool = np.concatenate(table)
-        per = pc.list_value_length(split).to_numpy().astype(np.int64)
-        firsts = np.cumsum(per) - per
-        which = np.empty(len(words) + len(texts), np.int64)
-        ends = np.cumsum(per + 1) - 1
+        self.end_id = end_id
+        self.ends_word = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.ends_word[[k for word, k in self.tokenizer.get_vocab().items() if word.endswith("</w>")]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        """Only the end id is known, as the first of the pool."""
+        self.keys = [np.zeros(0, np.uint64), np.zeros(0, np.uint64)]
+        self.at = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
+        self.first, self.size = np.zeros(1, np.int64), np.ones(1, np.int64)
+        self.pool = np.array([self.end_id], self.kind)
+
+    def ids_of(self, words: list[str], plain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, and how many each has.
+
+        Of ``plain`` words, which are letters only, many make one text: each gives one
+        token that ends a word, its last. Where that doesn't add up they go one by one.
+        """
+        def encoded(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            return np.fromiter(chain.from_iterable(ids), self.kind), np.fromiter(map(len, ids), np.int64, len(ids))
+
+        size = np.zeros(len(words), np.int64)
+        easy = np.flatnonzero(plain)
+        many, _ = encoded([" ".join([words[k] for k in easy[lo : lo + 128].tolist()]) for lo in range(0, len(easy), 128)])
+        stops = np.flatnonzero(self.ends_word[many]) + 1
+        if len(stops) != len(easy) or (len(many) and stops[-1] != len(many)):
+            plain, many, stops = np.zeros(len(words), bool), many[:0], stops[:0]
+        size[plain] = np.diff(stops, prepend=0)
+        some, size[~plain] = encoded([words[k] for k in np.flatnonzero(~plain).tolist()])
+        out = np.empty(int(size.sum()), self.kind)
+        easy = np.repeat(plain, size)
+        out[easy], out[~easy] = many, some
+        return out, size
+
+    def learn(self, keys: np.ndarray, words: list[str], plain: np.ndarray) -> None:
+        """Adds pieces, in order of key, to the smaller of two sorted tables; it joins the larger when it has grown."""
+        ids, size = self.ids_of(words, plain)
+        number = np.arange(len(self.size), len(self.size) + len(size))
+        self.first = np.concatenate([self.first, len(self.pool) + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        self.pool = np.concatenate([self.pool, ids])
+        large = len(self.keys[1]) + len(keys) > 60_000
+        both = [np.concatenate([*(self.keys if large else self.keys[1:]), keys]), np.concatenate([*(self.at if large else self.at[1:]), number])]
+        order = np.argsort(both[0])
+        small = [np.zeros(0, np.uint64), np.zeros(0, np.int64)]
+        sorted_ = [x[order] for x in both]
+        self.keys = [sorted_[0], small[0]] if large else [self.keys[0], sorted_[0]]
+        self.at = [sorted_[1], small[1]] if large else [self.at[0], sorted_[1]]
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Numbers of known pieces, -1 for others."""
+        out = np.full(len(keys), -1, np.int64)
+        for table, number in zip(self.keys, self.at, strict=True):
+            if len(table):
+                place = np.minimum(np.searchsorted(table, keys), len(table) - 1)
+                own = table[place] == keys
+                out[own] = number[place[own]]
+        return out
+
+    def encode(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of a block's texts one after another, each text ending with the end id; and how many each has."""
+        lower, begin, stop, plain, firsts = pieces(block) if len(block.buf) else (block.buf, *(np.zeros(0, np.int64),) * 3, np.zeros(block.n + 1, np.int64))
+        if len(self.size) > CACHE_PIECES:
+            self.forget()
+        keys, place = np.unique(Slices(lower).hashes(begin, stop), return_inverse=True)
+        number = self.find(keys)
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            example = np.zeros(len(keys), np.int64)
+            example[place] = np.arange(len(place))
+            data, e = lower.tobytes(), example[new]
+            self.learn(keys[new], [data[s:t].decode() for s, t in zip(begin[e].tolist(), stop[e].tolist(), strict=True)], plain[e])
+            number[new] = np.arange(len(self.size) - len(new), len(self.size))
+        per = np.diff(firsts)
+        which = np.zeros(len(begin) + block.n, np.int64)
         inner = np.ones(len(which), bool)
-        inner[ends] = False
-        which[inner] = words.indices.to_numpy()
-        which[ends] = len(table) - 1
-        lens = size[which]
-        total = int(lens.sum())
-        ids = pool[np.arange(total) + np.repeat(first[which] - (np.cumsum(lens) - lens), lens)]
-        counts = np.add.reduceat(lens, firsts + np.arange(len(per))) if len(per) else np.zeros(0, np.int64)
+        inner[np.cumsum(per + 1) - 1] = False
+        which[inner] = number[place]
+        lens = self.size[which]
+        ends = np.cumsum(lens)
+        ids = self.pool[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.first[which] - (ends - lens), lens)]
+        counts = np.diff(np.concatenate([[0], ends[np.cumsum(per + 1) - 1]]))
         return ids, counts
 
 
@@ -213,7 +303,7 @@ def write_token_files(
                     writer = SequenceWriter(sink, encoder.kind, length, batch)
                     listed = pa.schema([("doc_id", given.schema.field("doc_id").type), ("n_tokens", pa.int64())])
                     index = pa.ipc.new_file(index_sink, listed)
-                ids, counts = encoder.encode(given.column("text").slice(block.lo, block.n))
+                ids, counts = encoder.encode(block)
                 writer.add(ids)
                 index.write_batch(pa.RecordBatch.from_arrays([given.column("doc_id").slice(block.lo, block.n), pa.array(counts)], schema=listed))
                 n_docs += block.n
