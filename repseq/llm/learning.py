@@ -8,6 +8,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Bytes of text of each class in a labelled sample.
+CLASS_BYTES = 6 << 20
 #: A score of this or more is predicted as 1.
 DECISION = 0.3
 
@@ -17,12 +19,12 @@ def remainder(folds: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, rows: int, max_bytes: int) -> list[tuple[str, str | None, int]]:
-    """At most ``rows`` of each class as ``(text, lang, label)``, from labelled rows that ``learn`` allows.
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, rows: int, max_bytes: int, class_bytes: int = CLASS_BYTES) -> list[tuple[str, str | None, int]]:
+    """At most ``rows`` of each class, and ``class_bytes`` of their text, as ``(text, lang, label)``, from labelled rows that ``learn`` allows.
 
     The pick is by a hash of doc_id, so it does not depend on how tables are laid out;
     texts over ``max_bytes`` are not picked. A doc_id labelled both ways counts as 0. The picked ids are at most
-    four times ``rows``, so they are broadcast to the scan of the documents and nothing
+    three times ``rows``, so they are broadcast to the scan of the documents and nothing
     is shuffled by text. Equal texts of one class count once.
     """
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & learn).groupBy("doc_id").agg(F.min(label).cast("int").alias("label"))
@@ -30,17 +32,18 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
     per = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     share = F.lit(0.0)
     for k, n in per.items():
-        share = F.when(F.col("label") == k, min(1.0, 1.5 * rows / max(n, 1))).otherwise(share)
+        share = F.when(F.col("label") == k, min(1.0, 1.2 * rows / max(n, 1))).otherwise(share)
     draw = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    picked = known.where(draw < share).limit(4 * rows).select(F.col("doc_id").alias("id"), "label")
+    picked = known.where(draw < share).limit(3 * rows).select(F.col("doc_id").alias("id"), "label")
     short = docs.select("doc_id", "text", "lang").where(F.coalesce(F.octet_length("text"), F.lit(0)) <= max_bytes)
-    found = short.join(F.broadcast(picked), F.col("doc_id") == F.col("id")).select("text", "lang", "label", F.xxhash64("doc_id").alias("at")).limit(4 * rows).collect()
-    out, seen, taken = [], set(), {0: 0, 1: 0}
+    found = short.join(F.broadcast(picked), F.col("doc_id") == F.col("id")).select("text", "lang", "label", F.xxhash64("doc_id").alias("at")).limit(3 * rows).collect()
+    out, seen, taken, size = [], set(), {0: 0, 1: 0}, {0: 0, 1: 0}
     for r in sorted(found, key=lambda r: (r.at, r.text or "")):
         key = (r.text or "", r.label)
-        if key not in seen and taken[r.label] < rows:
+        if key not in seen and taken[r.label] < rows and size[r.label] < class_bytes:
             seen.add(key)
             taken[r.label] += 1
+            size[r.label] += len(r.text or "")
             out.append((r.text or "", r.lang, r.label))
     return out
 

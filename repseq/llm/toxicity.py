@@ -21,8 +21,8 @@ FILTERS = 8
 #: Bytes of a word's beginning that have embeddings of their own, next to the whole word.
 PREFIXES = (4, 6)
 #: Labelled rows of each class to learn from, and the longest text among them.
-SAMPLE_ROWS = 4_000
-SAMPLE_BYTES = 1 << 15
+SAMPLE_ROWS = 2_000
+SAMPLE_BYTES = 1 << 14
 FOLDS = 4
 
 
@@ -189,10 +189,11 @@ def fit(sample: Sequence[tuple[str, str | None, int]], seed: int = 3) -> Model:
     keys = np.concatenate([k for k, _ in got])
     firsts = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(f) for _, f in got]))])
     text = np.repeat(np.arange(len(sample)), np.diff(firsts))
-    known, place = np.unique(keys.ravel(), return_inverse=True)
-    place = place.reshape(keys.shape)
+    known = np.unique(keys.ravel())
+    place = np.stack([np.searchsorted(known, keys[:, k]).astype(np.int32) for k in range(keys.shape[1])], axis=1)
+    del keys, got
     learn = ~held[text]
-    once = np.unique(np.repeat(text[learn], keys.shape[1]) * len(known) + place[learn].ravel())
+    once = np.unique(np.repeat(text[learn], place.shape[1]) * len(known) + place[learn].ravel())
     has, who = once % len(known), once // len(known)
     yes = np.bincount(has, labels[who], len(known))
     all_ = np.bincount(has, minlength=len(known))
@@ -200,7 +201,7 @@ def fit(sample: Sequence[tuple[str, str | None, int]], seed: int = 3) -> Model:
     total_yes, total = labels[~held].sum(), (~held).sum()
     odds = np.log((yes + 0.5) / (total_yes + 1)) - np.log((all_ - yes + 0.5) / (total - total_yes + 1))
     rng = np.random.default_rng(seed)
-    number = np.where(use, np.cumsum(use), 0)
+    number = np.where(use, np.cumsum(use), 0).astype(np.int32)
     vectors = np.zeros((int(use.sum()) + 1, DIM), np.float32)
     vectors[1:] = rng.normal(0, 0.02, (len(vectors) - 1, DIM))
     vectors[1:, 0] = (np.clip(odds, -3, 5) * all_ / (all_ + 10.0))[use] / 3
