@@ -16,8 +16,8 @@ from repseq.llm.textcore import LOWER, Block, Slices, blocks, scrambled
 #: Weights, as a power of two.
 HASH_BITS = 20
 #: Labelled rows of each class to learn from, and the longest text among them.
-SAMPLE_ROWS = 3_000
-SAMPLE_BYTES = 1 << 15
+SAMPLE_ROWS = 2_500
+SAMPLE_BYTES = 1 << 14
 FOLDS = 5
 #: What a whole text of one n-gram weighs.
 SCALE = 20.0
