@@ -39,10 +39,11 @@ def with_cdr3(reads: DataFrame, starts: Sequence[str] = STARTS, ends: Sequence[s
     motif and end. The CDR holds the start motif but not the end motif.
     """
     s = F.col(seq)
-    hits = reads.withColumn("__starts", motif_hits(s, starts)).withColumn("__ends", motif_hits(s, ends))
-    every = hits.withColumn("__all", candidates(s, F.col("__starts"), F.col("__ends")))
+    once = lambda x, name: F.explode(F.array(x)).alias(name)  # noqa: E731  a row stays a row, but no filter on what is found moves the search below it
+    hits = reads.select("*", once(F.struct(motif_hits(s, starts).alias("starts"), motif_hits(s, ends).alias("ends")), "__hits"))
     key = lambda c: F.struct((-c.score).alias("a"), c.start_motif.alias("b"), c.begin.alias("c"), c.end_motif.alias("d"), c.stop.alias("e"))
-    best = every.withColumn("__best", F.array_min(F.transform("__all", key)))
+    pairs = candidates(s, F.col("__hits.starts"), F.col("__hits.ends"))
+    best = hits.select("*", once(F.array_min(F.transform(pairs, key)), "__best"))
     cdr = F.substring(s, F.col("__best.c") + 1, F.col("__best.e") - F.col("__best.c"))
     return best.select(*reads.columns, cdr.alias("cdr"), F.col("__best.c").alias("cdr_begin"), (-F.col("__best.a")).alias("cdr_score"))
 

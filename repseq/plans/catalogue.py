@@ -20,7 +20,7 @@ from repseq.sources.config import read_config
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-_READS = f"WITH reads AS ({synth.READS}), ok AS ({synth.OK}), uniq AS ({synth.UNIQUE})\n"
+_READS = f"WITH reads AS ({synth.READS}), ok AS ({synth.OK}), uniq AS MATERIALIZED ({synth.UNIQUE})\n"
 
 
 def query(sql: str | None = None, reads: bool = True):
@@ -177,16 +177,16 @@ def _scan_sql(of: str, column: str, motif: str) -> str:
 
 
 _STARTS, _ENDS = _scan_sql("uniq", "seq", "YYC"), _scan_sql("uniq", "seq", "WG[QKR]")
-_HITS = f"starts AS ({_STARTS}), ends AS ({_ENDS})"
+_HITS = f"starts AS MATERIALIZED ({_STARTS}), ends AS MATERIALIZED ({_ENDS})"
 _CANDIDATES = """SELECT s.sample, s.seq, s.begin, e.begin AS stop, s.score + e.score AS score FROM starts s JOIN ends e ON s.sample = e.sample AND s.seq = e.seq
   WHERE e.begin - s.begin BETWEEN 30 AND 90 AND s.begin > length(s.seq) // 2"""
-_FOUND = f"""{_HITS}, cands AS ({_CANDIDATES}), found AS (
+_FOUND = f"""{_HITS}, cands AS ({_CANDIDATES}), found AS MATERIALIZED (
   SELECT u.sample, u.seq, u.qty, u.clone, c.begin, c.score, substring(u.seq, CAST(c.begin + 1 AS INT), CAST(c.stop - c.begin AS INT)) AS cdr
   FROM uniq u JOIN (SELECT *, row_number() OVER (PARTITION BY sample, seq ORDER BY score DESC, begin, stop) AS n FROM cands) c ON u.sample = c.sample AND u.seq = c.seq AND c.n = 1)"""
 
 
 def _with(ctes: str, select: str) -> str:
-    return f"WITH reads AS ({synth.READS}), ok AS ({synth.OK}), uniq AS ({synth.UNIQUE}), {ctes}\n{select}"
+    return f"WITH reads AS ({synth.READS}), ok AS ({synth.OK}), uniq AS MATERIALIZED ({synth.UNIQUE}), {ctes}\n{select}"
 
 
 def _exploded(spark, sf_dir, hits: str):
@@ -313,8 +313,8 @@ def cluster_sizes(spark, sf_dir):
 # --- similarity ---------------------------------------------------------------------
 
 _KMER_ROWS = "SELECT sample, seq, substring(seq, CAST(i AS INT), 11) AS kmer FROM (SELECT sample, seq, unnest(range(1, length(seq) - 9)) AS i FROM cdrs) x"
-_CDRS = f"{_FOUND}, cdrs AS (SELECT DISTINCT sample, cdr AS seq FROM found)"
-_SHARED = f"{_CDRS}, counts AS (SELECT sample, seq, kmer, count(*) AS n FROM ({_KMER_ROWS}) k GROUP BY ALL), shared AS (SELECT a.sample, a.seq AS src, b.seq AS dst, CAST(sum(least(a.n, b.n)) AS BIGINT) AS shared FROM counts a JOIN counts b ON a.sample = b.sample AND a.kmer = b.kmer AND a.seq < b.seq GROUP BY ALL)"
+_CDRS = f"{_FOUND}, cdrs AS MATERIALIZED (SELECT DISTINCT sample, cdr AS seq FROM found)"
+_SHARED = f"{_CDRS}, counts AS MATERIALIZED (SELECT sample, seq, kmer, count(*) AS n FROM ({_KMER_ROWS}) k GROUP BY ALL), shared AS (SELECT a.sample, a.seq AS src, b.seq AS dst, CAST(sum(least(a.n, b.n)) AS BIGINT) AS shared FROM counts a JOIN counts b ON a.sample = b.sample AND a.kmer = b.kmer AND a.seq < b.seq GROUP BY ALL)"
 
 
 def _cdrs(spark, sf_dir):
@@ -374,7 +374,7 @@ def closest_pair(spark, sf_dir):
     return levenshtein_pairs(spark, sf_dir).orderBy("dist", "src", "dst").limit(1)
 
 
-_COMPONENTS = """WITH RECURSIVE n AS ({nodes}), e AS (SELECT a.g, a.seq AS a, b.seq AS b FROM n a JOIN n b ON a.g = b.g AND a.seq <> b.seq AND levenshtein(a.seq, b.seq) <= 2),
+_COMPONENTS = """WITH RECURSIVE n AS MATERIALIZED ({nodes}), e AS MATERIALIZED (SELECT a.g, a.seq AS a, b.seq AS b FROM n a JOIN n b ON a.g = b.g AND a.seq <> b.seq AND levenshtein(a.seq, b.seq) <= 2),
   reach AS (SELECT g, seq AS a, seq AS b FROM n UNION SELECT r.g, r.a, e.b FROM reach r JOIN e ON r.g = e.g AND r.b = e.a)
 SELECT g AS sample, a AS seq, min(b) AS cluster FROM reach GROUP BY g, a"""
 

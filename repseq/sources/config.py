@@ -13,6 +13,6 @@ CONFIG = (
 
 def read_config(spark: SparkSession, path: str) -> DataFrame:
     """A sample a row, with its place in the file as ``cfg_ord``."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     rows = text.select(F.posexplode(F.from_json("value", f"array<struct<{CONFIG.replace(' string', ':string').replace(' array', ':array').replace(' int', ':int')}>>")).alias("cfg_ord", "c"))
     return rows.select("c.*", "cfg_ord")
