@@ -495,9 +495,6 @@ def primer_clip(spark, sf_dir):
 
 # --- the whole ----------------------------------------------------------------------
 
-_TRUTH = "SELECT sample, substring(true_core, 161, length(true_core) - 160 - 41) AS cdr, true_core AS seq, CASE WHEN count(*) = 1 THEN 1 ELSE CAST(sum(qty) AS BIGINT) END AS qty, CAST(sum(qty) AS BIGINT) AS n_reads FROM uniq GROUP BY sample, clone, true_core"
-
-
 @query()
 def pair_consensus(spark, sf_dir):
     """Clusters of two single reads, made of the first two variants of each clone, resolved by trusted k-mers."""
@@ -509,13 +506,17 @@ def pair_consensus(spark, sf_dir):
     return out.where("cluster LIKE 'p%'").select("sample", "cluster", "seq", "n_reads")
 
 
-@query()
+#: What was planted: a clone's reads give its core, as at every place most of them have it.
+_TRUTH = "SELECT sample, clone, min(true_core) AS seq, CASE WHEN count(*) = 1 THEN 1 ELSE CAST(sum(qty) AS BIGINT) END AS qty, CAST(sum(qty) AS BIGINT) AS n_reads FROM uniq GROUP BY sample, clone"
+
+
+@query(f"SELECT sample, CAST(clone AS VARCHAR) AS cluster, seq, qty, n_reads FROM ({_TRUTH}) t")
 def read_correct(spark, sf_dir):
     rows = synth.unique(spark, sf_dir).select("sample", F.col("clone").cast("string").alias("cluster"), "seq", "qty")
     return correct.correct_reads(rows).select("sample", "cluster", "seq", "qty", "n_reads")
 
 
-@query()
+@query(f"SELECT sample, substring(seq, 161, length(seq) - 201) AS cdr, seq, qty, n_reads FROM ({_TRUTH}) t")
 def pipeline_reads(spark, sf_dir):
     return flagship(spark, sf_dir)
 
