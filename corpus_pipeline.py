@@ -17,7 +17,7 @@ def recognise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: that of the smallest doc_id."""
+    """One document of each group of near copies (five-word shingles, Jaccard 0.8 or more) stays: that of the smallest doc_id."""
     return simhash.one_of_each(docs)
 
 

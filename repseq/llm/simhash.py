@@ -12,6 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from repseq.llm.jaccard import SIMILAR, similar_groups
 from repseq.llm.textcore import LOWER, NOT_SPACE, Block, blocks
 from repseq.operators.components import connected_components
 from repseq.operators.shared import materialise
@@ -248,15 +249,24 @@ def links(fps: DataFrame, parts: Sequence[Part], radius: int = RADIUS, hot: int
     return pairs.unionAll(stars).distinct()
 
 
-def near_duplicates(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS, hot: int = HOT) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS, hot: int = HOT, similar: tuple[int, int] | None = SIMILAR) -> DataFrame:
     """``(doc_id, fingerprint, component_id)``: one row a document.
 
-    Fingerprints link at ``radius`` or fewer differing bits; ``component_id`` is the
+    Documents link at a Jaccard similarity of ``similar`` or more of their sets of five-word
+    shingles, whatever their fingerprints. If ``similar`` is None, fingerprints link at
+    ``radius`` or fewer differing bits instead, as op 8 asks. ``component_id`` is the
     smallest doc_id reachable, itself included. Exact and near copies of equal
-    fingerprint are one node, so copies never meet as pairs. Empty, blank and null
-    texts have fingerprint zero and are linked like any other; null doc_ids are passed
+    fingerprint (of equal set) are one node, so copies never meet as pairs. Empty, blank and null
+    texts have fingerprint zero and no shingles, and are alike; null doc_ids are passed
     over when the smallest is taken; an empty table gives no rows.
     """
+    if similar is not None:
+        rooted = materialise(similar_groups(docs, similar=similar))
+        lowest = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+        of_row = rooted.join(lowest, "root").select(F.col("doc_id").alias("__id"), F.col("at").alias("__at"), "component_id").distinct()
+        by_row = fingerprints(docs.select(F.struct("doc_id", F.xxhash64("text").alias("at")).alias("doc_id"), "text"), width)
+        out = by_row.join(of_row, F.col("doc_id.doc_id").eqNullSafe(F.col("__id")) & (F.col("doc_id.at") == F.col("__at")))
+        return out.select("doc_id.doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
     by_doc = materialise(fingerprints(docs, width))
     nodes = materialise(by_doc.groupBy("fp").agg(F.min("doc_id").alias("first")))
     edges = links(nodes.select("fp"), plan(nodes.select("fp"), radius), radius, hot)
@@ -267,16 +277,19 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS,
     return by_doc.join(of_fp, F.col("fp") == F.col("__fp")).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one document of each group: that of the smallest doc_id.
+def one_of_each(docs: DataFrame, similar: tuple[int, int] = SIMILAR) -> DataFrame:
+    """``docs`` with one row of each group of near copies by Jaccard similarity: of the smallest doc_id.
 
-    Rows that repeat a doc_id: one of them stays. Rows of null doc_id stay, as nothing tells them apart.
+    Rows are told apart by doc_id and text, so different texts under one doc_id are
+    decided each by its own group. Rows of null doc_id stay, as nothing tells them apart.
     """
-    kept = near_duplicates(docs, **options).where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    out = docs.join(kept, F.col("doc_id") == F.col("__kept"), "left").where("__kept IS NOT NULL OR doc_id IS NULL")
-    repeats = out.withColumn("__n", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())))
+    kept = similar_groups(docs, similar=similar).where("doc_id IS NOT NULL").groupBy("root").agg(F.min(F.struct("doc_id", "at")).alias("k"))
+    kept = kept.select(F.col("k.doc_id").alias("__kept"), F.col("k.at").alias("__kept_at"))
+    given = docs.withColumn("__at", F.xxhash64("text"))
+    out = given.join(kept, (F.col("doc_id") == F.col("__kept")) & (F.col("__at") == F.col("__kept_at")), "left").where("__kept IS NOT NULL OR doc_id IS NULL")
+    repeats = out.withColumn("__n", F.row_number().over(Window.partitionBy("doc_id", "__at").orderBy(F.col("text").asc_nulls_last())))
     return repeats.where("__n = 1 OR doc_id IS NULL").select(*docs.columns)
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), similar=None)
