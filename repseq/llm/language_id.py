@@ -304,25 +304,38 @@ def calibrate(found: Identifier, texts: Sequence[str], langs: Sequence[str]) ->
     found.sharpness = -min(losses)[1]
 
 
-def train(docs: DataFrame, learn, sample_chars: int = SAMPLE_CHARS, sample_text: int = SAMPLE_TEXT) -> Identifier:
-    """An identifier of the languages in ``docs.lang``, from rows that ``learn`` allows.
+def sampled(docs: DataFrame, sample_chars: int = SAMPLE_CHARS, sample_text: int = SAMPLE_TEXT) -> DataFrame:
+    """``(lang, text)``: of each language different texts of about ``sample_chars`` characters, or all it has, picked by a hash of the text.
 
-    Of each language, a hash of the text picks different texts (of at most ``sample_text``
-    characters) up to about ``sample_chars``; one task a language makes its model, so a
-    task and the driver hold a sample and models of bounded size. Every eighth text
-    picked is kept for calibration instead. A language needs one text with a letter.
+    A text of more than ``sample_text`` characters goes in pieces of that size: all of
+    them, or, where they are more than ``sample_chars``, as many as make that, spread
+    over the text. Copies count once, in the share of a language as in the sample.
     """
-    short = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= sample_text)).select("lang", "text")
+    most = -(-sample_chars // sample_text)
     size = F.length("text")
-    per = short.groupBy("lang").agg(F.sum(size).alias("chars"))
+    n = F.ceil(size / F.lit(sample_text))
+    at = lambda k: F.floor(k * n / F.least(n, F.lit(most))).cast("int") * sample_text + 1
+    cut = F.transform(F.sequence(F.lit(0).cast("long"), F.least(n, F.lit(most)) - 1), lambda k: F.substring(F.col("text"), at(k), F.lit(sample_text)))
+    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
+    pieces = known.select("lang", F.explode(F.when(size > sample_text, cut).otherwise(F.array("text"))).alias("text"))
+    per = pieces.select("lang", F.xxhash64("text").alias("at"), size.alias("size")).distinct().groupBy("lang").agg(F.sum("size").alias("chars"))
     draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sums = {r.lang: r.chars for r in per.collect()}  # one row a language
     share = F.lit(0.0)
-    for lang, chars in sums.items():
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, sample_chars / max(chars, 1)))).otherwise(share)
-    picked = short.where(draw < share).distinct()
+    for r in per.collect():  # one row a language
+        share = F.when(F.col("lang") == r.lang, F.lit(min(1.0, sample_chars / max(r.chars, 1)))).otherwise(share)
+    picked = pieces.where(draw < share).distinct()
     running = F.sum(size).over(Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text"))
-    picked = picked.withColumn("sofar", running).where(F.col("sofar") <= 2 * sample_chars + sample_text).drop("sofar")
+    return picked.withColumn("sofar", running).where(F.col("sofar") <= 2 * sample_chars + sample_text).drop("sofar")
+
+
+def train(docs: DataFrame, learn, sample_chars: int = SAMPLE_CHARS, sample_text: int = SAMPLE_TEXT) -> Identifier:
+    """An identifier of the languages in ``docs.lang``, from rows that ``learn`` allows.
+
+    One task a language makes its model of what ``sampled`` picks, so a task and the
+    driver hold a sample and models of bounded size. Every eighth text picked is kept
+    for calibration instead. A language needs one text with a letter.
+    """
+    picked = sampled(docs.where(learn), sample_chars, sample_text)
     test = F.pmod(F.xxhash64(F.lit("calibration"), "text"), F.lit(8)) == 0
     held = picked.where(test).select("lang", "text", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")).alias("n")).where(F.col("n") <= CALIBRATION_TEXTS).collect()
 

@@ -117,3 +117,22 @@ def test_other_scripts_are_rejected(spark):
     strange = ["これは日本語の文章です。" * 20, "Это предложение на русском языке. " * 20, "!!! 123 ???", "qxzj vvkq zzxw jjqk wxqz " * 30]
     assert found.identify(strange)[3].all()
     assert docs.columns == L.recognised(docs).columns
+
+
+def test_copies_and_long_texts_leave_the_sample_whole(spark):
+    line = "the {} cat sat on mat number {} and looked around for more of them, as cats do all day"
+    some = [("aa", line.format(i, i * 7)) for i in range(40)]
+    long = " ".join(f"ord{i % 97} kaksi{i}" for i in range(6_000))
+    rows = [*some, *[("aa", "a copy that is everywhere " * 4)] * 3_000, ("bb", long), ("bb", None), (None, "x")]
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, lang string, text string")
+    found = L.train(docs, F.lit(True), 3_000, 1_000)
+    assert found.langs == ["aa", "bb"]
+    picked = [(r.lang, r.text) for r in L.sampled(docs, 3_000, 1_000).collect()]
+    assert len(picked) == len(set(picked))
+    assert sum(len(t) for x, t in picked if x == "aa") > 2_000
+    pieces = [t for x, t in picked if x == "bb"]
+    assert pieces and all(t in long and len(t) <= 1_000 for t in pieces)
+    whole = [r.text for r in L.sampled(docs.where("lang = 'bb'"), len(long) + 1_000, 1_000).collect()]
+    assert sorted(whole, key=long.index) == [long[k : k + 1_000] for k in range(0, len(long), 1_000)]
+    spread = [long.index(r.text) for r in L.sampled(docs.where("lang = 'bb'"), 10_000, 1_000).collect()]
+    assert max(spread) > len(long) / 2
