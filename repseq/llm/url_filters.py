@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Labels of a host name, at most, that are looked up with all their parents.
-DEPTH = 12
-
 
 def host_of(url: Column) -> Column:
     """The host of an absolute URL in lower case, without user and port; empty for anything else."""
@@ -17,7 +14,7 @@ def host_of(url: Column) -> Column:
 
 def host_keys(host: Column) -> Column:
     """The host and its parent domains of two labels or more; a host of one label is its own key."""
-    parts = F.slice(F.reverse(F.split(host, r"\.")), 1, DEPTH)
+    parts = F.reverse(F.split(host, r"\."))
     deep = F.transform(F.sequence(F.lit(2), F.greatest(F.size(parts), F.lit(2))), lambda n: F.array_join(F.reverse(F.slice(parts, 1, n)), "."))
     return F.when(host == "", F.array().cast("array<string>")).when(F.size(parts) < 2, F.array(host)).otherwise(deep)
 

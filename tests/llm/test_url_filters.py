@@ -47,3 +47,15 @@ def test_query_against_sql(spark, sf):
     rows = sorted(map(tuple, U.op3_url_filters(spark, sf).collect()))
     assert rows == sorted(db.sql(U.ORACLE).fetchall())
     assert 0 < sum(r[-1] for r in rows) < len(rows)
+
+
+def test_hosts_of_many_labels_are_looked_up_whole(spark):
+    labels = [f"l{i}" for i in range(39)] + ["example", "com"]
+    host = ".".join(labels)
+    rows = spark.createDataFrame([(host,)], "host string").select(U.host_keys(F.col("host")).alias("k")).first()
+    assert rows.k == [".".join(labels[i:]) for i in range(39, -1, -1)]
+    intervals = [(host, "spam", D(2020, 1, 1), None), (host.split(".", 1)[1], "adult", D(2020, 1, 1), None)]
+    table = spark.createDataFrame(intervals, "key string, category string, valid_from date, valid_to date")
+    captures = spark.createDataFrame([(1, f"http://{host}/", D(2020, 2, 1)), (2, f"http://x{host}/", D(2020, 2, 1))], "page_id long, url string, fetched_on date")
+    got = {r.page_id: (r.n_entries, r.categories) for r in U.active_entries(captures, table).collect()}
+    assert got == {1: (2, "adult,spam"), 2: (1, "adult")}
