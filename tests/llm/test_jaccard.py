@@ -63,3 +63,8 @@ def test_near_copies_of_one_large_group(spark):
     got = {r.doc_id for r in S.one_of_each(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     assert got == kept_by_brute_force(docs)[0] and 0 in got and len(got) < 120
     assert S.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).select("component_id").distinct().agg(F.count("*")).first()[0] == len(got)
+
+
+def test_different_texts_of_one_doc_id_are_decided_each(spark):
+    docs = spark.createDataFrame([(3, "A"), (5, "A"), (5, "B"), (5, "B"), (None, "A")], "doc_id long, text string")
+    assert sorted(((r.doc_id or 0), r.text) for r in S.one_of_each(docs).collect()) == [(0, "A"), (3, "A"), (5, "B")]
