@@ -120,7 +120,7 @@ def follow_the_leader(rows: Sequence[tuple[np.ndarray, np.ndarray]], labels: np.
 
 
 def fit(sample: Sequence[tuple[str, str | None, int]]) -> Model:
-    """Learns from nine tenths of the sample, sets the cut on the rest, then learns from all. Without both classes every logit is that of the class there is."""
+    """Learns from nine tenths of the sample and sets the cut on the rest. Without both classes every logit is that of the class there is."""
     labels = np.array([y for _, _, y in sample], np.int64)
     if len(sample) < 2 or labels.min() == labels.max():
         bias = 0.0 if not len(sample) else 4.0 * (2 * int(labels[0]) - 1)
