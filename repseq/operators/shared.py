@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: A table of so many rows of a few numbers each is broadcast, a larger one is joined by a shuffle.
+FEW = 100_000
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The folder all executors share.
 
-    ``spark.checkpoint.dir`` names it on a cluster. Only where it is unset (local
-    tests) a temporary folder is made and set.
+    ``spark.checkpoint.dir`` names it on a cluster. Only where it is unset and all runs
+    in one process (local tests) a temporary folder is made and set; a cluster without
+    one is an error, as executors would not see each other's files.
     """
     jsc = spark.sparkContext._jsc.sc()
     known = jsc.getCheckpointDir()
@@ -21,6 +27,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
             spark.sparkContext.setCheckpointDir(named)
         return named
     if not known.isDefined():
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="repseq-ckpt-"))
         known = jsc.getCheckpointDir()
     return known.get()
@@ -30,3 +38,9 @@ def materialise(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the shared folder, with its lineage cut."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def small_side(df: DataFrame, most: int = FEW) -> DataFrame:
+    """``df`` computed once, and to be broadcast in a join if it was counted to have at most ``most`` rows. For narrow tables."""
+    df = materialise(df)
+    return F.broadcast(df) if df.count() <= most else df
