@@ -1,4 +1,4 @@
-"""Near copies by Jaccard similarity of word shingles: an exact set-similarity join by prefixes."""
+"""Near copies by Jaccard similarity of word shingles, exactly: what SimHash links is verified, what it can't see is found by prefixes."""
 
 from __future__ import annotations
 
@@ -7,12 +7,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from repseq.llm.textcore import Block, blocks
+from repseq.llm.textcore import blocks
 from repseq.operators.components import connected_components
-from repseq.operators.shared import materialise
+from repseq.operators.shared import materialise, small_side
 
 #: Words of a shingle.
 WORDS = 5
@@ -21,18 +21,23 @@ SIMILAR = (4, 5)
 #: Different texts that say which shingles are common, and in how many of them one is. It changes cost, never pairs.
 ORDER_TEXTS = 8_000
 COMMON = 3
+#: Rows of one shingle that are lined up together.
+LIST_ROWS = 50_000
 #: 64-bit words of a set's parity bits.
 PARITY = 8
-#: Up to so many texts are sought by a broadcast of their keys.
-FEW = 100_000
+#: Sets that a task remembers, so as not to send out copies again.
+SEEN = 200_000
 
+_PARITIES = [f"p{k}" for k in range(PARITY)]
 
-def shingle_sets(block: Block, width: int) -> list[np.ndarray]:
-    """The different shingle hashes of each text, ascending. A text of fewer words is one shingle; one without words has none."""
-    from repseq.llm.simhash import shingle_hashes
 
-    hashes, offs = shingle_hashes(block, width)
-    return [np.unique(hashes[a:b]) for a, b in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True)]
+def shingle_sets(texts: pa.Array, width: int) -> Iterator[tuple[slice, list[np.ndarray], np.ndarray]]:
+    """Of each block: its texts, their different shingle hashes (ascending), and their fingerprints. A text of fewer words is one shingle; one without words has none."""
+    from repseq.llm.simhash import majority, shingle_hashes
+
+    for block in blocks(texts):
+        hashes, offs = shingle_hashes(block, width)
+        yield slice(block.lo, block.hi), [np.unique(hashes[a:b]) for a, b in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True)], majority(hashes, offs)
 
 
 def node_of(shingles: np.ndarray) -> int:
@@ -55,104 +60,160 @@ def with_text_key(docs: DataFrame) -> DataFrame:
 
 
 def token_sets(docs: DataFrame, width: int) -> DataFrame:
-    """``(at, node, shingles)`` of ``(at, text)``."""
+    """``(node, shingles)`` of ``(at, text)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in blocks(batch.column("text")):
-                sets = shingle_sets(block, width)
-                yield pa.RecordBatch.from_arrays([batch.column("at").slice(block.lo, block.n), pa.array([node_of(s) for s in sets], pa.int64()), lists(sets)], ["at", "node", "shingles"])
+            for _, sets, _ in shingle_sets(batch.column("text"), width):
+                yield pa.RecordBatch.from_arrays([pa.array([node_of(s) for s in sets], pa.int64()), lists(sets)], ["node", "shingles"])
 
-    return docs.select("at", "text").mapInArrow(run, "at long, node long, shingles array<long>")
+    return docs.select("text").mapInArrow(run, "node long, shingles array<long>")
 
 
-def common_shingles(docs: DataFrame, width: int, texts: int = ORDER_TEXTS) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that several of a sample of different texts have, ascending, and in how many."""
+def common_shingles(docs: DataFrame, width: int, texts: int = ORDER_TEXTS) -> tuple[np.ndarray, np.ndarray, float]:
+    """Shingles that several of a sample of different texts have, ascending, in how many, and the sampled share of all rows."""
     share = min(1.0, texts / max(docs.count(), 1))
     draw = F.pmod(F.xxhash64(F.lit("order"), "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    some = docs.where(draw < share).select("at", "text").distinct()
+    some = docs.where(draw < share).select("at", "text").dropDuplicates(["at"])
     found = token_sets(some, width).select(F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON).toArrow()
     keys, n = found.column("s").to_numpy().view(np.uint64), found.column("n").to_numpy()
     order = np.argsort(keys)
-    return keys[order], n[order]
+    return keys[order], n[order], share
+
+
+def set_rows(docs: DataFrame, width: int) -> DataFrame:
+    """``(doc_id, at, node, size, fp)`` and parities ``p0``, ``p1``, ... of every row: its set of shingles in short."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            node, size, fp, odd = np.zeros(n, np.int64), np.zeros(n, np.int32), np.zeros(n, np.uint64), np.zeros((n, PARITY), np.int64)
+            for at, sets, fps in shingle_sets(batch.column("text"), width):
+                node[at], size[at], fp[at], odd[at] = [node_of(s) for s in sets], [len(s) for s in sets], fps, [parities(s) for s in sets]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("at"), *map(pa.array, (node, size, fp.view(np.int64), *odd.T.copy()))], ["doc_id", "at", "node", "size", "fp", *_PARITIES])
 
-def row_prefixes(docs: DataFrame, width: int, similar: tuple[int, int]) -> DataFrame:
-    """``(doc_id, at, node, size, prefix)`` and parities ``p0``, ``p1``, ... of every row. The prefix is the rarest shingles of its set, enough that two similar sets share one.
+    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, at long, node long, size int, fp long, " + ", ".join(f"{p} long" for p in _PARITIES))
+
+
+def postings(docs: DataFrame, width: int, similar: tuple[int, int]) -> DataFrame:
+    """``(token, part, node, size, pos)``: the prefix of every set. Two similar sets share a token of their prefixes.
 
     Shingles are ordered by how many texts of a sample have them, then by hash: one
     order for all rows. Of n shingles, an overlap of at least ``similar`` x n with
-    another set cannot avoid the first n - ceil(similar x n) + 1.
+    another set cannot avoid the first n - ceil(similar x n) + 1. A token that the sample
+    says more than ``LIST_ROWS`` rows have is dealt into ``part`` 1, 2, ...; others have part 0.
+    A task sends a set out once, as long as it remembers it.
     """
     shared = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, width))  # shingles of a bounded sample
     num, den = similar
-    parity_names = [f"p{k}" for k in range(PARITY)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = shared.value
+        keys, counts, share = shared.value
+        seen: set[int] = set()
         for batch in batches:
-            for block in blocks(batch.column("text")):
-                sets = shingle_sets(block, width)
-                prefixes = []
-                for s in sets:
-                    if len(keys) and len(s):
-                        at = np.minimum(np.searchsorted(keys, s), len(keys) - 1)
-                        s = s[np.argsort(np.where(keys[at] == s, counts[at], 0), kind="stable")]
-                    prefixes.append(s[: len(s) - -(-num * len(s) // den) + 1])
-                odd = np.stack([parities(s) for s in sets], axis=1)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(c).slice(block.lo, block.n) for c in ("doc_id", "at")] + [pa.array([node_of(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int32()), lists(prefixes), *map(pa.array, odd)],
-                    ["doc_id", "at", "node", "size", "prefix", *parity_names],
-                )
-
-    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, at long, node long, size int, prefix array<long>, " + ", ".join(f"{p} long" for p in parity_names))
+            out: list[tuple[np.ndarray, ...]] = []
+            held = 0
+
+            def flush() -> pa.RecordBatch:
+                columns = [np.concatenate([o[c] for o in out]) for c in range(5)]
+                return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "part", "node", "size", "pos"])
+
+            for s in (s for _, sets, _ in shingle_sets(batch.column("text"), width) for s in sets):
+                node = node_of(s)
+                if not len(s) or node in seen:
+                    continue
+                if len(seen) >= SEEN:
+                    seen.clear()
+                seen.add(node)
+                n = len(s)
+                parts = np.zeros(n, np.int32)
+                if len(keys):
+                    at = np.minimum(np.searchsorted(keys, s), len(keys) - 1)
+                    often = np.where(keys[at] == s, counts[at], 0)
+                    order = np.argsort(often, kind="stable")
+                    s, often = s[order], often[order]
+                    lots = np.ceil(often / share / LIST_ROWS).astype(np.int64)
+                    mixed = ((s ^ np.uint64(node & (1 << 64) - 1)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
+                    parts = np.where(lots > 1, mixed.astype(np.int64) % np.maximum(lots, 1) + 1, 0).astype(np.int32)
+                p = n - -(-num * n // den) + 1
+                out.append((s[:p].view(np.int64), parts[:p], np.full(p, node, np.int64), np.full(p, n, np.int32), np.arange(p, dtype=np.int32)))
+                held += p
+                if held > 1 << 17:
+                    yield flush()
+                    out, held = [], 0
+            if out:
+                yield flush()
+
+    return docs.select("text").mapInArrow(run, "token long, part int, node long, size int, pos int")
+
+
+def shared_tokens(docs: DataFrame, width: int, similar: tuple[int, int]) -> DataFrame:
+    """The postings whose token another set has, each with the set before it (``before``, ``before_size``) in an order that differs from token to token."""
+    near = Window.partitionBy("token", "part").orderBy(F.xxhash64("node", "token"), "node")
+    once = postings(docs, width, similar).withColumn("was", F.lag("node").over(near)).where("was IS NULL OR was <> node").drop("was")
+    beside = once.select("*", F.lag("node").over(near).alias("before"), F.lag("size").over(near).alias("before_size"), F.lead("node").over(near).alias("after"))
+    return beside.where("before IS NOT NULL OR after IS NOT NULL OR part > 0").drop("after", "part")
 
 
 def similar_links(docs: DataFrame, rows: DataFrame, width: int, similar: tuple[int, int]) -> DataFrame:
-    """``(src, dst)``: pairs of different nodes whose sets have at least that Jaccard similarity; their components are those of all such pairs.
-
-    Candidates share a shingle of the larger set's prefix and of the smaller one's
-    shorter prefix, fit by size, leave room for the overlap behind that shingle, and
-    differ in no more parities than similar sets may differ in shingles. None of this
-    loses a pair. The rest is decided on the whole sets: first the pair of fewest
-    differing parities of each node, then all pairs that this leaves in different
-    components. Every pair is a candidate, so candidates grow as the square of a group of
-    different near copies.
+    """``(src, dst)``: pairs of different nodes of at least that Jaccard similarity, whose components are those of all such pairs.
+
+    First candidates: nodes whose SimHash fingerprints differ in two bits or fewer, found
+    by probing parts of correlated bits, and nodes that stand side by side in the list of
+    a shared token. No group gives more of them than its rows have tokens. Of those that pass the
+    parities, the nearest of each node is decided on the whole sets, which gives components.
+    Then all pairs of different components that share a token of both prefixes, fit by
+    size, leave room for the overlap behind that token and pass the parities are decided
+    on the whole sets. Sizes, room and parities never rule out a similar pair, so none is lost.
     """
+    from repseq.llm.simhash import links, plan
+
     num, den = similar
-    some = rows.where("size > 0")
-    tokens = some.select("node", "size", "prefix").dropDuplicates(["node"]).select("node", "size", F.posexplode("prefix").alias("pos", "token"))
-    x = tokens.select("token", F.col("node").alias("src"), F.col("size").alias("n"), F.col("pos").alias("i"))
-    y = tokens.select("token", F.col("node").alias("dst"), F.col("size").alias("m"), F.col("pos").alias("j"))
-    y = y.where(f"j <= m - ({2 * num} * m + {num + den - 1}) DIV {num + den}")
-    fits = f"(m < n OR (m = n AND dst < src)) AND {den}L * m >= {num}L * n"
-    room = f"{num + den}L * LEAST(n - i, m - j) >= {num}L * (n + m)"
-    pairs = x.join(y, "token").where(f"{fits} AND {room}").select("src", "dst").distinct()
-    odd = some.select("node", "size", *(f"p{k}" for k in range(PARITY))).dropDuplicates(["node"])
-    left = odd.select(F.col("node").alias("src"), F.col("size").alias("n"), *(F.col(f"p{k}").alias(f"a{k}") for k in range(PARITY)))
-    right = odd.select(F.col("node").alias("dst"), F.col("size").alias("m"), *(F.col(f"p{k}").alias(f"b{k}") for k in range(PARITY)))
+    some = materialise(rows.where("size > 0").groupBy("node").agg(F.first("size").alias("size"), F.first("fp").alias("fp"), *(F.first(p).alias(p) for p in _PARITIES)))
     differ = " + ".join(f"BIT_COUNT(a{k} ^ b{k})" for k in range(PARITY))
-    near = materialise(pairs.join(left, "src").join(right, "dst").where(f"{num + den}L * ({differ}) <= {den - num}L * (n + m)").selectExpr("src", "dst", f"{differ} AS d"))
-    wanted = near.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
-    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("at").alias("key"))).alias("r")
-    reps = materialise(some.join(wanted, "node", "left_semi").groupBy("node").agg(least).select("r.id", "r.key"))
-    reps = F.broadcast(reps) if reps.count() <= FEW else reps
-    texts = docs.join(reps, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("at") == F.col("key")), "left_semi").select("at", "text").dropDuplicates(["at"])
-    sets = materialise(token_sets(texts, width).select("node", "shingles"))
+
+    def passed(pairs: DataFrame) -> DataFrame:
+        """Pairs that fit by size and parities, with the number of differing parities."""
+        left = some.select(F.col("node").alias("src"), F.col("size").alias("n"), *(F.col(f"p{k}").alias(f"a{k}") for k in range(PARITY)))
+        right = some.select(F.col("node").alias("dst"), F.col("size").alias("m"), *(F.col(f"p{k}").alias(f"b{k}") for k in range(PARITY)))
+        fits = f"{den}L * LEAST(n, m) >= {num}L * GREATEST(n, m) AND {num + den}L * ({differ}) <= {den - num}L * (n + m)"
+        return pairs.join(left, "src").join(right, "dst").where(fits).selectExpr("src", "dst", f"{differ} AS d")
 
     def verified(pairs: DataFrame) -> DataFrame:
+        wanted = pairs.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
+        least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("at").alias("key"))).alias("r")
+        reps = small_side(rows.join(wanted, "node", "left_semi").groupBy("node").agg(least).select("r.id", "r.key"))
+        texts = docs.join(reps, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("at") == F.col("key")), "left_semi").select("at", "text").dropDuplicates(["at"])
+        sets = materialise(token_sets(texts, width))
         both = pairs.join(sets.select(F.col("node").alias("src"), F.col("shingles").alias("a")), "src").join(sets.select(F.col("node").alias("dst"), F.col("shingles").alias("b")), "dst")
         return materialise(both.where(f"{num + den}L * SIZE(ARRAY_INTERSECT(a, b)) >= {num}L * (SIZE(a) + SIZE(b))").select("src", "dst"))
 
-    first = verified(near.groupBy("src").agg(F.min(F.struct("d", "dst")).alias("best")).select("src", F.col("best.dst").alias("dst")))
-    groups = connected_components(first)
-    rest = near.join(groups.select(F.col("node").alias("src"), F.col("component").alias("g")), "src", "left").join(groups.select(F.col("node").alias("dst"), F.col("component").alias("h")), "dst", "left")
-    return first.unionAll(verified(rest.where("COALESCE(g, src) <> COALESCE(h, dst)").select("src", "dst")))
+    listed = materialise(shared_tokens(docs, width, similar))
+    first_of = materialise(some.groupBy("fp").agg(F.min("node").alias("least"), F.count("*").alias("n")))
+    fps = first_of.select("fp")
+    near = links(fps, plan(fps)).join(first_of.select(F.col("fp").alias("src"), F.col("least").alias("one")), "src").join(first_of.select(F.col("fp").alias("dst"), F.col("least").alias("other")), "dst").select("one", "other")
+    equal = some.join(first_of.where("n > 1").select("fp", "least"), "fp").where("node <> least").select(F.col("node").alias("one"), F.col("least").alias("other"))
+    beside = listed.where(f"{den}L * LEAST(size, before_size) >= {num}L * GREATEST(size, before_size)").select(F.col("node").alias("one"), F.col("before").alias("other"))
+    pairs = near.unionAll(equal).unionAll(beside).select(F.greatest("one", "other").alias("src"), F.least("one", "other").alias("dst")).distinct()
+    best = materialise(passed(pairs).groupBy("src").agg(F.min(F.struct("d", "dst")).alias("best")).select("src", F.col("best.dst").alias("dst")))
+    first = verified(best)
+
+    groups = small_side(connected_components(first))
+    found = listed.select("token", "node", "size", "pos").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    per = found.groupBy("token", "component").agg(F.count("*").alias("n")).groupBy("token").agg(F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("parts"))
+    mixed = materialise(found.join(per.where("parts > 1").select("token", F.col("top.component").alias("main")), "token"))
+    x = mixed.where("component <> main").select("token", F.col("node").alias("src"), F.col("size").alias("n"), F.col("pos").alias("i"), F.col("component").alias("g"))
+    y = mixed.select("token", F.col("node").alias("dst"), F.col("size").alias("m"), F.col("pos").alias("j"), F.col("component").alias("h"), "main")
+    short = lambda at, n: f"{at} <= {n} - ({2 * num}L * {n} + {num + den - 1}) DIV {num + den}"
+    smaller = f"CASE WHEN m < n OR (m = n AND dst < src) THEN {short('j', 'm')} ELSE {short('i', 'n')} END"
+    fits = f"{den}L * LEAST(n, m) >= {num}L * GREATEST(n, m) AND {num + den}L * LEAST(n - i, m - j) >= {num}L * (n + m) AND {smaller}"
+    across = x.join(y, "token").where(f"g <> h AND (h = main OR dst < src) AND {fits}").select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).distinct()
+    return first.unionAll(verified(materialise(passed(across).select("src", "dst"))))
 
 
 def similar_groups(docs: DataFrame, width: int = WORDS, similar: tuple[int, int] = SIMILAR) -> DataFrame:
     """``(doc_id, at, root)`` of every row; ``at`` is a hash of its text. Rows have one root if a chain of near copies joins them; rows without words are one group."""
     docs = with_text_key(docs)
-    rows = materialise(row_prefixes(docs, width, similar))
-    joined = connected_components(similar_links(docs, rows, width, similar)).select("node", F.col("component").alias("root"))
+    rows = materialise(set_rows(docs, width))
+    joined = small_side(connected_components(similar_links(docs, rows, width, similar)).select("node", F.col("component").alias("root")))
     return rows.select("doc_id", "at", "node").join(joined, "node", "left").select("doc_id", "at", F.coalesce("root", "node").alias("root"))

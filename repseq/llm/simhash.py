@@ -9,13 +9,13 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repseq.llm.jaccard import SIMILAR, similar_groups
 from repseq.llm.textcore import LOWER, NOT_SPACE, Block, blocks
 from repseq.operators.components import connected_components
-from repseq.operators.shared import materialise
+from repseq.operators.shared import materialise, small_side
 
 BITS = 64
 SHINGLE = 3
@@ -253,7 +253,8 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS,
     """``(doc_id, fingerprint, component_id)``: one row a document.
 
     Documents link at a Jaccard similarity of ``similar`` or more of their sets of five-word
-    shingles, whatever their fingerprints. If ``similar`` is None, fingerprints link at
+    shingles: what the fingerprints of these link is verified, and what they can't see is found by
+    shared shingles (see ``jaccard``). If ``similar`` is None, fingerprints link at
     ``radius`` or fewer differing bits instead, as op 8 asks. ``component_id`` is the
     smallest doc_id reachable, itself included. Exact and near copies of equal
     fingerprint (of equal set) are one node, so copies never meet as pairs. Empty, blank and null
@@ -282,13 +283,20 @@ def one_of_each(docs: DataFrame, similar: tuple[int, int] = SIMILAR) -> DataFram
 
     Rows are told apart by doc_id and text, so different texts under one doc_id are
     decided each by its own group. Rows of null doc_id stay, as nothing tells them apart.
+    Of rows equal in both one stays, the same in every run. Only keys are grouped; texts are not shuffled
+    unless the rows that go are too many to be broadcast.
     """
-    kept = similar_groups(docs, similar=similar).where("doc_id IS NOT NULL").groupBy("root").agg(F.min(F.struct("doc_id", "at")).alias("k"))
-    kept = kept.select(F.col("k.doc_id").alias("__kept"), F.col("k.at").alias("__kept_at"))
+    rooted = materialise(similar_groups(docs, similar=similar).where("doc_id IS NOT NULL").groupBy("root", "doc_id", "at").agg(F.count("*").alias("n")))
+    kept = rooted.groupBy("root").agg(F.min(F.struct("doc_id", "at")).alias("k"))
+    judged = rooted.join(kept, "root").select(F.col("doc_id").alias("__id"), F.col("at").alias("__key"), "n", (F.struct("doc_id", "at") == F.col("k")).alias("kept"))
     given = docs.withColumn("__at", F.xxhash64("text"))
-    out = given.join(kept, (F.col("doc_id") == F.col("__kept")) & (F.col("__at") == F.col("__kept_at")), "left").where("__kept IS NOT NULL OR doc_id IS NULL")
-    repeats = out.withColumn("__n", F.row_number().over(Window.partitionBy("doc_id", "__at").orderBy(F.col("text").asc_nulls_last())))
-    return repeats.where("__n = 1 OR doc_id IS NULL").select(*docs.columns)
+    own = (F.col("doc_id") == F.col("__id")) & (F.col("__at") == F.col("__key"))
+    gone = small_side(judged.where("NOT kept OR n > 1").select("__id", "__key", "kept"))
+    single = given.join(gone.select("__id", "__key"), own, "left_anti").drop("__at")
+    repeated = given.join(gone.where("kept").select("__id", "__key"), own, "left_semi")
+    row = F.struct(*docs.columns)
+    repeated = repeated.groupBy("doc_id", "__at").agg(F.min_by(row, F.xxhash64(*docs.columns)).alias("r")).select("r.*")
+    return single.unionAll(repeated)
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
