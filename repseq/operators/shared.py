@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 
@@ -34,10 +35,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return known.get()
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the shared folder, with its lineage cut."""
+def materialise(df: DataFrame, free: bool = False) -> DataFrame:
+    """``df`` computed once and kept in the shared folder, with its lineage cut.
+
+    With ``free`` the driver then collects its garbage, so that Spark removes the shuffle
+    files behind ``df`` and tables that nothing refers to any more: for large steps.
+    """
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    kept = df.checkpoint(eager=True)
+    if free:
+        del df
+        gc.collect()
+        kept.sparkSession.sparkContext._jvm.System.gc()
+    return kept
 
 
 def small_side(df: DataFrame, most: int = FEW) -> DataFrame:
