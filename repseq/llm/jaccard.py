@@ -23,14 +23,11 @@ ORDER_TEXTS = 8_000
 COMMON = 3
 #: Rows of one shingle that are lined up together.
 LIST_ROWS = 50_000
-#: 64-bit words of a set's parity bits.
-PARITY = 8
+#: Parity bits for each shingle of a set.
+PARITY = 4
 #: Sets that a task remembers, so as not to send out copies again.
 SEEN = 200_000
 
-_PARITIES = [f"p{k}" for k in range(PARITY)]
-
-
 def shingle_sets(texts: pa.Array, width: int) -> Iterator[tuple[slice, list[np.ndarray], np.ndarray]]:
     """Of each block: its texts, their different shingle hashes (ascending), and their fingerprints. A text of fewer words is one shingle; one without words has none."""
     from repseq.llm.simhash import majority, shingle_hashes
@@ -46,8 +43,10 @@ def node_of(shingles: np.ndarray) -> int:
 
 
 def parities(shingles: np.ndarray) -> np.ndarray:
-    """Whether an odd number of shingles falls on each bit. Two sets differ in at least as many shingles as their parities in bits."""
-    return np.packbits((np.bincount((shingles & np.uint64(64 * PARITY - 1)).astype(np.int64), minlength=64 * PARITY) & 1).astype(np.uint8)).view(np.int64)
+    """Whether an odd number of shingles falls on each bit, of at least ``PARITY`` bits a shingle. Two sets differ in at least as many shingles as their parities in bits."""
+    bits = max(64, 1 << (PARITY * len(shingles) - 1).bit_length()) if len(shingles) else 64
+    odd = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.uint64)
 
 
 def lists(arrays: list[np.ndarray]) -> pa.Array:
@@ -82,17 +81,16 @@ def common_shingles(docs: DataFrame, width: int, texts: int = ORDER_TEXTS) -> tu
 
 
 def set_rows(docs: DataFrame, width: int) -> DataFrame:
-    """``(doc_id, at, node, size, fp)`` and parities ``p0``, ``p1``, ... of every row: its set of shingles in short."""
+    """``(doc_id, at, node, size, fp, odd)`` of every row: its set of shingles in short, ``odd`` its parities."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = batch.num_rows
-            node, size, fp, odd = np.zeros(n, np.int64), np.zeros(n, np.int32), np.zeros(n, np.uint64), np.zeros((n, PARITY), np.int64)
             for at, sets, fps in shingle_sets(batch.column("text"), width):
-                node[at], size[at], fp[at], odd[at] = [node_of(s) for s in sets], [len(s) for s in sets], fps, [parities(s) for s in sets]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("at"), *map(pa.array, (node, size, fp.view(np.int64), *odd.T.copy()))], ["doc_id", "at", "node", "size", "fp", *_PARITIES])
+                own = [batch.column(c).slice(at.start, len(sets)) for c in ("doc_id", "at")]
+                new = [pa.array([node_of(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int32()), pa.array(fps.view(np.int64)), lists([parities(s) for s in sets])]
+                yield pa.RecordBatch.from_arrays([*own, *new], ["doc_id", "at", "node", "size", "fp", "odd"])
 
-    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, at long, node long, size int, fp long, " + ", ".join(f"{p} long" for p in _PARITIES))
+    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, at long, node long, size int, fp long, odd array<long>")
 
 
 def postings(docs: DataFrame, width: int, similar: tuple[int, int]) -> DataFrame:
@@ -169,15 +167,16 @@ def similar_links(docs: DataFrame, rows: DataFrame, width: int, similar: tuple[i
     from repseq.llm.simhash import links, plan
 
     num, den = similar
-    some = materialise(rows.where("size > 0").groupBy("node").agg(F.first("size").alias("size"), F.first("fp").alias("fp"), *(F.first(p).alias(p) for p in _PARITIES)))
-    differ = " + ".join(f"BIT_COUNT(a{k} ^ b{k})" for k in range(PARITY))
+    some = materialise(rows.where("size > 0").groupBy("node").agg(F.first("size").alias("size"), F.first("fp").alias("fp"), F.first("odd").alias("odd")))
+    folded = lambda a, b: f"CASE WHEN SIZE({a}) > SIZE({b}) THEN ZIP_WITH(SLICE({a}, 1, SIZE({b})), SLICE({a}, SIZE({b}) + 1, SIZE({b})), (x, y) -> x ^ y) ELSE {a} END"
+    differ = f"AGGREGATE(ZIP_WITH({folded('a', 'b')}, {folded('b', 'a')}, (x, y) -> BIT_COUNT(x ^ y)), 0, (s, x) -> s + x)"
 
     def passed(pairs: DataFrame) -> DataFrame:
         """Pairs that fit by size and parities, with the number of differing parities."""
-        left = some.select(F.col("node").alias("src"), F.col("size").alias("n"), *(F.col(f"p{k}").alias(f"a{k}") for k in range(PARITY)))
-        right = some.select(F.col("node").alias("dst"), F.col("size").alias("m"), *(F.col(f"p{k}").alias(f"b{k}") for k in range(PARITY)))
-        fits = f"{den}L * LEAST(n, m) >= {num}L * GREATEST(n, m) AND {num + den}L * ({differ}) <= {den - num}L * (n + m)"
-        return pairs.join(left, "src").join(right, "dst").where(fits).selectExpr("src", "dst", f"{differ} AS d")
+        left = some.select(F.col("node").alias("src"), F.col("size").alias("n"), F.col("odd").alias("a"))
+        right = some.select(F.col("node").alias("dst"), F.col("size").alias("m"), F.col("odd").alias("b"))
+        both = pairs.join(left, "src").join(right, "dst").where(f"{den}L * LEAST(n, m) >= {num}L * GREATEST(n, m)")
+        return both.selectExpr("src", "dst", f"{differ} AS d", "n + m AS all").where(f"{num + den}L * d <= {den - num}L * all").select("src", "dst", "d")
 
     def verified(pairs: DataFrame) -> DataFrame:
         wanted = pairs.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
@@ -186,16 +185,16 @@ def similar_links(docs: DataFrame, rows: DataFrame, width: int, similar: tuple[i
         texts = docs.join(reps, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("at") == F.col("key")), "left_semi").select("at", "text").dropDuplicates(["at"])
         sets = materialise(token_sets(texts, width))
         both = pairs.join(sets.select(F.col("node").alias("src"), F.col("shingles").alias("a")), "src").join(sets.select(F.col("node").alias("dst"), F.col("shingles").alias("b")), "dst")
-        return materialise(both.where(f"{num + den}L * SIZE(ARRAY_INTERSECT(a, b)) >= {num}L * (SIZE(a) + SIZE(b))").select("src", "dst"))
+        return materialise(both.where(f"{num + den}L * SIZE(ARRAY_INTERSECT(a, b)) >= {num}L * (SIZE(a) + SIZE(b))").select("src", "dst"), free=True)
 
-    listed = materialise(shared_tokens(docs, width, similar))
+    listed = materialise(shared_tokens(docs, width, similar), free=True)
     first_of = materialise(some.groupBy("fp").agg(F.min("node").alias("least"), F.count("*").alias("n")))
     fps = first_of.select("fp")
     near = links(fps, plan(fps)).join(first_of.select(F.col("fp").alias("src"), F.col("least").alias("one")), "src").join(first_of.select(F.col("fp").alias("dst"), F.col("least").alias("other")), "dst").select("one", "other")
     equal = some.join(first_of.where("n > 1").select("fp", "least"), "fp").where("node <> least").select(F.col("node").alias("one"), F.col("least").alias("other"))
     beside = listed.where(f"{den}L * LEAST(size, before_size) >= {num}L * GREATEST(size, before_size)").select(F.col("node").alias("one"), F.col("before").alias("other"))
     pairs = near.unionAll(equal).unionAll(beside).select(F.greatest("one", "other").alias("src"), F.least("one", "other").alias("dst")).distinct()
-    best = materialise(passed(pairs).groupBy("src").agg(F.min(F.struct("d", "dst")).alias("best")).select("src", F.col("best.dst").alias("dst")))
+    best = materialise(passed(pairs).groupBy("src").agg(F.min(F.struct("d", "dst")).alias("best")).select("src", F.col("best.dst").alias("dst")), free=True)
     first = verified(best)
 
     groups = small_side(connected_components(first))
@@ -208,7 +207,7 @@ def similar_links(docs: DataFrame, rows: DataFrame, width: int, similar: tuple[i
     smaller = f"CASE WHEN m < n OR (m = n AND dst < src) THEN {short('j', 'm')} ELSE {short('i', 'n')} END"
     fits = f"{den}L * LEAST(n, m) >= {num}L * GREATEST(n, m) AND {num + den}L * LEAST(n - i, m - j) >= {num}L * (n + m) AND {smaller}"
     across = x.join(y, "token").where(f"g <> h AND (h = main OR dst < src) AND {fits}").select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).distinct()
-    return first.unionAll(verified(materialise(passed(across).select("src", "dst"))))
+    return first.unionAll(verified(materialise(passed(across).select("src", "dst"), free=True)))
 
 
 def similar_groups(docs: DataFrame, width: int = WORDS, similar: tuple[int, int] = SIMILAR) -> DataFrame:
