@@ -6,6 +6,7 @@ import gc
 import re
 import tempfile
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,6 +51,27 @@ def materialise(df: DataFrame, free: bool = False) -> DataFrame:
     return kept
 
 
+def stored(df: DataFrame, kept: list[DataFrame]) -> DataFrame:
+    """``df``, computed when first read and then kept on the executors' disks; what an executor takes with it is computed anew.
+
+    For large tables that are read more than once and soon done with. ``kept`` gets
+    it, for ``released``.
+    """
+    df = df.persist(StorageLevel.DISK_ONLY)
+    kept.append(df)
+    return df
+
+
+def released(kept: list[DataFrame]) -> None:
+    """Removes what ``stored`` kept, and the shuffle files behind it."""
+    while kept:
+        spark = kept[-1].sparkSession
+        kept.pop().unpersist()
+        if not kept:
+            gc.collect()
+            spark.sparkContext._jvm.System.gc()
+
+
 def small_side(df: DataFrame, most: int = FEW) -> DataFrame:
     """``df`` computed once, and to be broadcast in a join if it was counted to have at most ``most`` rows. For narrow tables."""
     df = materialise(df)
