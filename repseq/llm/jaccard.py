@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from repseq.llm.textcore import blocks
 from repseq.operators.components import connected_components
-from repseq.operators.shared import materialise, small_side
+from repseq.operators.shared import small_side, stored
 
 #: Words of a shingle.
 WORDS = 5
@@ -153,7 +153,7 @@ def shared_tokens(docs: DataFrame, width: int, similar: tuple[int, int]) -> Data
     return beside.where("before IS NOT NULL OR after IS NOT NULL OR part > 0").drop("after", "part")
 
 
-def similar_links(docs: DataFrame, rows: DataFrame, width: int, similar: tuple[int, int]) -> DataFrame:
+def similar_links(docs: DataFrame, rows: DataFrame, width: int, similar: tuple[int, int], kept: list[DataFrame]) -> DataFrame:
     """``(src, dst)``: pairs of different nodes of at least that Jaccard similarity, whose components are those of all such pairs.
 
     First candidates: nodes whose SimHash fingerprints differ in two bits or fewer, found
@@ -167,7 +167,7 @@ def similar_links(docs: DataFrame, rows: DataFrame, width: int, similar: tuple[i
     from repseq.llm.simhash import links, plan
 
     num, den = similar
-    some = materialise(rows.where("size > 0").groupBy("node").agg(F.first("size").alias("size"), F.first("fp").alias("fp"), F.first("odd").alias("odd")))
+    some = stored(rows.where("size > 0").groupBy("node").agg(F.first("size").alias("size"), F.first("fp").alias("fp"), F.first("odd").alias("odd")), kept)
     folded = lambda a, b: f"CASE WHEN SIZE({a}) > SIZE({b}) THEN ZIP_WITH(SLICE({a}, 1, SIZE({b})), SLICE({a}, SIZE({b}) + 1, SIZE({b})), (x, y) -> x ^ y) ELSE {a} END"
     differ = f"AGGREGATE(ZIP_WITH({folded('a', 'b')}, {folded('b', 'a')}, (x, y) -> BIT_COUNT(x ^ y)), 0, (s, x) -> s + x)"
 
@@ -183,36 +183,39 @@ def similar_links(docs: DataFrame, rows: DataFrame, width: int, similar: tuple[i
         least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("at").alias("key"))).alias("r")
         reps = small_side(rows.join(wanted, "node", "left_semi").groupBy("node").agg(least).select("r.id", "r.key"))
         texts = docs.join(reps, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("at") == F.col("key")), "left_semi").select("at", "text").dropDuplicates(["at"])
-        sets = materialise(token_sets(texts, width))
+        sets = stored(token_sets(texts, width), kept)
         both = pairs.join(sets.select(F.col("node").alias("src"), F.col("shingles").alias("a")), "src").join(sets.select(F.col("node").alias("dst"), F.col("shingles").alias("b")), "dst")
-        return materialise(both.where(f"{num + den}L * SIZE(ARRAY_INTERSECT(a, b)) >= {num}L * (SIZE(a) + SIZE(b))").select("src", "dst"), free=True)
+        return stored(both.where(f"{num + den}L * SIZE(ARRAY_INTERSECT(a, b)) >= {num}L * (SIZE(a) + SIZE(b))").select("src", "dst"), kept)
 
-    listed = materialise(shared_tokens(docs, width, similar), free=True)
-    first_of = materialise(some.groupBy("fp").agg(F.min("node").alias("least"), F.count("*").alias("n")))
+    listed = stored(shared_tokens(docs, width, similar), kept)
+    first_of = stored(some.groupBy("fp").agg(F.min("node").alias("least"), F.count("*").alias("n")), kept)
     fps = first_of.select("fp")
     near = links(fps, plan(fps)).join(first_of.select(F.col("fp").alias("src"), F.col("least").alias("one")), "src").join(first_of.select(F.col("fp").alias("dst"), F.col("least").alias("other")), "dst").select("one", "other")
     equal = some.join(first_of.where("n > 1").select("fp", "least"), "fp").where("node <> least").select(F.col("node").alias("one"), F.col("least").alias("other"))
-    beside = listed.where(f"{den}L * LEAST(size, before_size) >= {num}L * GREATEST(size, before_size)").select(F.col("node").alias("one"), F.col("before").alias("other"))
+    beside = listed.where(f"before IS NOT NULL AND {den}L * LEAST(size, before_size) >= {num}L * GREATEST(size, before_size)").select(F.col("node").alias("one"), F.col("before").alias("other"))
     pairs = near.unionAll(equal).unionAll(beside).select(F.greatest("one", "other").alias("src"), F.least("one", "other").alias("dst")).distinct()
-    best = materialise(passed(pairs).groupBy("src").agg(F.min(F.struct("d", "dst")).alias("best")).select("src", F.col("best.dst").alias("dst")), free=True)
+    best = stored(passed(pairs).groupBy("src").agg(F.min(F.struct("d", "dst")).alias("best")).select("src", F.col("best.dst").alias("dst")), kept)
     first = verified(best)
 
     groups = small_side(connected_components(first))
     found = listed.select("token", "node", "size", "pos").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     per = found.groupBy("token", "component").agg(F.count("*").alias("n")).groupBy("token").agg(F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("parts"))
-    mixed = materialise(found.join(per.where("parts > 1").select("token", F.col("top.component").alias("main")), "token"))
+    mixed = stored(found.join(per.where("parts > 1").select("token", F.col("top.component").alias("main")), "token"), kept)
     x = mixed.where("component <> main").select("token", F.col("node").alias("src"), F.col("size").alias("n"), F.col("pos").alias("i"), F.col("component").alias("g"))
     y = mixed.select("token", F.col("node").alias("dst"), F.col("size").alias("m"), F.col("pos").alias("j"), F.col("component").alias("h"), "main")
     short = lambda at, n: f"{at} <= {n} - ({2 * num}L * {n} + {num + den - 1}) DIV {num + den}"
     smaller = f"CASE WHEN m < n OR (m = n AND dst < src) THEN {short('j', 'm')} ELSE {short('i', 'n')} END"
     fits = f"{den}L * LEAST(n, m) >= {num}L * GREATEST(n, m) AND {num + den}L * LEAST(n - i, m - j) >= {num}L * (n + m) AND {smaller}"
     across = x.join(y, "token").where(f"g <> h AND (h = main OR dst < src) AND {fits}").select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).distinct()
-    return first.unionAll(verified(materialise(passed(across).select("src", "dst"), free=True)))
+    return first.unionAll(verified(stored(passed(across).select("src", "dst"), kept)))
 
 
-def similar_groups(docs: DataFrame, width: int = WORDS, similar: tuple[int, int] = SIMILAR) -> DataFrame:
-    """``(doc_id, at, root)`` of every row; ``at`` is a hash of its text. Rows have one root if a chain of near copies joins them; rows without words are one group."""
+def similar_groups(docs: DataFrame, kept: list[DataFrame], width: int = WORDS, similar: tuple[int, int] = SIMILAR) -> DataFrame:
+    """``(doc_id, at, root)`` of every row; ``at`` is a hash of its text. Rows have one root if a chain of near copies joins them; rows without words are one group.
+
+    ``kept`` gets the tables behind it, to be released when the result has been used.
+    """
     docs = with_text_key(docs)
-    rows = materialise(set_rows(docs, width))
-    joined = small_side(connected_components(similar_links(docs, rows, width, similar)).select("node", F.col("component").alias("root")))
+    rows = stored(set_rows(docs, width), kept)
+    joined = small_side(connected_components(similar_links(docs, rows, width, similar, kept)).select("node", F.col("component").alias("root")))
     return rows.select("doc_id", "at", "node").join(joined, "node", "left").select("doc_id", "at", F.coalesce("root", "node").alias("root"))

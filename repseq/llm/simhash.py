@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from repseq.llm.jaccard import SIMILAR, similar_groups
 from repseq.llm.textcore import LOWER, NOT_SPACE, Block, blocks
 from repseq.operators.components import connected_components
-from repseq.operators.shared import materialise, small_side
+from repseq.operators.shared import materialise, released, small_side
 
 BITS = 64
 SHINGLE = 3
@@ -262,9 +262,11 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS,
     over when the smallest is taken; an empty table gives no rows.
     """
     if similar is not None:
-        rooted = materialise(similar_groups(docs, similar=similar))
+        kept: list[DataFrame] = []
+        rooted = similar_groups(docs, kept, similar=similar).select("root", "doc_id", "at").distinct()
         lowest = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-        of_row = rooted.join(lowest, "root").select(F.col("doc_id").alias("__id"), F.col("at").alias("__at"), "component_id").distinct()
+        of_row = materialise(rooted.join(lowest, "root").select(F.col("doc_id").alias("__id"), F.col("at").alias("__at"), "component_id").distinct())
+        released(kept)
         by_row = fingerprints(docs.select(F.struct("doc_id", F.xxhash64("text").alias("at")).alias("doc_id"), "text"), width)
         out = by_row.join(of_row, F.col("doc_id.doc_id").eqNullSafe(F.col("__id")) & (F.col("doc_id.at") == F.col("__at")))
         return out.select("doc_id.doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -286,9 +288,11 @@ def one_of_each(docs: DataFrame, similar: tuple[int, int] = SIMILAR) -> DataFram
     Of rows equal in both one stays, the same in every run. Only keys are grouped; texts are not shuffled
     unless the rows that go are too many to be broadcast.
     """
-    rooted = materialise(similar_groups(docs, similar=similar).where("doc_id IS NOT NULL").groupBy("root", "doc_id", "at").agg(F.count("*").alias("n")))
-    kept = rooted.groupBy("root").agg(F.min(F.struct("doc_id", "at")).alias("k"))
-    judged = rooted.join(kept, "root").select(F.col("doc_id").alias("__id"), F.col("at").alias("__key"), "n", (F.struct("doc_id", "at") == F.col("k")).alias("kept"))
+    stored: list[DataFrame] = []
+    rooted = materialise(similar_groups(docs, stored, similar=similar).where("doc_id IS NOT NULL").groupBy("root", "doc_id", "at").agg(F.count("*").alias("n")))
+    released(stored)
+    first = rooted.groupBy("root").agg(F.min(F.struct("doc_id", "at")).alias("k"))
+    judged = rooted.join(first, "root").select(F.col("doc_id").alias("__id"), F.col("at").alias("__key"), "n", (F.struct("doc_id", "at") == F.col("k")).alias("kept"))
     given = docs.withColumn("__at", F.xxhash64("text"))
     own = (F.col("doc_id") == F.col("__id")) & (F.col("__at") == F.col("__key"))
     gone = small_side(judged.where("NOT kept OR n > 1").select("__id", "__key", "kept"))
