@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 #: A table of so many rows of a few numbers each is broadcast, a larger one is joined by a shuffle.
 FEW = 100_000
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -36,6 +37,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return known.get()
 
 
+def small_batches(spark: SparkSession, most: int = 8 << 20) -> SparkSession:
+    """From now on batches between the JVM and Python have ``most`` bytes, so that workers hold little of long texts. What the application set itself stays."""
+    if not spark.sparkContext.getConf().contains(BATCH_BYTES):
+        spark.conf.set(BATCH_BYTES, most)
+    return spark
+
+
 def materialise(df: DataFrame, free: bool = False) -> DataFrame:
     """``df`` computed once and kept in the shared folder, with its lineage cut.
 
