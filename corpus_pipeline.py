@@ -8,21 +8,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repseq.llm import decontamination, language_id, mixing, sharding, simhash
-from repseq.operators.shared import checkpoint_dir
+from repseq.operators.shared import checkpoint_dir, small_batches
 
 
 def recognise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that was learned; those that identification rejects go."""
+    small_batches(spark)
     return language_id.recognised(docs)
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, Jaccard 0.8 or more) stays: that of the smallest doc_id."""
+    small_batches(spark)
     return simhash.one_of_each(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Occurrences of benchmark windows are cut from texts; clean texts stay as they are."""
+    small_batches(spark)
     return decontamination.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
