@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from repseq.llm.textcore import blocks
+from repseq.llm.textcore import blocks, scrambled
 from repseq.operators.components import connected_components
 from repseq.operators.shared import small_side, stored
 
@@ -23,6 +23,10 @@ ORDER_TEXTS = 8_000
 COMMON = 3
 #: Rows of one shingle that are lined up together.
 LIST_ROWS = 50_000
+#: Postings that a task sorts at a time, and that a bucket is planned for; most partitions of buckets.
+FLUSH = 1 << 18
+BUCKET = 300_000
+PARTITIONS = 100_000
 #: Parity bits for each shingle of a set.
 PARITY = 4
 #: Sets that a task remembers, so as not to send out copies again.
@@ -93,29 +97,52 @@ def set_rows(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, at long, node long, size int, fp long, odd array<long>")
 
 
-def postings(docs: DataFrame, width: int, similar: tuple[int, int]) -> DataFrame:
-    """``(token, part, node, size, pos)``: the prefix of every set. Two similar sets share a token of their prefixes.
+def packed(*columns: np.ndarray) -> bytes:
+    """Numbers byte by byte: all lowest bytes, then all second ones, so that high zeros lie together and the shuffle's compression removes them."""
+    return b"".join(np.ascontiguousarray(c.view(np.uint8).reshape(len(c), -1).T).tobytes() for c in columns)
+
+
+def unpacked(data: bytes, kinds: Sequence[type]) -> list[np.ndarray]:
+    sizes = [np.dtype(k).itemsize for k in kinds]
+    raw, n, out, at = np.frombuffer(data, np.uint8), len(data) // sum(sizes), [], 0
+    for kind, size in zip(kinds, sizes, strict=True):
+        out.append(np.ascontiguousarray(raw[at : at + n * size].reshape(size, n).T).view(kind).ravel())
+        at += n * size
+    return out
+
+
+_POSTING = (np.uint64, np.int64, np.int32, np.int32)  # token (as a step from the one before), node, size, position
+_DEALT = np.int32(1 << 30)  # a flag in the position
+
+
+def postings(docs: DataFrame, width: int, similar: tuple[int, int], buckets: int) -> DataFrame:
+    """``(bucket, data)``: the prefixes of all sets, dealt into buckets by token. Two similar sets share a token of their prefixes.
 
     Shingles are ordered by how many texts of a sample have them, then by hash: one
     order for all rows. Of n shingles, an overlap of at least ``similar`` x n with
     another set cannot avoid the first n - ceil(similar x n) + 1. A token that the sample
-    says more than ``LIST_ROWS`` rows have is dealt into ``part`` 1, 2, ...; others have part 0.
-    A task sends a set out once, as long as it remembers it.
+    says more than ``LIST_ROWS`` rows have goes to several buckets, by node. A task sends a set out once, as
+    long as it remembers it, and sorts ``FLUSH`` postings at a time.
     """
     shared = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, width))  # shingles of a bounded sample
     num, den = similar
 
+    def dealt(out: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        token, lot, node, size, pos = (np.concatenate([o[c] for o in out]) for c in range(5))
+        bucket = (np.where(lot > 0, scrambled(token + lot.astype(np.uint64)), token) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+        order = np.lexsort((token, bucket))
+        token, node, size, bucket = token[order], node[order], size[order], bucket[order]
+        pos = np.where(lot > 0, pos | _DEALT, pos)[order]
+        cuts = np.flatnonzero(np.diff(bucket, prepend=np.uint64(buckets + 1), append=np.uint64(buckets + 1)))
+        data = [packed(np.diff(token[a:b], prepend=np.uint64(0)), node[a:b], size[a:b], pos[a:b]) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(bucket[cuts[:-1]].astype(np.int32)), pa.array(data, pa.binary())], ["bucket", "data"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts, share = shared.value
         seen: set[int] = set()
+        out: list[tuple[np.ndarray, ...]] = []
+        held = 0
         for batch in batches:
-            out: list[tuple[np.ndarray, ...]] = []
-            held = 0
-
-            def flush() -> pa.RecordBatch:
-                columns = [np.concatenate([o[c] for o in out]) for c in range(5)]
-                return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "part", "node", "size", "pos"])
-
             for s in (s for _, sets, _ in shingle_sets(batch.column("text"), width) for s in sets):
                 node = node_of(s)
                 if not len(s) or node in seen:
@@ -124,33 +151,64 @@ def postings(docs: DataFrame, width: int, similar: tuple[int, int]) -> DataFrame
                     seen.clear()
                 seen.add(node)
                 n = len(s)
-                parts = np.zeros(n, np.int32)
+                lot = np.zeros(n, np.int32)
                 if len(keys):
                     at = np.minimum(np.searchsorted(keys, s), len(keys) - 1)
                     often = np.where(keys[at] == s, counts[at], 0)
                     order = np.argsort(often, kind="stable")
                     s, often = s[order], often[order]
                     lots = np.ceil(often / share / LIST_ROWS).astype(np.int64)
-                    mixed = ((s ^ np.uint64(node & (1 << 64) - 1)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
-                    parts = np.where(lots > 1, mixed.astype(np.int64) % np.maximum(lots, 1) + 1, 0).astype(np.int32)
+                    if lots.max() > 1:
+                        own = scrambled(s ^ np.uint64(node & (1 << 64) - 1)) >> np.uint64(33)
+                        lot = np.where(lots > 1, own.astype(np.int64) % np.maximum(lots, 1) + 1, 0).astype(np.int32)
                 p = n - -(-num * n // den) + 1
-                out.append((s[:p].view(np.int64), parts[:p], np.full(p, node, np.int64), np.full(p, n, np.int32), np.arange(p, dtype=np.int32)))
+                out.append((s[:p], lot[:p], np.full(p, node, np.int64), np.full(p, n, np.int32), np.arange(p, dtype=np.int32)))
                 held += p
-                if held > 1 << 17:
-                    yield flush()
+                if held > FLUSH:
+                    yield dealt(out)
                     out, held = [], 0
-            if out:
-                yield flush()
-
-    return docs.select("text").mapInArrow(run, "token long, part int, node long, size int, pos int")
+        if out:
+            yield dealt(out)
+
+    return docs.select("text").mapInArrow(run, "bucket int, data binary")
+
+
+def shared_tokens(docs: DataFrame, width: int, similar: tuple[int, int], expected: int) -> DataFrame:
+    """``(token, node, size, pos, before, before_size)``: the postings whose token another set has, each with the set before it in an order that differs from token to token."""
+    buckets = max(1, -(-expected // BUCKET))
+    names = ["token", "node", "size", "pos", "before", "before_size"]
+
+    def listed(parts: list[bytes]) -> pa.RecordBatch:
+        columns = [unpacked(p, _POSTING) for p in parts]
+        token = np.concatenate([np.cumsum(c[0]) for c in columns])
+        node, size, pos = (np.concatenate([c[k] for c in columns]) for k in (1, 2, 3))
+        del columns
+        order = np.lexsort((node, scrambled(token ^ node.view(np.uint64)), token))
+        token, node, size, pos = token[order], node[order], size[order], pos[order]
+        same = token[1:] == token[:-1]
+        once = np.concatenate([[True], ~(same & (node[1:] == node[:-1]))])
+        token, node, size, pos = token[once], node[once], size[once], pos[once]
+        same = np.concatenate([[False], token[1:] == token[:-1], [False]])
+        use = np.flatnonzero(same[:-1] | same[1:] | (pos & _DEALT > 0))
+        first = ~same[use]
+        columns = [token[use].view(np.int64), node[use], size[use], pos[use] & ~_DEALT]
+        return pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(node[use - 1], mask=first), pa.array(size[use - 1], mask=first)], names)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, parts = None, []
+        for batch in batches:
+            for k, data in zip(batch.column("bucket").to_pylist(), batch.column("data"), strict=True):
+                if k != bucket and parts:
+                    yield listed(parts)
+                    parts = []
+                bucket = k
+                parts.append(data.as_py())
+        if parts:
+            yield listed(parts)
 
-def shared_tokens(docs: DataFrame, width: int, similar: tuple[int, int]) -> DataFrame:
-    """The postings whose token another set has, each with the set before it (``before``, ``before_size``) in an order that differs from token to token."""
-    near = Window.partitionBy("token", "part").orderBy(F.xxhash64("node", "token"), "node")
-    once = postings(docs, width, similar).withColumn("was", F.lag("node").over(near)).where("was IS NULL OR was <> node").drop("was")
-    beside = once.select("*", F.lag("node").over(near).alias("before"), F.lag("size").over(near).alias("before_size"), F.lead("node").over(near).alias("after"))
-    return beside.where("before IS NOT NULL OR after IS NOT NULL OR part > 0").drop("after", "part")
+    dealt = postings(docs, width, similar, buckets)
+    dealt = dealt.repartition(min(buckets, PARTITIONS), "bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(run, "token long, node long, size int, pos int, before long, before_size int")
 
 
 def similar_links(docs: DataFrame, rows: DataFrame, width: int, similar: tuple[int, int], kept: list[DataFrame]) -> DataFrame:
@@ -187,7 +245,8 @@ def similar_links(docs: DataFrame, rows: DataFrame, width: int, similar: tuple[i
         both = pairs.join(sets.select(F.col("node").alias("src"), F.col("shingles").alias("a")), "src").join(sets.select(F.col("node").alias("dst"), F.col("shingles").alias("b")), "dst")
         return stored(both.where(f"{num + den}L * SIZE(ARRAY_INTERSECT(a, b)) >= {num}L * (SIZE(a) + SIZE(b))").select("src", "dst"), kept)
 
-    listed = stored(shared_tokens(docs, width, similar), kept)
+    expected = rows.agg(F.sum(F.col("size") * (den - num) / den + 1)).first()[0] or 0
+    listed = stored(shared_tokens(docs, width, similar, int(expected)), kept)
     first_of = stored(some.groupBy("fp").agg(F.min("node").alias("least"), F.count("*").alias("n")), kept)
     fps = first_of.select("fp")
     near = links(fps, plan(fps)).join(first_of.select(F.col("fp").alias("src"), F.col("least").alias("one")), "src").join(first_of.select(F.col("fp").alias("dst"), F.col("least").alias("other")), "dst").select("one", "other")
