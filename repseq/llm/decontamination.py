@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from repseq.llm.textcore import LOWER, LOWER_WORD, Block, Slices, blocks, segment_sums
+from repseq.llm.textcore import LOWER, LOWER_WORD, Block, Slices, blocks, lean, segment_sums
 from repseq.operators.shared import materialise
 
 WINDOW = 10
@@ -23,29 +24,32 @@ SAMPLE_RATE = 8
 PASS_BYTES = 16 << 20
 #: Passes between two checkpoints.
 PASSES = 4
-_BITS = 21
 
 
 # --- the index ----------------------------------------------------------------------
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
-    """Order of all suffixes of ``text``, numbers below 2**21 that end in a lone 0.
+    """Order of all suffixes of ``text``, numbers that end in a lone 0.
 
-    Three symbols make the first key; then suffixes that are still tied, and only they,
+    As many symbols as fit 63 bits make the first key; then suffixes that are still tied, and only they,
     are ordered by the rank of what follows, twice as far each time.
     """
     n = len(text)
-    ahead = np.zeros(n + 2, np.int64)
+    bits = max(1, int(text.max()).bit_length())
+    step = min(8, 63 // bits)
+    ahead = np.zeros(n + step, np.int64)
     ahead[:n] = text
-    key = (ahead[:n] << (2 * _BITS)) | (ahead[1 : n + 1] << _BITS) | ahead[2:]
+    key = ahead[:n].copy()
+    for k in range(1, step):
+        key = key << bits | ahead[k : n + k]
     order = np.argsort(key)
     ordered = key[order]
     rank = np.empty(n, np.int64)
     head = np.concatenate([[True], ordered[1:] != ordered[:-1]])
     rank[order] = np.maximum.accumulate(np.where(head, np.arange(n), 0))
     tied = ~(head & np.concatenate([head[1:], [True]]))
-    places, step = np.flatnonzero(tied), 3
+    places = np.flatnonzero(tied)
     while len(places):
         who = order[places]
         after = who + step
@@ -136,40 +140,47 @@ class FMIndex:
 
 @dataclass
 class Phrases:
-    """Windows of benchmark items as rows of word numbers (-1 past the end of a short one)."""
+    """The words of benchmark items by number, one item after another, and the windows in them: where each begins, how many words it has, whose it is."""
 
     words: list[bytes]
     hashes: np.ndarray
-    windows: np.ndarray
+    sequence: np.ndarray
+    begins: np.ndarray
     lengths: np.ndarray
     item_of: np.ndarray
     items: list[str]
 
 
-def phrases(items: Iterable[tuple[object, str | None]], width: int = WINDOW) -> Phrases:
+def phrases(items: Sequence[tuple[object, str | None]], width: int = WINDOW) -> Phrases:
     """All windows of ``width`` consecutive words of each item; an item of fewer words, but not none, is one window."""
-    names, texts = zip(*((("" if k is None else str(k)), t) for k, t in items), strict=True) if items else ((), ())
+    names = ["" if k is None else str(k) for k, _ in items]
+    words: list[bytes] = []
+    known, sequence, begins, lengths, owner = [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
     number: dict[bytes, int] = {}
-    rows, lengths, owner, hashes = [], [], [], []
-    for block in blocks(pa.array(texts, pa.string())):
+    at = 0
+    for block in blocks(pa.array([t for _, t in items], pa.string())):
         buf = LOWER[block.buf]
         starts, ends, firsts = block.words(LOWER_WORD, buf)
-        keys, data = Slices(buf).hashes(starts, ends), buf.tobytes()
-        ids = []
-        for s, e, h in zip(starts.tolist(), ends.tolist(), keys.tolist(), strict=True):
-            word = data[s:e]
+        keys, example, place = np.unique(Slices(buf).hashes(starts, ends), return_index=True, return_inverse=True)
+        data, own, fresh = buf.tobytes(), np.zeros(len(keys), np.int32), []
+        for k, e in enumerate(example.tolist()):
+            word = data[starts[e] : ends[e]]
             if word not in number:
                 number[word] = len(number)
-                hashes.append(h)
-            ids.append(number[word])
-        for k in range(block.n):
-            own = ids[firsts[k] : firsts[k + 1]]
-            for i in range(max(1, len(own) - width + 1) if own else 0):
-                window = own[i : i + width]
-                rows.append(window + [-1] * (width - len(window)))
-                lengths.append(len(window))
-                owner.append(block.lo + k)
-    return Phrases(list(number), np.array(hashes, np.uint64), np.array(rows, np.int64).reshape(-1, width), np.array(lengths, np.int64), np.array(owner, np.int64), list(names))
+                fresh.append(k)
+            own[k] = number[word]
+        words += [data[starts[e] : ends[e]] for e in example[fresh].tolist()]
+        known.append(keys[fresh])
+        sequence.append(own[place])
+        per = np.diff(firsts)
+        n = np.where(per >= width, per - width + 1, np.minimum(per, 1))
+        text = np.repeat(np.arange(block.n), n)
+        nth = np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)
+        begins.append(at + firsts[text] + nth)
+        lengths.append(np.minimum(per, width)[text].astype(np.int32))
+        owner.append((block.lo + text).astype(np.int32))
+        at += len(starts)
+    return Phrases(words, *map(np.concatenate, (known, sequence, begins, lengths, owner)), names)
 
 
 @dataclass
@@ -184,45 +195,69 @@ class Found:
     items: np.ndarray
 
 
-def find(block: Block, sought: Phrases, rate: int = SAMPLE_RATE) -> Found:
-    """Index the words of a block and find every occurrence of every window."""
+def find(block: Block, sought: Phrases, rate: int = SAMPLE_RATE, most: int = SHARD_BYTES) -> Found:
+    """Index the words of a block and find every occurrence of every window.
+
+    A text of more than ``most`` bytes is indexed in pieces that overlap by one word
+    less than the longest window, so each occurrence is whole in one of them.
+    """
     buf = LOWER[block.buf]
     starts, ends, firsts = block.words(LOWER_WORD, buf)
     n = len(starts)
     hit, none = np.zeros(n, bool), np.zeros(0, np.int64)
-    if n == 0 or len(sought.windows) == 0:
+    if n == 0 or len(sought.begins) == 0:
         return Found(starts, ends, firsts, hit, none, none)
+    if block.n == 1 and len(buf) > most and n > 1:
+        items, at, more = [none], 0, int(sought.lengths.max()) - 1
+        while at < n:
+            stop = max(at + 1, int(np.searchsorted(ends, starts[at] + most // 2, "right")))
+            last = min(n, stop + more)
+            size = int(ends[last - 1] - starts[at])
+            part = find(Block(0, 1, block.buf[starts[at] : ends[last - 1]], np.array([0, size])), sought, rate, max(most, size))
+            hit[at:last] |= part.hit
+            items.append(part.items)
+            at = stop
+        own = np.unique(np.concatenate(items))
+        return Found(starts, ends, firsts, hit, np.zeros(len(own), np.int64), own)
     vocabulary, example, ids = np.unique(Slices(buf).hashes(starts, ends), return_index=True, return_inverse=True)
-    if len(vocabulary) + 2 >= 1 << _BITS:
-        raise ValueError(f"more than {(1 << _BITS) - 3} different words under one index")
     at = np.minimum(np.searchsorted(vocabulary, sought.hashes), len(vocabulary) - 1)
     known = vocabulary[at] == sought.hashes
     for k in np.flatnonzero(known):  # equal hashes are held against the words themselves
         w = example[at[k]]
         known[k] = buf[starts[w] : ends[w]].tobytes() == sought.words[k]
-    symbols = np.append(np.where(known, at + 2, -1), -1)
-    windows = symbols[sought.windows]
-    possible = np.flatnonzero((windows >= 0).sum(1) == sought.lengths)
+    so_far = np.zeros(len(sought.sequence) + 1, np.int32)
+    np.cumsum(known[sought.sequence], out=so_far[1:])
+    possible = np.flatnonzero(so_far[sought.begins + sought.lengths] - so_far[sought.begins] == sought.lengths)
     if not len(possible):
         return Found(starts, ends, firsts, hit, none, none)
+    # words of possible windows keep their numbers; all others are one symbol, which no window has
+    reach = np.arange(int(sought.lengths.max()))
+    lengths = sought.lengths[possible]
+    windows = np.where(reach < lengths[:, None], sought.sequence[np.minimum(sought.begins[possible][:, None] + reach, len(sought.sequence) - 1)], -1)
+    asked = np.zeros(len(known), bool)
+    asked[windows[windows >= 0]] = True
+    symbols = np.append(np.where(asked, np.cumsum(asked) + 2, 0), -1)
+    windows = symbols[windows]
+    other = np.full(len(vocabulary), 2, np.int64)
+    other[at[asked]] = symbols[:-1][asked]
     text = np.ones(n + block.n + 1, np.int64)  # 1 between texts, 0 at the end
     place = np.arange(n) + np.repeat(np.arange(block.n), np.diff(firsts))
-    text[place] = ids + 2
+    text[place] = other[ids]
     text[-1] = 0
     index = FMIndex(text, rate)
-    lo, hi = index.search(windows[possible], sought.lengths[possible])
+    lo, hi = index.search(windows, lengths)
     times = np.maximum(hi - lo, 0)
-    window = np.repeat(possible, times)
+    window = np.repeat(np.arange(len(possible)), times)
     if not len(window):
         return Found(starts, ends, firsts, hit, none, none)
     rows = np.arange(len(window)) - np.repeat(np.cumsum(times) - times, times) + np.repeat(lo, times)
     word = np.searchsorted(place, index.locate(rows))
     steps = np.zeros(n + 1, np.int64)
     np.add.at(steps, word, 1)
-    np.add.at(steps, word + sought.lengths[window], -1)
+    np.add.at(steps, word + lengths[window], -1)
     hit = np.cumsum(steps[:-1]) > 0
     texts = np.searchsorted(firsts, word, "right") - 1
-    pairs = np.unique(texts * len(sought.items) + sought.item_of[window])
+    pairs = np.unique(texts * len(sought.items) + sought.item_of[possible[window]])
     return Found(starts, ends, firsts, hit, pairs // len(sought.items), pairs % len(sought.items))
 
 
@@ -250,6 +285,14 @@ def passes(benchmark: DataFrame, width: int = WINDOW, most: int = PASS_BYTES) ->
         yield phrases(kept, width)
 
 
+def settled(df: DataFrame, alive: list[Broadcast]) -> DataFrame:
+    """``df`` computed and kept; the phrases that were broadcast for it go."""
+    out = materialise(df)
+    while alive:
+        alive.pop().unpersist()
+    return out
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, pass_bytes: int = PASS_BYTES) -> DataFrame:
     """``docs`` plus ``hit_spans`` array<struct<first:long,last:long>> (merged runs of hit words, by word number), ``hit_items`` array<string> and ``n_words`` long.
 
@@ -260,6 +303,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, pa
     string. Columns of ``docs`` with those names are replaced.
     """
     spark = docs.sparkSession
+    alive: list[Broadcast] = []
     docs = docs.drop("hit_spans", "hit_items", "n_words")
     schema = StructType([*docs.schema.fields, *StructType.fromDDL("hit_spans array<struct<first: bigint, last: bigint>>, hit_items array<string>, n_words long").fields])
     given, names = docs.columns, schema.names
@@ -267,6 +311,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, pa
 
     def one_pass(df: DataFrame, sought: Phrases, first: bool) -> DataFrame:
         shared = spark.sparkContext.broadcast(sought)
+        alive.append(shared)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             query = shared.value
@@ -290,13 +335,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, pa
                     new = [pa.array(runs, span_type), pa.array([sorted(set(x)) for x in items], pa.list_(pa.string())), pa.array(np.diff(found.firsts), pa.int64())]
                     yield pa.RecordBatch.from_arrays([*own, *new], names)
 
-        return df.mapInArrow(run, schema)
+        return df.mapInArrow(lean(run), schema)
 
     out, k = docs, 0
     for k, sought in enumerate(passes(benchmark, width, pass_bytes), 1):
         out = one_pass(out, sought, k == 1)
         if k % PASSES == 0:
-            out = materialise(out)
+            out = settled(out, alive)
     return out if k else one_pass(docs, phrases([], width), True)
 
 
@@ -329,10 +374,12 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, p
     into a window of another.
     """
     spark = docs.sparkSession
+    alive: list[Broadcast] = []
     has_length = "n_chars" in docs.columns
 
     def cut(df: DataFrame, sought: Phrases) -> DataFrame:
         shared = spark.sparkContext.broadcast(sought)
+        alive.append(shared)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -346,17 +393,17 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, p
                     columns["n_chars"] = pa.array(lengths, columns["n_chars"].type)
                 yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
-        return df.mapInArrow(run, docs.schema)
+        return df.mapInArrow(lean(run), docs.schema)
 
     sets = 0
     out = docs
     for sets, sought in enumerate(passes(benchmark, width, pass_bytes), 1):
         out = cut(out, sought)
         if sets % PASSES == 0:
-            out = materialise(out)
+            out = settled(out, alive)
     while sets > 1 and contamination(out, benchmark, width, pass_bytes).where("size(hit_spans) > 0").limit(1).count():
         for sought in passes(benchmark, width, pass_bytes):
-            out = materialise(cut(out, sought))
+            out = settled(cut(out, sought), alive)
     return out
 
 
@@ -377,4 +424,28 @@ def digest(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     )
 
 
+#: ``items_sha256`` of a document without items.
 EMPTY_SHA256 = hashlib.sha256(b"").hexdigest()
+
+ORACLE = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), p AS (
+  SELECT item, least(len(w), 10) AS n, array_to_string(list_slice(w, i, i + 9), ' ') AS phrase
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)
+), o AS (
+  SELECT k, i, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS phrase
+  FROM (SELECT k, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM p) WHERE len(w) >= n)
+), f AS (
+  SELECT o.k, o.i, o.n, p.item FROM o JOIN (SELECT DISTINCT item, n, phrase FROM p) p ON o.n = p.n AND o.phrase = p.phrase
+), h AS (
+  SELECT k, count(DISTINCT place) AS n_hit FROM (SELECT k, unnest(range(i, i + n)) AS place FROM f) GROUP BY k
+), t AS (
+  SELECT k, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM f GROUP BY k
+)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(h.n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(t.n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(t.items, '')) AS items_sha256, h.n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN h USING (k) LEFT JOIN t USING (k)
+"""

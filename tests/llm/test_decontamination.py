@@ -3,9 +3,11 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from repseq.llm import decontamination as D
+from repseq.llm.textcore import blocks
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -103,3 +105,23 @@ def test_index(seed):
     for p, a, b in zip(patterns, lo, hi, strict=True):
         at = sorted(index.locate(np.arange(a, max(a, b))).tolist())
         assert at == [i for i in range(len(text) - len(p) + 1) if text[i : i + len(p)].tolist() == p]
+
+
+def test_long_texts_are_searched_in_overlapping_pieces():
+    rng = random.Random(5)
+    words = [f"w{rng.randrange(40)}" for _ in range(3_000)]
+    items = [(k, " ".join(words[i : i + n])) for k, (i, n) in enumerate([(0, 14), (700, 30), (2_990, 10), (1_500, 4), (2_000, 10)])] + [(9, "never there")]
+    sought, text = D.phrases(items), " ".join(words)
+    block = next(blocks(pa.array([text])))
+    whole = D.find(block, sought)
+    for most in (20, 64, 200, 1_000, len(text) - 1):
+        cut = D.find(block, sought, most=most)
+        assert (cut.hit == whole.hit).all() and cut.items.tolist() == whole.items.tolist() and set(cut.texts.tolist()) == {0}
+
+
+def test_text_of_more_different_words_than_21_bits():
+    words = [f"{i:x}" for i in range(2_200_000)]
+    for at in (0, 1_048_570, 2_199_980):
+        words[at : at + 12] = [f"planted{k}" for k in range(12)]
+    found = D.find(next(blocks(pa.array([" ".join(words)]))), D.phrases([("a", " ".join(f"planted{k}" for k in range(12)))]))
+    assert found.hit.nonzero()[0].tolist() == [at + k for at in (0, 1_048_570, 2_199_980) for k in range(12)]
