@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from repseq.llm.textcore import NOT_SPACE, Block, Slices, blocks, covered, scrambled, segment_sums, window_hashes
+from repseq.llm.textcore import NOT_SPACE, Block, Slices, blocks, covered, lean, scrambled, segment_sums, window_hashes
 
 WINDOW = 8
 SAMPLE_ROWS = 2_000
@@ -208,7 +208,7 @@ def filter_quality(docs: DataFrame, rules: Sequence[Rule] = BASE + RULES, sample
             yield pa.RecordBatch.from_arrays([*batch.columns, names_of], [*batch.schema.names, "failed_rule"])
 
     schema = StructType([*docs.schema.fields, StructField("failed_rule", StringType())])
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def quality_report(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
@@ -247,9 +247,32 @@ def quality_report(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows:
                 )
 
     kinds = ", ".join(f"{s} long" for s in STATS)
-    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {kinds}, base_failed boolean, kept boolean, failed_rule string")
+    return docs.mapInArrow(lean(run), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {kinds}, base_failed boolean, kept boolean, failed_rule string")
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``failed_rule`` depends on the measured order, so the query leaves it out: reruns agree."""
     return quality_report(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("failed_rule")
+
+
+ORACLE = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines FROM documents
+), g AS (
+  SELECT k, i, array_to_string(list_slice(w, i, i + 7), ' ') AS phrase FROM (SELECT k, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8)
+), r AS (
+  SELECT k, count(DISTINCT place) AS n FROM (SELECT k, unnest(range(i, i + 8)) AS place FROM (SELECT k, i, count(*) OVER (PARTITION BY k, phrase) AS times FROM g) WHERE times > 1) GROUP BY k
+), s AS (
+  SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(len(lines) AS BIGINT) AS n_lines, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words, length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_upper, length(regexp_replace(t, '[^A-Za-z]', '', 'g')) AS n_letters,
+    length(regexp_replace(t, '[^!]', '', 'g')) AS n_bangs
+  FROM d LEFT JOIN r USING (k)
+), f AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM s
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR 10 * n_symbols > n_words OR 2 * n_upper > n_letters OR 10 * n_bangs > 3 * n_words OR 10 * n_dup_lines > 6 * n_lines OR 2 * n_words > word_chars OR word_chars > 30 * n_words) AS kept
+FROM f
+"""

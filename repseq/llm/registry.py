@@ -21,4 +21,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mixing": mixing.op10_mixing,
 }
 
-ORACLES: dict[str, str] = {"op3_url_filters": url_filters.ORACLE, "op10_mixing": mixing.ORACLE}
+ORACLES: dict[str, str] = {
+    "op2_decontamination": decontamination.ORACLE,
+    "op3_url_filters": url_filters.ORACLE,
+    "op9_quality_rules": quality_rules.ORACLE,
+    "op10_mixing": mixing.ORACLE,
+}
