@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 SHARDS = 16
 BUCKETS = 1024
+#: Equal rows that are dealt out at a time.
+COPIES = 1 << 16
 
 
 def rendezvous(key: Column, weights: Sequence[float]) -> Column:
@@ -22,7 +24,7 @@ def rendezvous(key: Column, weights: Sequence[float]) -> Column:
     key = F.coalesce(key.cast("string"), F.lit("\0"))
 
     def score(i: int, weight: float) -> Column:
-        u = (F.shiftrightunsigned(F.xxhash64(key, F.lit(i)), 11) + F.lit(0.5)) / F.lit(float(1 << 53))
+        u = (F.shiftrightunsigned(F.xxhash64(key, F.lit(i)), 12) + F.lit(0.5)) / F.lit(float(1 << 52))  # exact, so never 0 or 1
         return F.struct((F.lit(-float(weight)) / F.ln(u)).alias("score"), F.lit(-i).alias("shard"))
 
     if len(weights) == 1:
@@ -36,8 +38,10 @@ def with_slots(df: DataFrame, shard: str, order: Sequence[str], buckets: int = B
     A shard is cut into ``buckets`` by a hash of the ``order`` columns; rows are
     numbered inside a bucket and moved on by the rows of the buckets before it. No task
     holds a shard, only a bucket; the table of counts has shards x ``buckets`` rows.
-    Rows equal in ``order`` are numbered among themselves in any order.
+    Rows equal in ``order`` are numbered among themselves in any order. A column ``slot``
+    is replaced; an empty table gives no rows.
     """
+    df = df.drop("slot")
     cut = df.withColumn("__bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
     counts = cut.groupBy(F.col(shard).alias("__shard"), F.col("__bucket").alias("__b")).agg(F.count("*").alias("__n"))
     before = F.sum("__n").over(Window.partitionBy("__shard").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1))
@@ -53,7 +57,7 @@ def shard_digest(docs: DataFrame, shards: int = SHARDS, weights: Sequence[float]
     Law ``key``: doc_id and the weights of the shards decide. ``weights`` has one more
     entry than ``shards``: the last is the shard that ``grown_shard`` adds. Repeated rows
     are counted before they are dealt out, so that even one row that makes up a third of
-    the table is one row in the shuffle; they get slots of their own.
+    the table is one row in the shuffle; then they go in chunks of at most ``COPIES`` to the buckets and get slots of their own.
     Null text has size 1 and checksum 0; null doc_id is a key of its own; an empty table
     gives no rows.
     """
@@ -61,8 +65,10 @@ def shard_digest(docs: DataFrame, shards: int = SHARDS, weights: Sequence[float]
     rows = docs.select(
         "doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"), F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).cast("long").alias("text_crc32")
     )
-    rows = rows.groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("n"))
-    order = ["doc_id", "size", "text_crc32"]
+    rows = rows.groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("all"))
+    order = ["doc_id", "size", "text_crc32", "chunk"]
+    rows = rows.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(`all` - 1) DIV {COPIES}"))).alias("chunk"))
+    rows = rows.withColumn("n", F.least(F.lit(COPIES).cast("long"), F.col("all") - F.col("chunk") * COPIES))
     rows = rows.withColumn("shard", rendezvous(F.col("doc_id"), weights[:shards])).withColumn("grown_shard", rendezvous(F.col("doc_id"), weights))
     cut = rows.withColumn("bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
     counts = cut.groupBy("shard", "bucket").agg(F.sum("n").alias("in_bucket"))

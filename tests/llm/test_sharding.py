@@ -1,6 +1,10 @@
+import math
+import struct
 import zlib
 from collections import Counter
 
+import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from repseq.llm import sharding as H
@@ -50,3 +54,28 @@ def test_a_row_that_is_a_third_of_all(spark):
     rows = H.shard_digest(docs).collect()
     assert len(rows) == 3000
     gapless(rows)
+
+
+def own_shard(key, weights):
+    """Weighted rendezvous by hand: XXH64 of the key, seed 42, is the seed of the shard's own."""
+    first = xxhash.xxh64_intdigest(("\0" if key is None else str(key)).encode(), 42)
+    scores = [-w / math.log(((xxhash.xxh64_intdigest(struct.pack("<i", i), first) >> 12) + 0.5) / 2**52) for i, w in enumerate(weights)]
+    return max(range(len(weights)), key=lambda i: (scores[i], -i))
+
+
+@pytest.mark.parametrize("weights", [[1.0] * 17, [0.5, 2.0, 1.0, 4.0]])
+def test_shards_are_those_of_rendezvous_by_hand(spark, weights):
+    docs = spark.range(1500).select(F.when(F.col("id") > 0, F.col("id")).alias("doc_id"), F.lit("x").alias("text"))
+    rows = H.shard_digest(docs, len(weights) - 1, weights).collect()
+    assert [(r.shard, r.grown_shard) for r in rows] == [(own_shard(r.doc_id, weights[:-1]), own_shard(r.doc_id, weights)) for r in rows]
+
+
+def test_one_row_a_great_many_times(spark):
+    docs = spark.range(150_000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("same").alias("text")).unionAll(spark.range(20).selectExpr("id", "cast(id as string)"))
+    rows = H.shard_digest(docs).groupBy("shard").agg(F.count("*").alias("n"), F.countDistinct("slot").alias("slots"), F.max("slot").alias("top")).collect()
+    assert sum(r.n for r in rows) == 150_020 and all(r.n == r.slots == r.top + 1 for r in rows)
+
+
+def test_slot_column_of_the_input_is_replaced(spark):
+    out = H.with_slots(spark.createDataFrame([(1, 9), (1, 9), (2, 9)], "shard int, slot int"), "shard", ["shard"])
+    assert out.columns == ["shard", "slot"] and sorted(map(tuple, out.collect())) == [(1, 0), (1, 1), (2, 0)]
