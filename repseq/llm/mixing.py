@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from repseq.operators.shared import small_side
+
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
 MAX_REPEATS = 3
@@ -64,12 +66,13 @@ def mixed(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeats: int =
     Defined results: null text has size 0; null source is a source of its own, last in
     order; a source of size 0 has target 0 and no copies; rows of equal doc_id share
     their draw; an empty table gives no rows. Two scans (sizes by source, combined
-    before the shuffle; then the rows) and one join with the table of sources, which
-    Spark broadcasts only if it measures it to be small.
+    before the shuffle; then the rows) and one join with the table of sources: it is computed first and
+    broadcast if it was counted to be small, so that the documents are not shuffled.
     """
     hidden = docs.withColumn("__size", word_count("text"))
     targets = source_targets(hidden.select("source", F.col("__size").alias("size")), weights, max_repeats)
     targets = targets.select(F.col("source").alias("__source"), F.col("source_size").alias("__source_size"), F.col("target").alias("__target"))
+    targets = small_side(targets)
     rate = F.when(F.col("__source_size") > 0, F.col("__target") / F.col("__source_size")).otherwise(F.lit(0.0))
     own = [F.col(c) for c in docs.columns if c not in ("size", "source_size", "target", "copies")]
     return hidden.join(targets, F.col("source").eqNullSafe(F.col("__source"))).select(
