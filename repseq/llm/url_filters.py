@@ -37,23 +37,24 @@ def validity_intervals(entries: DataFrame) -> DataFrame:
 def active_entries(captures: DataFrame, intervals: DataFrame) -> DataFrame:
     """``(url, fetched_on, ...)`` plus ``host``, ``n_entries`` and ``categories`` (comma-joined, in order): entries active at fetch time for the host or a parent of it.
 
-    Pairs of host and day are looked up once each. They meet intervals under the key
-    and the month, so a host with a third of all captures is spread over its months,
-    and an old entry stands in one row for each month up to the last capture. The join
-    of the lists is broadcast only if Spark measures it to be small. Null or unusual
-    URLs have an empty host, and with a null day, no entries; repeated captures stay;
-    empty tables give no rows or no entries. Columns of those names are replaced.
+    Days on which a key is asked for stand among the days on which its entries begin and
+    end, each once, however many captures ask; a running sum gives how many are active as
+    of each. So a key has at most as many rows as there are days, and a host with a third of all captures
+    is one row a day. Null or unusual URLs have an empty host, and with a null day, no entries;
+    repeated captures stay; empty tables give no rows or no entries. Columns of those names are replaced.
     """
     given = captures.drop("host", "n_entries", "categories")
     given = given.withColumn("host", host_of(F.col("url")))
     asked = given.where("host <> '' AND fetched_on IS NOT NULL").select("host", F.col("fetched_on").alias("day")).distinct()
-    horizon = F.lit(given.agg(F.max("fetched_on")).first()[0]).cast("date")
-    month = lambda c: F.trunc(c, "month")
-    until = F.least(F.coalesce(F.date_sub("valid_to", 1), horizon), horizon)
-    listed = intervals.where((F.col("valid_from") <= until) & horizon.isNotNull()).select("key", "category", "valid_from", "valid_to", F.explode(F.sequence(month(F.col("valid_from")), month(until), F.expr("INTERVAL 1 MONTH"))).alias("month"))
-    keyed = asked.select("host", "day", month(F.col("day")).alias("month"), F.explode(host_keys(F.col("host"))).alias("key"))
-    hits = keyed.join(listed, ["key", "month"]).where("day >= valid_from AND (valid_to IS NULL OR day < valid_to)")
-    found = hits.groupBy("host", "day").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_set("category")), ",").alias("of"))
+    keyed = asked.select("host", "day", F.explode(host_keys(F.col("host"))).alias("key"))
+    listed = intervals.where("valid_to IS NULL OR valid_from < valid_to")
+    turns = F.array(F.struct(F.col("valid_from").alias("day"), F.lit(1).alias("step")), F.struct(F.col("valid_to").alias("day"), F.lit(-1).alias("step")))
+    turns = listed.select("key", "category", F.explode(turns).alias("e")).select("key", "category", "e.day", "e.step").where("day IS NOT NULL")
+    turns = turns.groupBy("key", "category", "day").agg(F.sum("step").alias("step"), F.lit(False).alias("ask"))
+    points = keyed.select("key", "day").distinct().join(listed.select("key", "category").distinct(), "key").select("key", "category", "day", F.lit(0).cast("long").alias("step"), F.lit(True).alias("ask"))
+    as_of = Window.partitionBy("key", "category").orderBy("day").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    active = turns.unionAll(points).withColumn("n", F.sum("step").over(as_of)).where("ask AND n > 0").select("key", "day", "category", "n")
+    found = keyed.join(active, ["key", "day"]).groupBy("host", "day").agg(F.sum("n").alias("n"), F.array_join(F.array_sort(F.collect_set("category")), ",").alias("of"))
     found = found.select(F.col("host").alias("__host"), F.col("day").alias("__day"), "n", "of")
     out = given.join(found, (F.col("host") == F.col("__host")) & (F.col("fetched_on") == F.col("__day")), "left")
     return out.select(*given.columns, F.coalesce("n", F.lit(0)).cast("long").alias("n_entries"), F.coalesce("of", F.lit("")).alias("categories"))
