@@ -24,7 +24,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
 
     The pick is by a hash of doc_id, so it does not depend on how tables are laid out;
     texts over ``max_bytes`` are not picked. A doc_id labelled both ways counts as 0. The picked ids are at most
-    three times ``rows``, so they are broadcast to the scan of the documents and nothing
+    three times ``rows``, the first by that hash, so they are broadcast to the scan of the documents and nothing
     is shuffled by text. Equal texts of one class count once.
     """
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & learn).groupBy("doc_id").agg(F.min(label).cast("int").alias("label"))
@@ -34,9 +34,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
     for k, n in per.items():
         share = F.when(F.col("label") == k, min(1.0, 1.2 * rows / max(n, 1))).otherwise(share)
     draw = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    picked = known.where(draw < share).limit(3 * rows).select(F.col("doc_id").alias("id"), "label")
+    picked = known.where(draw < share).orderBy(draw, "doc_id").limit(3 * rows).select(F.col("doc_id").alias("id"), "label")
     short = docs.select("doc_id", "text", "lang").where(F.coalesce(F.octet_length("text"), F.lit(0)) <= max_bytes)
-    found = short.join(F.broadcast(picked), F.col("doc_id") == F.col("id")).select("text", "lang", "label", F.xxhash64("doc_id").alias("at")).limit(3 * rows).collect()
+    found = short.join(F.broadcast(picked), F.col("doc_id") == F.col("id")).select("text", "lang", "label", F.xxhash64("doc_id").alias("at")).orderBy("at", F.xxhash64("text"), "lang").limit(3 * rows).collect()
     out, seen, taken, size = [], set(), {0: 0, 1: 0}, {0: 0, 1: 0}
     for r in sorted(found, key=lambda r: (r.at, r.text or "")):
         key = (r.text or "", r.label)
