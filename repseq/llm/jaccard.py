@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from repseq.llm.textcore import blocks, scrambled
+from repseq.llm.textcore import blocks, lean, scrambled
 from repseq.operators.components import connected_components
 from repseq.operators.shared import small_side, stored
 
@@ -70,7 +70,7 @@ def token_sets(docs: DataFrame, width: int) -> DataFrame:
             for _, sets, _ in shingle_sets(batch.column("text"), width):
                 yield pa.RecordBatch.from_arrays([pa.array([node_of(s) for s in sets], pa.int64()), lists(sets)], ["node", "shingles"])
 
-    return docs.select("text").mapInArrow(run, "node long, shingles array<long>")
+    return docs.select("text").mapInArrow(lean(run), "node long, shingles array<long>")
 
 
 def common_shingles(docs: DataFrame, width: int, texts: int = ORDER_TEXTS) -> tuple[np.ndarray, np.ndarray, float]:
@@ -94,7 +94,7 @@ def set_rows(docs: DataFrame, width: int) -> DataFrame:
                 new = [pa.array([node_of(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int32()), pa.array(fps.view(np.int64)), lists([parities(s) for s in sets])]
                 yield pa.RecordBatch.from_arrays([*own, *new], ["doc_id", "at", "node", "size", "fp", "odd"])
 
-    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, at long, node long, size int, fp long, odd array<long>")
+    return docs.mapInArrow(lean(run), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, at long, node long, size int, fp long, odd array<long>")
 
 
 def packed(*columns: np.ndarray) -> bytes:
@@ -170,7 +170,7 @@ def postings(docs: DataFrame, width: int, similar: tuple[int, int], buckets: int
         if out:
             yield dealt(out)
 
-    return docs.select("text").mapInArrow(run, "bucket int, data binary")
+    return docs.select("text").mapInArrow(lean(run), "bucket int, data binary")
 
 
 def shared_tokens(docs: DataFrame, width: int, similar: tuple[int, int], expected: int) -> DataFrame:
@@ -208,7 +208,7 @@ def shared_tokens(docs: DataFrame, width: int, similar: tuple[int, int], expecte
 
     dealt = postings(docs, width, similar, buckets)
     dealt = dealt.repartition(min(buckets, PARTITIONS), "bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(run, "token long, node long, size int, pos int, before long, before_size int")
+    return dealt.mapInArrow(lean(run), "token long, node long, size int, pos int, before long, before_size int")
 
 
 def similar_links(docs: DataFrame, rows: DataFrame, width: int, similar: tuple[int, int], kept: list[DataFrame]) -> DataFrame:

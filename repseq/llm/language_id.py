@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from repseq.llm.learning import remainder
-from repseq.llm.textcore import scrambled
+from repseq.llm.textcore import lean, scrambled
 
 ORDER = 5
 FOLDS = 4
@@ -374,7 +374,7 @@ def identified(docs: DataFrame, found: Identifier) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part.columns, *new], [*part.schema.names, "lang_pred", "lang_score", "lang_entropy", "lang_rejected"])
 
     new = StructType.fromDDL("lang_pred string, lang_score double, lang_entropy double, lang_rejected boolean")
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, *new.fields]))
+    return docs.mapInArrow(lean(run), StructType([*docs.schema.fields, *new.fields]))
 
 
 def learnable():

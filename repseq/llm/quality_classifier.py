@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repseq.llm.learning import DECISION, labelled_sample, remainder, settled_cut, shifted, sigmoid
-from repseq.llm.textcore import LOWER, Block, Slices, blocks, scrambled
+from repseq.llm.textcore import LOWER, Block, Slices, blocks, lean, scrambled
 
 #: Weights, as a power of two.
 HASH_BITS = 20
@@ -150,7 +150,7 @@ def score_quality(docs: DataFrame, model: Model) -> DataFrame:
             for block in blocks(batch.column("text")):
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(block.lo, block.n), pa.array(shared.value.scores(block))], ["doc_id", "score"])
 
-    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double")
+    return docs.mapInArrow(lean(run), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double")
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repseq.llm.jaccard import SIMILAR, similar_groups
-from repseq.llm.textcore import LOWER, NOT_SPACE, Block, blocks
+from repseq.llm.textcore import LOWER, NOT_SPACE, Block, blocks, lean
 from repseq.operators.components import connected_components
 from repseq.operators.shared import materialise, released, small_side
 
@@ -79,7 +79,7 @@ def fingerprints(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(block.lo, block.n), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
 
     docs = docs.select("doc_id", "text")
-    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp long")
+    return docs.mapInArrow(lean(run), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp long")
 
 
 # --- the plan of the search ---------------------------------------------------------
@@ -107,7 +107,7 @@ def agreement(fps: DataFrame) -> tuple[int, np.ndarray]:
         cells = np.append(both.ravel(), n)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(cells), dtype=np.int32)), pa.array(cells)], ["cell", "n"])
 
-    sums = {r.cell: r.n for r in fps.mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()}
+    sums = {r.cell: r.n for r in fps.mapInArrow(lean(run), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()}
     cells = np.array([sums.get(k, 0) for k in range(BITS * BITS + 1)])
     return int(cells[-1]), cells[:-1].reshape(BITS, BITS)
 
@@ -148,7 +148,7 @@ def collisions(fps: DataFrame, chunks: Sequence[tuple[int, ...]]) -> list[float]
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), k, np.int32)), pa.array(at.astype(np.int32)), pa.array(count[at])], ["chunk", "value", "n"])
 
     n = F.sum("n").cast("double")
-    per = fps.mapInArrow(run, "chunk int, value int, n long").groupBy("chunk", "value").agg(n.alias("n"))
+    per = fps.mapInArrow(lean(run), "chunk int, value int, n long").groupBy("chunk", "value").agg(n.alias("n"))
     found = {r.chunk: r.both / max(r.total, 1.0) ** 2 for r in per.groupBy("chunk").agg(F.sum(F.col("n") * F.col("n")).alias("both"), F.sum("n").alias("total")).collect()}
     return [found.get(k, 1.0) for k in range(len(chunks))]
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from repseq.llm.textcore import LOWER, Block, Slices, blocks, runs
+from repseq.llm.textcore import LOWER, Block, Slices, blocks, lean, runs
 from repseq.operators.shared import checkpoint_dir
 
 VOCABULARY = "word_bpe_49k.json"
@@ -318,7 +318,7 @@ def write_token_files(
 
     fs, path = file_system(folder)
     fs.create_dir(path, recursive=True)
-    rows = sorted(tuple(r) for r in ordered.mapInArrow(run, "part long, n long, docs long").collect())  # one row a file
+    rows = sorted(tuple(r) for r in ordered.mapInArrow(lean(run), "part long, n long, docs long").collect())  # one row a file
     made = TokenFiles(folder, length, batch, tuple((f"part-{p:05d}", n, d) for p, n, d in rows))
     with fs.open_output_stream(f"{path}/manifest.json") as out:
         out.write(json.dumps({"length": length, "batch": batch, "files": made.files}).encode())
@@ -352,7 +352,7 @@ def read_token_files(spark: SparkSession, made: TokenFiles, id_type: str = "bigi
                             at += n
                         yield pa.RecordBatch.from_arrays([docs.column("doc_id"), pa.array(starts, pa.int64()), docs.column("n_tokens"), pa.array(crcs, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return listed.mapInArrow(run, schema)
+    return listed.mapInArrow(lean(run), schema)
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repseq.llm.learning import DECISION, labelled_sample, remainder, settled_cut, shifted, sigmoid
-from repseq.llm.textcore import LOWER, LOWER_WORD, Block, Slices, blocks, scrambled
+from repseq.llm.textcore import LOWER, LOWER_WORD, Block, Slices, blocks, lean, scrambled
 
 #: Buckets of the embedding table, as a power of two.
 HASH_BITS = 20
@@ -232,7 +232,7 @@ def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
                 cuts = np.array([model.cuts.get(x, model.cut) for x in langs.to_pylist()])
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(block.lo, block.n), langs, pa.array(shifted(logits, model.cut)), pa.array(logits >= cuts)], ["doc_id", "lang", "score", "flagged"])
 
-    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, lang string, score double, flagged boolean")
+    return docs.mapInArrow(lean(run), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, lang string, score double, flagged boolean")
 
 
 def classified(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, max_bytes: int = SAMPLE_BYTES) -> DataFrame:
