@@ -44,19 +44,16 @@ def small_batches(spark: SparkSession, most: int = 8 << 20) -> SparkSession:
     return spark
 
 
-def materialise(df: DataFrame, free: bool = False) -> DataFrame:
-    """``df`` computed once and kept in the shared folder, with its lineage cut.
-
-    With ``free`` the driver then collects its garbage, so that Spark removes the shuffle
-    files behind ``df`` and tables that nothing refers to any more: for large steps.
-    """
+def materialise(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept in the shared folder, with its lineage cut."""
     checkpoint_dir(df.sparkSession)
-    kept = df.checkpoint(eager=True)
-    if free:
-        del df
-        gc.collect()
-        kept.sparkSession.sparkContext._jvm.System.gc()
-    return kept
+    return df.checkpoint(eager=True)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Has the driver collect its garbage, so that Spark removes shuffle files and tables that nothing refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def stored(df: DataFrame, kept: list[DataFrame]) -> DataFrame:
@@ -72,12 +69,11 @@ def stored(df: DataFrame, kept: list[DataFrame]) -> DataFrame:
 
 def released(kept: list[DataFrame]) -> None:
     """Removes what ``stored`` kept, and the shuffle files behind it."""
+    spark = kept[-1].sparkSession if kept else None
     while kept:
-        spark = kept[-1].sparkSession
         kept.pop().unpersist()
-        if not kept:
-            gc.collect()
-            spark.sparkContext._jvm.System.gc()
+    if spark is not None:
+        free_shuffles(spark)
 
 
 def small_side(df: DataFrame, most: int = FEW) -> DataFrame:
