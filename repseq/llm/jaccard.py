@@ -7,26 +7,28 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from repseq.llm.textcore import blocks, lean, scrambled
 from repseq.operators.components import connected_components
-from repseq.operators.shared import small_side, stored
+from repseq.operators.shared import free_shuffles, small_side, stored
 
 #: Words of a shingle.
 WORDS = 5
 #: Least similarity of near copies, as a fraction.
 SIMILAR = (4, 5)
 #: Different texts that say which shingles are common, and in how many of them one is. It changes cost, never pairs.
-ORDER_TEXTS = 8_000
-COMMON = 3
+ORDER_TEXTS = 32_000
+COMMON = 2
 #: Rows of one shingle that are lined up together.
 LIST_ROWS = 50_000
 #: Postings that a task sorts at a time, and that a bucket is planned for; most partitions of buckets.
 FLUSH = 1 << 18
 BUCKET = 300_000
 PARTITIONS = 100_000
+#: Times that components are joined by their nearest pairs before all pairs of different ones are sought.
+ROUNDS = 2
 #: Parity bits for each shingle of a set.
 PARITY = 4
 #: Sets that a task remembers, so as not to send out copies again.
@@ -79,6 +81,7 @@ def common_shingles(docs: DataFrame, width: int, texts: int = ORDER_TEXTS) -> tu
     draw = F.pmod(F.xxhash64(F.lit("order"), "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     some = docs.where(draw < share).select("at", "text").dropDuplicates(["at"])
     found = token_sets(some, width).select(F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON).toArrow()
+    free_shuffles(docs.sparkSession)
     keys, n = found.column("s").to_numpy().view(np.uint64), found.column("n").to_numpy()
     order = np.argsort(keys)
     return keys[order], n[order], share
@@ -174,9 +177,13 @@ def postings(docs: DataFrame, width: int, similar: tuple[int, int], buckets: int
 
 
 def shared_tokens(docs: DataFrame, width: int, similar: tuple[int, int], expected: int) -> DataFrame:
-    """``(token, node, size, pos, before, before_size)``: the postings whose token another set has, each with the set before it in an order that differs from token to token."""
+    """``(token, node, size, held)`` of the postings whose token another set has, ``held`` by how many, and two sets to try each with (or null).
+
+    ``before`` comes before it in an order that differs from token to token; ``centre`` is that
+    set of the list that has the smallest share of rarer shingles, so in a group of copies the least changed one.
+    """
     buckets = max(1, -(-expected // BUCKET))
-    names = ["token", "node", "size", "pos", "before", "before_size"]
+    names = ["token", "node", "size", "held", "before", "before_size", "centre", "centre_size"]
 
     def listed(parts: list[bytes]) -> pa.RecordBatch:
         columns = [unpacked(p, _POSTING) for p in parts]
@@ -190,9 +197,14 @@ def shared_tokens(docs: DataFrame, width: int, similar: tuple[int, int], expecte
         token, node, size, pos = token[once], node[once], size[once], pos[once]
         same = np.concatenate([[False], token[1:] == token[:-1], [False]])
         use = np.flatnonzero(same[:-1] | same[1:] | (pos & _DEALT > 0))
-        first = ~same[use]
-        columns = [token[use].view(np.int64), node[use], size[use], pos[use] & ~_DEALT]
-        return pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(node[use - 1], mask=first), pa.array(size[use - 1], mask=first)], names)
+        token, node, size, pos, dealt = token[use], node[use], size[use], pos[use] & ~_DEALT, pos[use] & _DEALT
+        first = np.diff(token, prepend=token[:1] ^ np.uint64(1)) != 0 if len(token) else np.zeros(0, bool)
+        rank = np.cumsum(first) - 1
+        middle = np.lexsort((node, pos / size, token))[first][rank]
+        held = np.where(dealt > 0, dealt, np.bincount(rank)[rank] if len(rank) else 0).astype(np.int32)  # the parts of a list that was dealt out agree
+        before, alone = np.arange(len(node)) - 1, middle == np.arange(len(node))
+        others = [pa.array(c[k], mask=m) for k, m in ((before, first), (middle, alone)) for c in (node, size)]
+        return pa.RecordBatch.from_arrays([*map(pa.array, (token.view(np.int64), node, size, held)), *others], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, parts = None, []
@@ -208,19 +220,20 @@ def shared_tokens(docs: DataFrame, width: int, similar: tuple[int, int], expecte
 
     dealt = postings(docs, width, similar, buckets)
     dealt = dealt.repartition(min(buckets, PARTITIONS), "bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(lean(run), "token long, node long, size int, pos int, before long, before_size int")
+    return dealt.mapInArrow(lean(run), "token long, node long, size int, held int, before long, before_size int, centre long, centre_size int")
 
 
 def similar_links(docs: DataFrame, rows: DataFrame, width: int, similar: tuple[int, int], kept: list[DataFrame]) -> DataFrame:
     """``(src, dst)``: pairs of different nodes of at least that Jaccard similarity, whose components are those of all such pairs.
 
     First candidates: nodes whose SimHash fingerprints differ in two bits or fewer, found
-    by probing parts of correlated bits, and nodes that stand side by side in the list of
-    a shared token. No group gives more of them than its rows have tokens. Of those that pass the
-    parities, the nearest of each node is decided on the whole sets, which gives components.
-    Then all pairs of different components that share a token of both prefixes, fit by
-    size, leave room for the overlap behind that token and pass the parities are decided
-    on the whole sets. Sizes, room and parities never rule out a similar pair, so none is lost.
+    by probing parts of correlated bits, and of each list of a shared token every node with the one
+    beside it and the one in the centre. No group gives more of them than its rows have tokens. Of those that pass the
+    parities, the nearest of each node is decided on the whole sets, which gives components; then ``ROUNDS``
+    times the nearest of each component in another one.
+    Then all pairs of different components that share a token early enough in both prefixes,
+    ordered by how many sets hold each token, fit by size and pass the parities are decided
+    on the whole sets. Places, sizes and parities never rule out a similar pair, so none is lost.
     """
     from repseq.llm.simhash import links, plan
 
@@ -236,37 +249,56 @@ def similar_links(docs: DataFrame, rows: DataFrame, width: int, similar: tuple[i
         both = pairs.join(left, "src").join(right, "dst").where(f"{den}L * LEAST(n, m) >= {num}L * GREATEST(n, m)")
         return both.selectExpr("src", "dst", f"{differ} AS d", "n + m AS all").where(f"{num + den}L * d <= {den - num}L * all").select("src", "dst", "d")
 
-    def verified(pairs: DataFrame) -> DataFrame:
+    def sets_of(pairs: DataFrame) -> DataFrame:
         wanted = pairs.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
         least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("at").alias("key"))).alias("r")
         reps = small_side(rows.join(wanted, "node", "left_semi").groupBy("node").agg(least).select("r.id", "r.key"))
         texts = docs.join(reps, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("at") == F.col("key")), "left_semi").select("at", "text").dropDuplicates(["at"])
-        sets = stored(token_sets(texts, width), kept)
+        return stored(token_sets(texts, width), kept)
+
+    def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         both = pairs.join(sets.select(F.col("node").alias("src"), F.col("shingles").alias("a")), "src").join(sets.select(F.col("node").alias("dst"), F.col("shingles").alias("b")), "dst")
         return stored(both.where(f"{num + den}L * SIZE(ARRAY_INTERSECT(a, b)) >= {num}L * (SIZE(a) + SIZE(b))").select("src", "dst"), kept)
 
+    def labelled(pairs: DataFrame, groups: DataFrame) -> DataFrame:
+        """Pairs with the components ``g`` and ``h`` of their ends."""
+        out = pairs.join(groups.select(F.col("node").alias("src"), F.col("component").alias("g")), "src", "left").join(groups.select(F.col("node").alias("dst"), F.col("component").alias("h")), "dst", "left")
+        return out.withColumn("g", F.coalesce("g", "src")).withColumn("h", F.coalesce("h", "dst"))
+
     expected = rows.agg(F.sum(F.col("size") * (den - num) / den + 1)).first()[0] or 0
     listed = stored(shared_tokens(docs, width, similar, int(expected)), kept)
     first_of = stored(some.groupBy("fp").agg(F.min("node").alias("least"), F.count("*").alias("n")), kept)
     fps = first_of.select("fp")
     near = links(fps, plan(fps)).join(first_of.select(F.col("fp").alias("src"), F.col("least").alias("one")), "src").join(first_of.select(F.col("fp").alias("dst"), F.col("least").alias("other")), "dst").select("one", "other")
     equal = some.join(first_of.where("n > 1").select("fp", "least"), "fp").where("node <> least").select(F.col("node").alias("one"), F.col("least").alias("other"))
-    beside = listed.where(f"before IS NOT NULL AND {den}L * LEAST(size, before_size) >= {num}L * GREATEST(size, before_size)").select(F.col("node").alias("one"), F.col("before").alias("other"))
+    tried = F.explode(F.array(F.struct(F.col("before").alias("other"), F.col("before_size").alias("m")), F.struct(F.col("centre").alias("other"), F.col("centre_size").alias("m"))))
+    beside = listed.select("node", "size", tried.alias("t")).where(f"t.other IS NOT NULL AND {den}L * LEAST(size, t.m) >= {num}L * GREATEST(size, t.m)").select(F.col("node").alias("one"), F.col("t.other").alias("other"))
     pairs = near.unionAll(equal).unionAll(beside).select(F.greatest("one", "other").alias("src"), F.least("one", "other").alias("dst")).distinct()
-    best = stored(passed(pairs).groupBy("src").agg(F.min(F.struct("d", "dst")).alias("best")).select("src", F.col("best.dst").alias("dst")), kept)
-    first = verified(best)
-
+    pairs = stored(passed(pairs), kept)
+    sets = sets_of(pairs)
+    asked = stored(pairs.select(F.explode(F.array("src", "dst")).alias("end"), F.struct("d", "src", "dst").alias("p")).groupBy("end").agg(F.min("p").alias("p")).select("p.src", "p.dst").distinct(), kept)
+    first = verified(asked, sets)
     groups = small_side(connected_components(first))
-    found = listed.select("token", "node", "size", "pos").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    for _ in range(ROUNDS):
+        across = labelled(pairs.join(asked, ["src", "dst"], "left_anti"), groups).where("g <> h")
+        nearest = across.select(F.explode(F.array("g", "h")).alias("end"), F.struct("d", "src", "dst").alias("p")).groupBy("end").agg(F.min("p").alias("p"))
+        more = stored(nearest.select("p.src", "p.dst").distinct(), kept)
+        first, asked = first.unionAll(verified(more, sets)), asked.unionAll(more)
+        groups = small_side(connected_components(first))
+    # rank: where the token stands in the set's prefix, tokens of shorter lists before; those that no other set has come first of all
+    prefix = lambda n: f"({n} - ({num}L * {n} + {den - 1}) DIV {den} + 1)"
+    rank = F.expr(f"{prefix('size')} + 1") - F.row_number().over(Window.partitionBy("node").orderBy(F.desc("held"), F.desc("token")))
+    found = listed.select("token", "node", "size", rank.alias("rank")).join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     per = found.groupBy("token", "component").agg(F.count("*").alias("n")).groupBy("token").agg(F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("parts"))
     mixed = stored(found.join(per.where("parts > 1").select("token", F.col("top.component").alias("main")), "token"), kept)
-    x = mixed.where("component <> main").select("token", F.col("node").alias("src"), F.col("size").alias("n"), F.col("pos").alias("i"), F.col("component").alias("g"))
-    y = mixed.select("token", F.col("node").alias("dst"), F.col("size").alias("m"), F.col("pos").alias("j"), F.col("component").alias("h"), "main")
-    short = lambda at, n: f"{at} <= {n} - ({2 * num}L * {n} + {num + den - 1}) DIV {num + den}"
-    smaller = f"CASE WHEN m < n OR (m = n AND dst < src) THEN {short('j', 'm')} ELSE {short('i', 'n')} END"
-    fits = f"{den}L * LEAST(n, m) >= {num}L * GREATEST(n, m) AND {num + den}L * LEAST(n - i, m - j) >= {num}L * (n + m) AND {smaller}"
+    x = mixed.where("component <> main").select("token", F.col("node").alias("src"), F.col("size").alias("n"), F.col("rank").alias("i"), F.col("component").alias("g"))
+    y = mixed.select("token", F.col("node").alias("dst"), F.col("size").alias("m"), F.col("rank").alias("j"), F.col("component").alias("h"), "main")
+    # prefixes of similar sets share not one token but `more` further ones, so one that stands before the last `more` in both
+    more = f"(({num}L * (n + m) + {num + den - 1}) DIV {num + den} - ({num}L * GREATEST(n, m) + {den - 1}) DIV {den})"
+    fits = f"{den}L * LEAST(n, m) >= {num}L * GREATEST(n, m) AND i <= {prefix('n')} - {more} AND j <= {prefix('m')} - {more}"
     across = x.join(y, "token").where(f"g <> h AND (h = main OR dst < src) AND {fits}").select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).distinct()
-    return first.unionAll(verified(stored(passed(across).select("src", "dst"), kept)))
+    rest = stored(passed(across).select("src", "dst"), kept)
+    return first.unionAll(verified(rest, sets_of(rest)))
 
 
 def similar_groups(docs: DataFrame, kept: list[DataFrame], width: int = WORDS, similar: tuple[int, int] = SIMILAR) -> DataFrame:
