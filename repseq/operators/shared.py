@@ -76,7 +76,16 @@ def released(kept: list[DataFrame]) -> None:
         free_shuffles(spark)
 
 
+def compact(df: DataFrame, most: int = 1 << 20) -> tuple[DataFrame, int]:
+    """``df`` and its number of rows: computed in parallel, then kept in the shared folder in files of about ``most`` rows, with its lineage cut. For narrow tables."""
+    held = df.persist(StorageLevel.DISK_ONLY)
+    n = held.count()
+    out = materialise(held.coalesce(1 + n // most))
+    held.unpersist()
+    return out, n
+
+
 def small_side(df: DataFrame, most: int = FEW) -> DataFrame:
     """``df`` computed once, and to be broadcast in a join if it was counted to have at most ``most`` rows. For narrow tables."""
-    df = materialise(df)
-    return F.broadcast(df) if df.count() <= most else df
+    df, n = compact(df)
+    return F.broadcast(df) if n <= most else df
