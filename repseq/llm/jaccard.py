@@ -10,16 +10,16 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from repseq.llm.textcore import blocks, lean, scrambled
+from repseq.llm.textcore import blocks, give_back, lean, scrambled
 from repseq.operators.components import connected_components
-from repseq.operators.shared import free_shuffles, small_side, stored
+from repseq.operators.shared import compact, free_shuffles, small_side, stored
 
 #: Words of a shingle.
 WORDS = 5
 #: Least similarity of near copies, as a fraction.
 SIMILAR = (4, 5)
 #: Different texts that say which shingles are common, and in how many of them one is. It changes cost, never pairs.
-ORDER_TEXTS = 32_000
+ORDER_TEXTS = 24_000
 COMMON = 2
 #: Rows of one shingle that are lined up together.
 LIST_ROWS = 50_000
@@ -82,6 +82,7 @@ def common_shingles(docs: DataFrame, width: int, texts: int = ORDER_TEXTS) -> tu
     some = docs.where(draw < share).select("at", "text").dropDuplicates(["at"])
     found = token_sets(some, width).select(F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON).toArrow()
     free_shuffles(docs.sparkSession)
+    give_back()
     keys, n = found.column("s").to_numpy().view(np.uint64), found.column("n").to_numpy()
     order = np.argsort(keys)
     return keys[order], n[order], share
@@ -258,7 +259,7 @@ def similar_links(docs: DataFrame, rows: DataFrame, width: int, similar: tuple[i
 
     def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         both = pairs.join(sets.select(F.col("node").alias("src"), F.col("shingles").alias("a")), "src").join(sets.select(F.col("node").alias("dst"), F.col("shingles").alias("b")), "dst")
-        return stored(both.where(f"{num + den}L * SIZE(ARRAY_INTERSECT(a, b)) >= {num}L * (SIZE(a) + SIZE(b))").select("src", "dst"), kept)
+        return compact(both.where(f"{num + den}L * SIZE(ARRAY_INTERSECT(a, b)) >= {num}L * (SIZE(a) + SIZE(b))").select("src", "dst"))[0]
 
     def labelled(pairs: DataFrame, groups: DataFrame) -> DataFrame:
         """Pairs with the components ``g`` and ``h`` of their ends."""
@@ -274,15 +275,15 @@ def similar_links(docs: DataFrame, rows: DataFrame, width: int, similar: tuple[i
     tried = F.explode(F.array(F.struct(F.col("before").alias("other"), F.col("before_size").alias("m")), F.struct(F.col("centre").alias("other"), F.col("centre_size").alias("m"))))
     beside = listed.select("node", "size", tried.alias("t")).where(f"t.other IS NOT NULL AND {den}L * LEAST(size, t.m) >= {num}L * GREATEST(size, t.m)").select(F.col("node").alias("one"), F.col("t.other").alias("other"))
     pairs = near.unionAll(equal).unionAll(beside).select(F.greatest("one", "other").alias("src"), F.least("one", "other").alias("dst")).distinct()
-    pairs = stored(passed(pairs), kept)
+    pairs, _ = compact(passed(pairs))
     sets = sets_of(pairs)
-    asked = stored(pairs.select(F.explode(F.array("src", "dst")).alias("end"), F.struct("d", "src", "dst").alias("p")).groupBy("end").agg(F.min("p").alias("p")).select("p.src", "p.dst").distinct(), kept)
+    asked, _ = compact(pairs.select(F.explode(F.array("src", "dst")).alias("end"), F.struct("d", "src", "dst").alias("p")).groupBy("end").agg(F.min("p").alias("p")).select("p.src", "p.dst").distinct())
     first = verified(asked, sets)
     groups = small_side(connected_components(first))
     for _ in range(ROUNDS):
         across = labelled(pairs.join(asked, ["src", "dst"], "left_anti"), groups).where("g <> h")
         nearest = across.select(F.explode(F.array("g", "h")).alias("end"), F.struct("d", "src", "dst").alias("p")).groupBy("end").agg(F.min("p").alias("p"))
-        more = stored(nearest.select("p.src", "p.dst").distinct(), kept)
+        more, _ = compact(nearest.select("p.src", "p.dst").distinct())
         first, asked = first.unionAll(verified(more, sets)), asked.unionAll(more)
         groups = small_side(connected_components(first))
     # rank: where the token stands in the set's prefix, tokens of shorter lists before; those that no other set has come first of all
@@ -297,7 +298,7 @@ def similar_links(docs: DataFrame, rows: DataFrame, width: int, similar: tuple[i
     more = f"(({num}L * (n + m) + {num + den - 1}) DIV {num + den} - ({num}L * GREATEST(n, m) + {den - 1}) DIV {den})"
     fits = f"{den}L * LEAST(n, m) >= {num}L * GREATEST(n, m) AND i <= {prefix('n')} - {more} AND j <= {prefix('m')} - {more}"
     across = x.join(y, "token").where(f"g <> h AND (h = main OR dst < src) AND {fits}").select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).distinct()
-    rest = stored(passed(across).select("src", "dst"), kept)
+    rest, _ = compact(passed(across).select("src", "dst"))
     return first.unionAll(verified(rest, sets_of(rest)))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from repseq.llm.learning import remainder
-from repseq.llm.textcore import lean, scrambled
+from repseq.llm.textcore import give_back, lean, scrambled
 
 ORDER = 5
 FOLDS = 4
@@ -356,6 +356,7 @@ def train(docs: DataFrame, learn, sample_chars: int = SAMPLE_CHARS, sample_text:
     found = Identifier(sorted(models), [models[k] for k in sorted(models)])
     if found.langs:
         calibrate(found, [r.text for r in held], [r.lang for r in held])
+    give_back()
     return found
 
 
