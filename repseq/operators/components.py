@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from repseq.operators.shared import materialise
+from repseq.operators.shared import free_shuffles, materialise
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60) -> DataFrame:
@@ -32,6 +32,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         if tuple(now) == seen:
             break
         seen = tuple(now)
+        del both, low, large, small
+        free_shuffles(e.sparkSession)
     else:
         raise RuntimeError(f"components not settled in {max_rounds} rounds")
     roots = e.select(F.col("b").alias("node")).distinct()

@@ -82,6 +82,8 @@ def compact(df: DataFrame, most: int = 1 << 20) -> tuple[DataFrame, int]:
     n = held.count()
     out = materialise(held.coalesce(1 + n // most))
     held.unpersist()
+    del df, held
+    free_shuffles(out.sparkSession)
     return out, n
 
 
