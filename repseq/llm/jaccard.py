@@ -28,7 +28,7 @@ FLUSH = 1 << 18
 BUCKET = 300_000
 PARTITIONS = 100_000
 #: Times that components are joined by their nearest pairs before all pairs of different ones are sought.
-ROUNDS = 2
+ROUNDS = 1
 #: Parity bits for each shingle of a set.
 PARITY = 4
 #: Sets that a task remembers, so as not to send out copies again.
