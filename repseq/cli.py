@@ -51,14 +51,15 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         return 0
     reads = read_fasta_strict(spark, args.reads).withColumn("sample", F.lit("all"))
     if args.what == "motif-scan":
-        hits = M.scan_general(F.col("seq"), args.motif, args.threshold, args.match, args.mismatch, args.insert, args.delete)
+        usual = (args.match, args.mismatch, args.insert, args.delete) == (M.MATCH, M.MISMATCH, M.INDEL, M.INDEL) and args.threshold in (None, M.default_threshold(args.motif))
+        hits = M.scan(F.col("seq"), args.motif) if usual else M.scan_general(F.col("seq"), args.motif, args.threshold, args.match, args.mismatch, args.insert, args.delete)
         found = reads.select("read_id", hits.alias("hits")).where("size(hits) > 0")
         write_text(found.withColumn("text", render_hits(F.col("read_id"), F.col("hits"))), "text", args.out)
         return 0
     if args.what == "graph-clust":
         clusters = graph_cluster(reads, args.mismatches).select("seq", F.col("cluster").alias("cluster_id"))
     else:
-        once = reads.select("sample", F.lit("all").alias("cluster"), "seq").distinct()
+        once = graph_cluster(reads, max(1, int(args.cutoff)))  # average linkage joins nothing across a larger gap
         clusters = hierarchical_cluster(once, args.cutoff).select("seq", F.col("part").alias("cluster_id"))
     members = reads.join(clusters, "seq").withColumn("cluster_id", F.md5("cluster_id"))
     write_text(render_clusters(members, name="read_id"), "block", args.out)

@@ -102,7 +102,7 @@ def trusted_kmer_count(reads: DataFrame, trusted: DataFrame, k: int = TRUSTED_K,
     return hit.groupBy(*keys).agg(F.count("__k").alias("n_trusted"))
 
 
-def correct_reads(members: DataFrame, threshold: int = 2, cutoff: float = 4.0, compat: bool = True) -> DataFrame:
+def correct_reads(members: DataFrame, threshold: int = 4, cutoff: float = 4.0, compat: bool = True) -> DataFrame:
     """``(sample, cluster, part, seq, qty, n_reads)``: a consensus for each part of each cluster of ``members`` (sample, cluster, seq, qty).
 
     A cluster is split by edit-distance components at ``threshold``, then by average

@@ -326,7 +326,14 @@ def shared_kmers(spark, sf_dir):
     return simjoin.shared_kmers(_cdrs(spark, sf_dir), 11)
 
 
-@query(_with(_SHARED, "SELECT * FROM shared WHERE shared >= greatest(length(src), length(dst)) - 10 - 2 * 21"))
+@query(
+    _with(
+        _SHARED,
+        "SELECT a.sample, a.seq AS src, b.seq AS dst, CAST(coalesce(s.shared, 0) AS BIGINT) AS shared FROM (SELECT DISTINCT sample, cdr AS seq FROM found WHERE cdr IS NOT NULL) a "
+        "JOIN (SELECT DISTINCT sample, cdr AS seq FROM found WHERE cdr IS NOT NULL) b ON a.sample = b.sample AND a.seq < b.seq LEFT JOIN shared s ON s.sample = a.sample AND s.src = a.seq AND s.dst = b.seq "
+        "WHERE coalesce(s.shared, 0) >= greatest(length(a.seq), length(b.seq)) - 10 - 2 * 21",
+    )
+)
 def kmer_prefilter(spark, sf_dir):
     return simjoin.kmer_prefilter(_cdrs(spark, sf_dir), 11, 2)
 

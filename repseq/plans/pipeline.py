@@ -13,7 +13,7 @@ from repseq.operators.demux import OK, demultiplex
 from repseq.operators.shared import materialise
 
 
-def corrected(unique: DataFrame, cdr_threshold: int = 2, seq_threshold: int = 2, ratio: float | None = None, cutoff: float = 4.0, limit: int = 4, starts=cdr3.STARTS, ends=cdr3.ENDS, compat: bool = True) -> DataFrame:
+def corrected(unique: DataFrame, cdr_threshold: int = 2, seq_threshold: int = 4, ratio: float | None = None, cutoff: float = 4.0, limit: int = 4, starts=cdr3.STARTS, ends=cdr3.ENDS, compat: bool = True) -> DataFrame:
     """``unique`` (sample, seq, qty) -> ``(sample, cdr, seq, qty, n_reads)``.
 
     CDR3s are sought, joined by edit distance on distinct CDRs, corrected inside

@@ -16,24 +16,25 @@ def _records(block: Column) -> Column:
     return F.transform(F.filter(F.slice(own, 2, 1 << 30), lambda r: F.length(F.trim(r)) > 0), record)
 
 
-def read_fasta(spark: SparkSession, path: str, last_wins: bool = True) -> DataFrame:
+def read_fasta(spark: SparkSession, path: str, last_wins: bool = True, lead: bool = False) -> DataFrame:
     """``(read_id, seq, ord)``: a record a row, split where lines begin with ``>``; files are cut for many tasks.
 
     The id is the header's first token; lines are joined without white space. Of
-    repeated ids the last in the file stays, unless ``last_wins`` is off. Text before the first header is not a record.
+    repeated ids the last in the file stays, unless ``last_wins`` is off. Text before the first header is not a record; with ``lead`` it is a row of the empty id.
     """
     lines = spark.read.option("lineSep", "\n>").text(path).withColumn("ord", F.monotonically_increasing_id())
     text = F.regexp_replace("value", r"\r", "")
     first = F.startswith(text, F.lit(">"))
     rows = lines.select(F.when(first, F.substring(text, 2, 1 << 30)).otherwise(text).alias("r"), "ord", F.col("_metadata.file_block_start").alias("at"), first.alias("first"))
-    rows = rows.where("NOT (ord % 8589934592 = 0 AND at = 0 AND NOT first) AND trim(r) <> ''")
+    before = F.expr("ord % 8589934592 = 0 AND at = 0 AND NOT first")
+    rows = rows.where(~before | F.lit(lead) & F.col("r").rlike(r"\S")).withColumn("r", F.when(before, F.concat(F.lit("\n"), "r")).otherwise(F.col("r"))).where("trim(r) <> ''")
     out = rows.select(header_id(F.substring_index("r", "\n", 1)).alias("read_id"), F.regexp_replace(F.regexp_replace("r", r"^[^\n]*", ""), r"\s+", "").alias("seq"), "ord")
     return dedup_last_by_id(out).select("read_id", "seq", "ord") if last_wins else out
 
 
 def read_fasta_strict(spark: SparkSession, path: str, compat: bool = False) -> DataFrame:
-    """As ``read_fasta``, in upper case; an empty header or sequence or a letter outside the alphabet is an error."""
-    rows = read_fasta(spark, path, last_wins=False).withColumn("seq", normalised(F.col("seq")))
+    """As ``read_fasta``, in upper case; text before the first header, an empty header or sequence or a letter outside the alphabet is an error."""
+    rows = read_fasta(spark, path, last_wins=False, lead=True).withColumn("seq", normalised(F.col("seq")))
     bad = (F.col("read_id") == "") | (F.col("seq") == "") | ~is_valid(F.col("seq"), compat)
     message = F.concat(F.lit("not a sequence record: "), "read_id")
     return rows.withColumn("seq", F.when(bad, F.raise_error(message)).otherwise(F.col("seq")))

@@ -50,6 +50,8 @@ def test_prefilter_loses_no_pair(spark):
     rows = spark.createDataFrame([("x", mutated(rng, base, rng.randrange(3))) for _ in range(30)], "sample string, seq string")
     kept = {(r.src, r.dst) for r in simjoin.kmer_prefilter(rows, 5, 2).collect()}
     assert {(r.src, r.dst) for r in simjoin.edit_distance_join(rows, 2).collect()} <= kept
+    pair = spark.createDataFrame([("x", "ACGTACGTACGTAC"), ("x", "ACGTACCTACGTAC")], "sample string, seq string")  # no bound: every pair passes
+    assert [tuple(r) for r in simjoin.kmer_prefilter(pair, 11, 2).collect()] == [("x", "ACGTACCTACGTAC", "ACGTACGTACGTAC", 0)]
 
 
 def test_components(spark):

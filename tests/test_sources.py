@@ -23,7 +23,9 @@ def test_fasta(spark, tmp_path):
 def test_strict_fasta(spark, tmp_path):
     (tmp_path / "x.fasta").write_text(">a\nacgt\n>b\nAC-N\n")
     assert [r.seq for r in fasta.read_fasta_strict(spark, str(tmp_path / "x.fasta")).collect()] == ["ACGT", "AC-N"]
-    for bad in (">a\n", ">a\nAC!\n", ">\nAC\n"):
+    (tmp_path / "x.fasta").write_text("\n \n>a\nacgt\n")
+    assert fasta.read_fasta_strict(spark, str(tmp_path / "x.fasta")).count() == 1
+    for bad in (">a\n", ">a\nAC!\n", ">\nAC\n", "ACGT\n>a\nAC\n"):
         (tmp_path / "bad.fasta").write_text(bad)
         with pytest.raises(PySparkException):
             fasta.read_fasta_strict(spark, str(tmp_path / "bad.fasta")).collect()
