@@ -10,8 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repseq.llm.learning import DECISION, labelled_sample, remainder, settled_cut, shifted, sigmoid
-from repseq.llm.textcore import LOWER, LOWER_WORD, Block, Slices, blocks, lean, scrambled
+from repseq.llm.learning import DECISION, best_cut, labelled_sample, remainder, settled_cut, shifted, sigmoid
+from repseq.llm.textcore import LOWER, LOWER_WORD, Block, Slices, blocks, lean, scrambled, segment_sums
 
 #: Buckets of the embedding table, as a power of two.
 HASH_BITS = 20
@@ -24,6 +24,9 @@ PREFIXES = (4, 6)
 SAMPLE_ROWS = 2_000
 SAMPLE_BYTES = 1 << 14
 FOLDS = 4
+#: Buckets of words that tell the language, as a power of two; texts for which the common cut counts in a language's own.
+LANGUAGE_BITS = 16
+POOLED = 20
 
 
 def word_keys(block: Block) -> tuple[np.ndarray, np.ndarray]:
@@ -89,14 +92,49 @@ class Net:
     track = False
 
 
+@dataclass
+class Languages:
+    """Which language a text is in, by the words it has: log-odds of hashed words against all languages together."""
+
+    names: list[str]
+    weights: np.ndarray  # 2**LANGUAGE_BITS x languages
+
+    def of(self, keys: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+        """The number of each text's language; the last number, of none, without words."""
+        n = len(firsts) - 1
+        out = np.full(n, len(self.names))
+        some = np.flatnonzero(np.diff(firsts) > 0)
+        if len(some) and self.names:
+            total = segment_sums(self.weights[(keys >> np.uint64(64 - LANGUAGE_BITS)).astype(np.int64)], firsts)
+            out[some] = total[some].argmax(axis=1)
+        return out
+
+
+def learned_languages(keys: np.ndarray, firsts: np.ndarray, langs: Sequence[str | None]) -> Languages:
+    names = sorted({x for x in langs if x is not None})
+    number = {x: k for k, x in enumerate(names)}
+    of = np.repeat(np.array([number.get(x, -1) for x in langs]), np.diff(firsts))
+    known = of >= 0
+    bucket = (keys[known] >> np.uint64(64 - LANGUAGE_BITS)).astype(np.int64)
+    counts = np.bincount(bucket * len(names) + of[known], minlength=len(names) << LANGUAGE_BITS).reshape(1 << LANGUAGE_BITS, -1) if names else np.zeros((1 << LANGUAGE_BITS, 0))
+    share = (counts + 0.5) / (counts.sum(axis=0) + 0.5 * len(counts))
+    return Languages(names, (np.log(share) - np.log(share.mean(axis=1, keepdims=True)) if names else share).astype(np.float32))
+
+
 @dataclass
 class Model:
+    """``cuts``: the logit that is predicted toxic, of each of ``langs`` and, last, of a text without words."""
+
     table: Table
     net: Net
-    cut: float
-    cuts: dict[str, float]
+    langs: Languages
+    cuts: np.ndarray
 
     def logits(self, block: Block) -> np.ndarray:
+        return self.judged(block)[0]
+
+    def judged(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
+        """Logits and numbers of the languages of a block's texts."""
         keys, firsts = word_keys(block)
         out = np.full(block.n, -8.0)
         some = np.diff(firsts) > 0
@@ -108,10 +146,12 @@ class Model:
             own = np.append(firsts[:-1][some], firsts[-1])
             best, _ = self.net.pooled(x, own)
             out[some] = np.maximum(best + self.net.bias, 0) @ self.net.out + self.net.last
-        return out
+        return out, self.langs.of(keys[:, 0], firsts)
 
     def scores(self, block: Block) -> np.ndarray:
-        return shifted(self.logits(block), self.cut)
+        """0 to 1; a text reaches ``DECISION`` where its logit reaches the cut of its language."""
+        logits, lang = self.judged(block)
+        return shifted(logits, self.cuts[lang])
 
 
 def train(rows: np.ndarray, firsts: np.ndarray, labels: np.ndarray, vectors: np.ndarray, epochs: int = 2, step: int = 64, rate: float = 0.05, seed: int = 3) -> Net:
@@ -173,22 +213,26 @@ def train(rows: np.ndarray, firsts: np.ndarray, labels: np.ndarray, vectors: np.
 
 
 def fit(sample: Sequence[tuple[str, str | None, int]], seed: int = 3) -> Model:
-    """Learns from nine tenths of the sample; the other tenth sets the cut of the score and one cut a language, where it has 20 rows of both classes.
+    """Learns from nine tenths of the sample; the other tenth sets the cuts, one a language.
 
-    Only words and beginnings that at least two texts have get an embedding. It starts
+    A text's language is told from its words, by what ``lang`` of the sampled rows says of words. A language's cut
+    is that of best balanced accuracy on its texts, drawn towards the cut of all
+    languages as if that came from ``POOLED`` texts of the rarer class: with few texts it is near the
+    common one, with many its own. Only words and beginnings that at least two texts have get an embedding. It starts
     from the smoothed log-odds of the word.
     """
     labels = np.array([y for _, _, y in sample], np.int64)
     if len(sample) < 2 or labels.min() == labels.max():
         bias = 0.0 if not len(sample) else 4.0 * (2 * int(labels[0]) - 1)
         net = Net([np.zeros((1, DIM, FILTERS), np.float32)], np.zeros(FILTERS, np.float32), np.zeros(FILTERS, np.float32), bias)
-        return Model(Table(np.zeros(0, np.uint64), np.zeros((0, DIM), np.float32)), net, 0.0, {})
+        return Model(Table(np.zeros(0, np.uint64), np.zeros((0, DIM), np.float32)), net, Languages([], np.zeros((1, 0), np.float32)), np.zeros(1))
     held = np.arange(len(sample)) % 10 == 9
     texts = pa.array([t for t, _, _ in sample], pa.string())
     got = [word_keys(b) for b in blocks(texts)]
     keys = np.concatenate([k for k, _ in got])
     firsts = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(f) for _, f in got]))])
     text = np.repeat(np.arange(len(sample)), np.diff(firsts))
+    langs = learned_languages(keys[:, 0], firsts, [x for _, x, _ in sample])
     known = np.unique(keys.ravel())
     place = np.stack([np.searchsorted(known, keys[:, k]).astype(np.int32) for k in range(keys.shape[1])], axis=1)
     del keys, got
@@ -207,36 +251,38 @@ def fit(sample: Sequence[tuple[str, str | None, int]], seed: int = 3) -> Model:
     vectors[1:, 0] = (np.clip(odds, -3, 5) * all_ / (all_ + 10.0))[use] / 3
     lens = np.diff(firsts)
     net = train(number[place][learn], np.concatenate([[0], np.cumsum(lens[~held])]), labels[~held], vectors, seed=seed)
-    model = Model(Table(known[use], vectors[1:]), net, 0.0, {})
-    logits = np.concatenate([model.logits(b) for b in blocks(texts)])
-    model.cut = settled_cut(logits[held], labels[held])
-    langs = np.array([x if x is not None else "" for _, x, _ in sample])
-    for lang in sorted(set(langs[held]) - {""}):
-        own = held & (langs == lang)
-        if min((labels[own] == 0).sum(), (labels[own] == 1).sum()) >= 20:
-            model.cuts[str(lang)] = settled_cut(logits[own], labels[own])
+    model = Model(Table(known[use], vectors[1:]), net, langs, np.zeros(len(langs.names) + 1))
+    logits, lang = (np.concatenate(x) for x in zip(*(model.judged(b) for b in blocks(texts)), strict=True))
+    model.cuts[:] = common = settled_cut(logits[held], labels[held])
+    for k in range(len(langs.names)):
+        own = held & (lang == k)
+        rarer = min((labels[own] == 0).sum(), (labels[own] == 1).sum())
+        if rarer:
+            model.cuts[k] = (rarer * best_cut(logits[own], labels[own]) + POOLED * common) / (rarer + POOLED)
     return model
 
 
 def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
-    """``(doc_id, lang, score, flagged)`` of every whole text. The score is of the text alone; ``flagged`` holds it to the cut of ``lang``."""
+    """``(doc_id, score, lang_cut)`` of every whole text, of the text alone; ``lang_cut`` names the language whose cut it was held to.
+
+    Repeated rows get equal scores, null is the empty text, an empty table gives no rows.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 2**HASH_BITS buckets and the sample's words, whatever the input
-    docs = docs.select("doc_id", "text", "lang")
+    docs = docs.select("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
+        names = np.array([*model.langs.names, None], object)
         for batch in batches:
             for block in blocks(batch.column("text")):
-                logits = model.logits(block)
-                langs = batch.column("lang").slice(block.lo, block.n)
-                cuts = np.array([model.cuts.get(x, model.cut) for x in langs.to_pylist()])
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(block.lo, block.n), langs, pa.array(shifted(logits, model.cut)), pa.array(logits >= cuts)], ["doc_id", "lang", "score", "flagged"])
+                logits, lang = model.judged(block)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(block.lo, block.n), pa.array(shifted(logits, model.cuts[lang])), pa.array(names[lang], pa.string())], ["doc_id", "score", "lang_cut"])
 
-    return docs.mapInArrow(lean(run), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, lang string, score double, flagged boolean")
+    return docs.mapInArrow(lean(run), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double, lang_cut string")
 
 
 def classified(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, max_bytes: int = SAMPLE_BYTES) -> DataFrame:
-    """doc_id, held_out, score, predicted, flagged of every document; labels are learned from rows that are not held out.
+    """doc_id, held_out, score, predicted, lang_cut of every document; labels are learned from rows that are not held out.
 
     A null doc_id is not held out and not learned from. Null, empty and wordless texts
     get the lowest score; repeated rows get equal scores; an empty table gives no rows;
@@ -244,7 +290,7 @@ def classified(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, max_
     """
     model = fit(labelled_sample(docs, labels, "toxic", remainder(FOLDS) != 2, rows, max_bytes))
     held = F.coalesce(remainder(FOLDS) == 2, F.lit(False)).alias("held_out")
-    return score_toxicity(docs, model).select("doc_id", held, "score", (F.col("score") >= DECISION).cast("int").alias("predicted"), "flagged")
+    return score_toxicity(docs, model).select("doc_id", held, "score", (F.col("score") >= DECISION).cast("int").alias("predicted"), "lang_cut")
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
