@@ -21,29 +21,36 @@ BITS = 64
 SHINGLE = 3
 RADIUS = 2
 SEED = 42
+#: Shingles that are joined and hashed at a time, also of one long text.
+HASHED = 200_000
 #: A block value of more fingerprints than this is linked without pairs.
 HOT = 32
 #: Bits whose values are counted together when collisions are estimated.
 CHUNK = 12
 
 
-def shingle_hashes(block: Block, width: int = SHINGLE, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
-    """XXH64 of every shingle of a block's texts, and the number of the first of each text (and the end)."""
+def shingle_hashes(block: Block, width: int = SHINGLE, seed: int = SEED, most: int = HASHED) -> tuple[np.ndarray, np.ndarray]:
+    """XXH64 of every shingle of a block's texts, and the number of the first of each text (and the end). ``most`` shingles at a time."""
     buf = LOWER[block.buf]
-    inside = NOT_SPACE[buf]
     starts, ends, firsts = block.words(NOT_SPACE, buf)
     n_words = np.diff(firsts)
-    lens = ends - starts
-    new_ends = np.cumsum(lens + 1) - 1
-    new_starts = new_ends - lens
-    joined = np.full(int(new_ends[-1]) + 1 if len(new_ends) else 0, 32, np.uint8)
-    joined[np.arange(int(lens.sum())) + np.repeat(np.arange(len(lens)), lens)] = buf[inside]
     per = np.where(n_words >= width, n_words - width + 1, np.minimum(n_words, 1))
     offs = np.concatenate([[0], np.cumsum(per)])
-    at = np.arange(offs[-1]) - np.repeat(offs[:-1] - firsts[:-1], per)
-    last = at + np.repeat(np.minimum(width, np.maximum(n_words, 1)) - 1, per)
-    data, digest = joined.tobytes(), xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(data[s:e], seed) for s, e in zip(new_starts[at].tolist(), new_ends[last].tolist(), strict=True)), np.uint64, len(at))
+    hashes = np.empty(int(offs[-1]), np.uint64)
+    digest = xxhash.xxh64_intdigest
+    for lo in range(0, len(hashes), most):
+        hi = min(lo + most, len(hashes))
+        text = np.searchsorted(offs, np.arange(lo, hi), "right") - 1
+        at = np.arange(lo, hi) - offs[text] + firsts[text]
+        last = at + np.minimum(width, n_words[text]) - 1
+        a, b = int(at[0]), int(last.max()) + 1
+        own, lens = buf[starts[a] : ends[b - 1]], ends[a:b] - starts[a:b]
+        new_ends = np.cumsum(lens + 1) - 1
+        new_starts = new_ends - lens
+        joined = np.full(int(new_ends[-1]) + 1, 32, np.uint8)
+        joined[np.arange(int(lens.sum())) + np.repeat(np.arange(len(lens)), lens)] = own[NOT_SPACE[own]]
+        data = joined.tobytes()
+        hashes[lo:hi] = np.fromiter((digest(data[s:e], seed) for s, e in zip(new_starts[at - a].tolist(), new_ends[last - a].tolist(), strict=True)), np.uint64, hi - lo)
     return hashes, offs
 
 

@@ -2,11 +2,13 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from repseq.llm import simhash as S
+from repseq.llm.textcore import blocks
 
 
 def fingerprint(text):
@@ -118,3 +120,14 @@ def test_allocation_is_unequal_where_parts_are():
     assert most == [0, 0, 0, -1]
     _, most = S.allocate(1e9, [1e-9, 0.9], [[0.5] * 32, [0.01] * 32])
     assert most == [2, -1]
+
+
+@pytest.mark.parametrize("most", [1, 2, 7, 1000])
+def test_shingles_hashed_some_at_a_time(most):
+    texts = ["a b c d e f g", "", "x", "one two", "A  b\tc \n d", None, "z " * 40]
+    block = next(blocks(pa.array(texts)))
+    hashes, offs = S.shingle_hashes(block, most=most)
+    for k, text in enumerate(texts):
+        words = (text or "").lower().split()
+        want = [xxhash.xxh64_intdigest(" ".join(words[i : i + 3]).encode(), 42) for i in range(max(1, len(words) - 2))] if words else []
+        assert hashes[offs[k] : offs[k + 1]].tolist() == want
