@@ -37,7 +37,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return known.get()
 
 
-def small_batches(spark: SparkSession, most: int = 8 << 20) -> SparkSession:
+def small_batches(spark: SparkSession, most: int = 2 << 20) -> SparkSession:
     """From now on batches between the JVM and Python have ``most`` bytes, so that workers hold little of long texts. What the application set itself stays."""
     if not spark.sparkContext.getConf().contains(BATCH_BYTES):
         spark.conf.set(BATCH_BYTES, most)
