@@ -17,7 +17,7 @@ from repseq.operators.shared import materialise
 
 WINDOW = 10
 #: Bytes of text under one index.
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 #: Every so many text positions one suffix position is kept.
 SAMPLE_RATE = 8
 #: Bytes of benchmark text in one pass over the documents.
