@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import re
 import tempfile
 
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+try:
+    _LIBC = ctypes.CDLL("libc.so.6")
+    _LIBC.malloc_trim  # noqa: B018
+except (OSError, AttributeError):  # another C library has no such call
+    _LIBC = None
+
 #: A table of so many rows of a few numbers each is broadcast, a larger one is joined by a shuffle.
 FEW = 100_000
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -50,9 +58,17 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def give_back() -> None:
+    """Returns memory that this process no longer uses to the system."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
 def free_shuffles(spark: SparkSession) -> None:
     """Has the driver collect its garbage, so that Spark removes shuffle files and tables that nothing refers to any more."""
     gc.collect()
+    give_back()
     spark.sparkContext._jvm.System.gc()
 
 
