@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from repseq.llm.textcore import blocks, give_back, lean, scrambled
+from repseq.llm.textcore import blocks, lean, scrambled
 from repseq.operators.components import connected_components
 from repseq.operators.shared import compact, free_shuffles, small_side, stored
 
@@ -19,7 +19,7 @@ WORDS = 5
 #: Least similarity of near copies, as a fraction.
 SIMILAR = (4, 5)
 #: Different texts that say which shingles are common, and in how many of them one is. It changes cost, never pairs.
-ORDER_TEXTS = 24_000
+ORDER_TEXTS = 16_000
 COMMON = 2
 #: Rows of one shingle that are lined up together.
 LIST_ROWS = 50_000
@@ -81,11 +81,12 @@ def common_shingles(docs: DataFrame, width: int, texts: int = ORDER_TEXTS) -> tu
     draw = F.pmod(F.xxhash64(F.lit("order"), "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     some = docs.where(draw < share).select("at", "text").dropDuplicates(["at"])
     found = token_sets(some, width).select(F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON).toArrow()
-    free_shuffles(docs.sparkSession)
-    give_back()
     keys, n = found.column("s").to_numpy().view(np.uint64), found.column("n").to_numpy()
     order = np.argsort(keys)
-    return keys[order], n[order], share
+    out = keys[order], n[order], share
+    del found, keys, n, some
+    free_shuffles(docs.sparkSession)
+    return out
 
 
 def set_rows(docs: DataFrame, width: int) -> DataFrame:

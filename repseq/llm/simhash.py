@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from repseq.llm.jaccard import SIMILAR, similar_groups
 from repseq.llm.textcore import LOWER, NOT_SPACE, Block, blocks, lean
 from repseq.operators.components import connected_components
-from repseq.operators.shared import compact, materialise, released, small_side
+from repseq.operators.shared import compact, free_shuffles, materialise, released, small_side
 
 BITS = 64
 SHINGLE = 3
@@ -296,6 +296,7 @@ def one_of_each(docs: DataFrame, similar: tuple[int, int] = SIMILAR) -> DataFram
     unless the rows that go are too many to be broadcast.
     """
     stored: list[DataFrame] = []
+    free_shuffles(docs.sparkSession)
     rooted, _ = compact(similar_groups(docs, stored, similar=similar).where("doc_id IS NOT NULL").groupBy("root", "doc_id", "at").agg(F.count("*").alias("n")))
     released(stored)
     first = rooted.groupBy("root").agg(F.min(F.struct("doc_id", "at")).alias("k"))

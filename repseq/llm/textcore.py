@@ -8,7 +8,6 @@ UTF-8 bytes equals working on code points.
 
 from __future__ import annotations
 
-import ctypes
 from collections.abc import Iterator
 from functools import lru_cache, wraps
 
@@ -16,12 +15,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from repseq.operators.shared import give_back
+
 BLOCK_BYTES = 1 << 20
-try:
-    _LIBC = ctypes.CDLL("libc.so.6")
-    _LIBC.malloc_trim  # noqa: B018
-except (OSError, AttributeError):  # another C library has no such call
-    _LIBC = None
 U64 = np.uint64
 
 
@@ -37,13 +33,6 @@ LOWER_WORD = _table(lambda b: 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x8
 LOWER = np.array([b + 32 if 0x41 <= b <= 0x5A else b for b in range(256)], np.uint8)
 
 
-def give_back() -> None:
-    """Returns memory that this process no longer uses to the system."""
-    pa.default_memory_pool().release_unused()
-    if _LIBC is not None:
-        _LIBC.malloc_trim(0)
-
-
 def lean(run):
     """A function over batches that gives memory back when its task ends: workers outlive tasks."""
 
