@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from repseq.operators.numbering import numbered
+
 
 def dedup_exact(reads: DataFrame, keys: Sequence[str] = ("sample",), seq: str = "seq") -> DataFrame:
     """Distinct sequences with their number; counted before the shuffle."""
@@ -20,9 +22,22 @@ def dedup_last_by_id(reads: DataFrame, key: str = "read_id", order: str = "ord")
 
 
 def assign_ids(unique: DataFrame, keys: Sequence[str] = ("sample",), seq: str = "seq") -> DataFrame:
-    """``Seq{n}_{qty}`` in each sample, n by sequence; for sinks only (a window holds a sample: joins use the content)."""
-    n = F.row_number().over(Window.partitionBy(*keys).orderBy(seq))
-    return unique.withColumn("uid", F.concat(F.lit("Seq"), n.cast("string"), F.lit("_"), F.col("qty").cast("string")))
+    """``Seq{n}_{qty}`` in each sample, n from 1 by sequence. Numbers come from range partitions and their counts: no task holds a sample."""
+    out = numbered(unique, keys, [seq], "__n")
+    return out.select(*unique.columns, F.concat(F.lit("Seq"), (F.col("__n") + 1).cast("string"), F.lit("_"), F.col("qty").cast("string")).alias("uid"))
+
+
+def cluster_names(members: DataFrame, keys: Sequence[str] = ("sample",), cluster: str = "cluster") -> DataFrame:
+    """``members`` plus ``cluster_name``: ``Cluster_{i}_{size}``, i from 1 in each group of ``keys`` by the cluster's own id, size its rows."""
+    sizes = members.groupBy(*keys, cluster).agg(F.count("*").alias("__size"))
+    named = numbered(sizes, keys, [cluster], "__n")
+    alias = {c: f"__own{i}" for i, c in enumerate([*keys, cluster])}
+    named = named.select(*(F.col(c).alias(a) for c, a in alias.items()), F.concat(F.lit("Cluster_"), (F.col("__n") + 1).cast("string"), F.lit("_"), F.col("__size").cast("string")).alias("cluster_name"))
+    same = None
+    for c, a in alias.items():
+        here = F.col(c).eqNullSafe(F.col(a))
+        same = here if same is None else same & here
+    return members.drop("cluster_name").join(named, same).select(*(c for c in members.columns if c != "cluster_name"), "cluster_name")
 
 
 def content_id(unique: DataFrame, keys: Sequence[str] = ("sample",), seq: str = "seq") -> DataFrame:
