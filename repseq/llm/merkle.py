@@ -258,3 +258,45 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents``, with rows of an even CRC-32 of their id tampered with."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(*FIELDS)
     return manifest(docs, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0)
+
+
+_ENC = "CASE WHEN {0} IS NULL THEN '-' ELSE CAST(octet_length(encode(CAST({0} AS VARCHAR))) AS VARCHAR) || ':' || CAST({0} AS VARCHAR) END"
+_H = lambda text: "sha256(" + " || ".join(_ENC.format(c) for c in (*FIELDS[:-1], text)) + ")"
+ORACLE = f"""
+WITH RECURSIVE d AS (
+  SELECT *, list_reduce(list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1), lambda i: CAST(ascii(substring(CAST(doc_id AS VARCHAR), CAST(i AS INT), 1)) AS BIGINT)),
+    lambda c, b: list_reduce(range(8), lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(c, b)), 4294967295) AS crc
+  FROM documents
+), leaves AS MATERIALIZED (
+  SELECT source, doc_id, {_H("text")} AS leaf, CASE WHEN xor(crc, 4294967295) % 2 = 0 THEN {_H("replace(text, chr(10), '')")} ELSE {_H("text")} END AS met FROM d
+), l AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY source) AS n FROM leaves
+), tree AS (
+  SELECT source, 0 AS lvl, pos, n, leaf AS node FROM l
+  UNION ALL SELECT source, lvl + 1, pos // 3, (n + 2) // 3, sha256(string_agg(node, '' ORDER BY pos)) FROM tree WHERE n > 1 GROUP BY source, lvl, n, pos // 3
+), sub AS MATERIALIZED (
+  SELECT source, node AS subroot, row_number() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM tree WHERE n = 1
+), trunk AS (
+  SELECT 0 AS lvl, pos, n, subroot AS node FROM sub
+  UNION ALL SELECT lvl + 1, pos // 3, (n + 2) // 3, sha256(string_agg(node, '' ORDER BY pos)) FROM trunk WHERE n > 1 GROUP BY lvl, n, pos // 3
+), fold AS (
+  SELECT source, pos AS own, 0 AS lvl, pos, n, met AS node FROM l
+  UNION ALL SELECT f.source, f.own, f.lvl + 1, f.pos // 3, (f.n + 2) // 3, sha256(string_agg(CASE WHEN t.pos = f.pos THEN f.node ELSE t.node END, '' ORDER BY t.pos))
+  FROM fold f JOIN tree t ON t.source IS NOT DISTINCT FROM f.source AND t.lvl = f.lvl AND t.pos // 3 = f.pos // 3 WHERE f.n > 1 GROUP BY f.source, f.own, f.lvl, f.n, f.pos
+), climb AS (
+  SELECT f.source, f.own, 0 AS lvl, s.pos, s.n, f.node FROM fold f JOIN sub s ON s.source IS NOT DISTINCT FROM f.source WHERE f.n = 1
+  UNION ALL SELECT c.source, c.own, c.lvl + 1, c.pos // 3, (c.n + 2) // 3, sha256(string_agg(CASE WHEN t.pos = c.pos THEN c.node ELSE t.node END, '' ORDER BY t.pos))
+  FROM climb c JOIN trunk t ON t.lvl = c.lvl AND t.pos // 3 = c.pos // 3 WHERE c.n > 1 GROUP BY c.source, c.own, c.lvl, c.n, c.pos
+), low AS (
+  SELECT l.source, l.pos, coalesce(string_agg(t.node, '' ORDER BY t.lvl, t.pos), '') AS proof
+  FROM l LEFT JOIN tree t ON t.source IS NOT DISTINCT FROM l.source AND t.n > 1 AND t.pos // 3 = l.pos // CAST(pow(3, t.lvl + 1) AS BIGINT) AND t.pos <> l.pos // CAST(pow(3, t.lvl) AS BIGINT)
+  GROUP BY l.source, l.pos
+), high AS (
+  SELECT s.source, coalesce(string_agg(t.node, '' ORDER BY t.lvl, t.pos), '') AS proof
+  FROM sub s LEFT JOIN trunk t ON t.n > 1 AND t.pos // 3 = s.pos // CAST(pow(3, t.lvl + 1) AS BIGINT) AND t.pos <> s.pos // CAST(pow(3, t.lvl) AS BIGINT)
+  GROUP BY s.source
+)
+SELECT l.doc_id, l.leaf, s.subroot, r.node AS root, sha256(low.proof || high.proof) AS proof_sha256, c.node AS folded_root, c.node = r.node AS verified
+FROM l JOIN sub s ON s.source IS NOT DISTINCT FROM l.source JOIN low ON low.source IS NOT DISTINCT FROM l.source AND low.pos = l.pos
+  JOIN high ON high.source IS NOT DISTINCT FROM l.source JOIN climb c ON c.source IS NOT DISTINCT FROM l.source AND c.own = l.pos AND c.n = 1, (SELECT node FROM trunk WHERE n = 1) r
+"""

@@ -149,9 +149,9 @@ DIGITS = {
     "zéro": "0", "un": "1", "deux": "2", "trois": "3", "quatre": "4", "cinq": "5", "sept": "7", "huit": "8", "neuf": "9",
     "cero": "0", "uno": "1", "dos": "2", "tres": "3", "cuatro": "4", "cinco": "5", "seis": "6", "siete": "7", "ocho": "8", "nueve": "9",
 }
-# Words for the signs, and ends of domains that make a plain "at" one.
+# Words for the signs, and ends of domains, none of them a common word, that make a bare "at" one.
 AT_WORDS, DOT_WORDS = "at|ät|arroba|arobase", "dot|punkt|point|punto"
-DOMAINS = "com|org|net|edu|gov|mil|int|info|biz|io|dev|app|me|eu|us|uk|ca|au|de|at|ch|fr|be|nl|es|it|pt|mx|ar|br|pl|se|jp|cn|in|ru|test|example|invalid"
+DOMAINS = "com|org|net|edu|gov|mil|info|biz|io|dev|app|eu|uk|ca|au|de|ch|fr|nl|pt|mx|br|pl|jp|cn|ru|example|invalid"
 
 _IN, _OUT = r"[(\[{<][ \t]{0,2}", r"[ \t]{0,2}[)\]}>]"
 _GAP = r"[ \t]{1,3}"
@@ -162,7 +162,7 @@ _AT_WORD = rf"(?:(?:{_GAP}|[-_*])(?:{AT_WORDS}|@)(?:{_GAP}|[-_*]))"
 _ANY_DOT = rf"(?:\.|{_WORD_DOT})"
 _HIDDEN_AT = re.compile(
     rf"(?<=[A-Za-z0-9_%+.-])(?:(?P<sign>{_AT_SIGN})(?={_LABEL}(?:{_ANY_DOT}{_LABEL}){{1,8}})"
-    rf"|(?P<word>{_AT_WORD})(?={_LABEL}(?:\.{_LABEL}){{0,4}}{_WORD_DOT}{_LABEL})"
+    rf"|(?P<word>{_AT_WORD})(?={_LABEL}(?:{_ANY_DOT}{_LABEL}){{0,6}}{_WORD_DOT}(?:{DOMAINS})(?![A-Za-z0-9-]))"
     rf"|(?P<known>{_AT_WORD})(?={_LABEL}(?:\.{_LABEL}){{0,6}}\.(?:{DOMAINS})(?![A-Za-z0-9-])))",
     re.IGNORECASE,
 )
@@ -250,8 +250,8 @@ def spell(tape: Tape) -> None:
 def sign(tape: Tape) -> None:
     """At and dot signs in brackets or words become signs where a name stands before and a host after.
 
-    In brackets always. The bare word "at", or a sign with gaps around, only before a host with a dot in
-    brackets or as a word; or before one that ends in a known domain, if the name has a digit or a sign in it or the sign is one.
+    In brackets always. The bare word "at", or a sign with gaps around, only before a host that ends in a known
+    domain: after a dot in brackets or as a word, or, if the name has a digit or a sign in it or the at is a sign, after any.
     Bare dot words count in the host that follows, as long as no dot has stood in it, and in the name before such an at.
     """
     text, pieces = tape.text, []

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from repseq.llm import decontamination, language_id, mixing, quality_classifier, quality_rules, sharding, simhash, token_files, toxicity, url_filters
+from repseq.llm import decontamination, hard_negatives, language_id, merkle, mixing, pii, quality_classifier, quality_rules, sharding, simhash, token_files, toxicity, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": quality_classifier.op1_quality_classifier,
@@ -19,6 +19,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": simhash.op8_simhash,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_mixing": mixing.op10_mixing,
+    "op11_merkle": merkle.op11_merkle,
+    "op12_pii": pii.op12_pii,
+    "op13_hard_negatives": hard_negatives.op13_hard_negatives,
 }
 
 ORACLES: dict[str, str] = {
@@ -26,4 +29,6 @@ ORACLES: dict[str, str] = {
     "op3_url_filters": url_filters.ORACLE,
     "op9_quality_rules": quality_rules.ORACLE,
     "op10_mixing": mixing.ORACLE,
+    "op11_merkle": merkle.ORACLE,
+    "op13_hard_negatives": hard_negatives.ORACLE,
 }
