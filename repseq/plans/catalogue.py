@@ -12,9 +12,10 @@ from repseq.functions import align, dna
 from repseq.functions import motif as M
 from repseq.operators import cdr3, cluster, consensus, correct, dedup, demux, simjoin
 from repseq.operators.components import connected_components as components_of
+from repseq.operators.numbering import numbered
 from repseq.operators.shared import checkpoint_dir
 from repseq.plans import pipeline, synth
-from repseq.sources import fasta, fastq
+from repseq.sources import fasta, fastq, routed
 from repseq.sources.config import read_config
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -135,6 +136,33 @@ def scan_fastq(spark, sf_dir):
     return fastq.read_fastq(spark, path, keep_quality=True).select("read_id", "seq", "qual")
 
 
+@query("SELECT CAST(read_id AS VARCHAR) AS read_id, seq, CASE WHEN read_id % 2 = 0 THEN '@' ELSE '+' END || repeat('@', length(seq) - 1) AS qual, CAST(row_number() OVER (ORDER BY read_id) AS BIGINT) AS nth FROM reads")
+def scan_fastq_split(spark, sf_dir):
+    """A file in pieces of 4,000 bytes that begin anywhere, with qualities that look like headers."""
+    path = _scratch(spark)
+    qual = F.concat(F.when(F.col("read_id") % 2 == 0, F.lit("@")).otherwise(F.lit("+")), F.expr("repeat('@', length(seq) - 1)"))
+    record = F.concat(F.lit("@"), F.col("read_id").cast("string"), F.lit(" x\n"), "seq", F.lit("\n+\n"), qual)
+    fasta.write_text(synth.reads(spark, sf_dir).repartitionByRange(2, "read_id").sortWithinPartitions("read_id").withColumn("record", record), "record", path)
+    rows = fastq.read_fastq(spark, path, keep_quality=True, last_wins=False, split_bytes=4000)
+    return numbered(rows, [], ["ord"], "__n").select("read_id", "seq", "qual", (F.col("__n") + 1).alias("nth"))
+
+
+@query("SELECT CASE status WHEN 'ok' THEN sample || '/' || sample || '.fasta' WHEN 'incomplete' THEN sample || '/' || sample || '_incomplete.fasta' ELSE 'filtered.fasta' END AS file, CAST(read_id AS VARCHAR) AS read_id, CASE status WHEN 'ok' THEN core WHEN 'incomplete' THEN trim(seq, 'acgtn') ELSE seq END AS seq FROM reads")
+def route_reads(spark, sf_dir):
+    """Demultiplexed reads written to the files of a run, and read again with the file each came from."""
+    path = _scratch(spark)
+    routed.write_demultiplexed(_demuxed(spark, sf_dir), path)
+    return routed.read_routed(spark, path)
+
+
+_NAMED = "(SELECT *, 'Cluster_' || CAST(dense_rank() OVER (PARTITION BY sample ORDER BY clone) AS VARCHAR) || '_' || CAST(count(*) OVER (PARTITION BY sample, clone) AS VARCHAR) AS cluster_name FROM found)"
+
+
+@query("SELECT sample, cluster_name, seq FROM (SELECT *, 'Cluster_' || CAST(dense_rank() OVER (PARTITION BY sample ORDER BY clone) AS VARCHAR) || '_' || CAST(count(*) OVER (PARTITION BY sample, clone) AS VARCHAR) AS cluster_name FROM uniq) x")
+def cluster_names(spark, sf_dir):
+    return dedup.cluster_names(synth.unique(spark, sf_dir), cluster="clone").select("sample", "cluster_name", "seq")
+
+
 _CLUSTERS = "SELECT sample || '_' || CAST(clone AS VARCHAR) AS cluster_id, md5(seq) AS uid, seq FROM uniq"
 
 
@@ -152,7 +180,7 @@ def render_clusters(spark, sf_dir):
 def scan_clusters(spark, sf_dir):
     path = _scratch(spark)
     fasta.write_text(render_clusters(spark, sf_dir), "block", path)
-    return fasta.read_clusters(spark, path)
+    return fasta.read_clusters(spark, path).select("cluster_id", "read_id", "seq")
 
 
 @query("SELECT * FROM (VALUES " + ", ".join("(" + ", ".join(f"'{x}'" if isinstance(x, str) else str(x) for x in r) + ")" for r in synth.config_rows()) + ") t(sampleName, forwardMid, reverseMid, forwardPrimer, reversePrimer, cdr3Start, cdr3End, cdr3Threshold, sequenceThreshold, cfg_ord)", reads=False)
@@ -252,6 +280,15 @@ def cdr3_missing(spark, sf_dir):
     return cdr3.with_cdr3(cut).where("cdr IS NULL").select("sample", "seq")
 
 
+@query(_with(_FOUND, f"SELECT sample || '/' || sample || '.cl' AS file, cluster_name AS cluster_id, md5(seq) AS read_id, cdr, seq FROM {_NAMED} x"))
+def cluster_files(spark, sf_dir):
+    """Cluster files with each member's CDR in its header and its full read, written and read again."""
+    path = _scratch(spark)
+    members = dedup.cluster_names(_found(spark, sf_dir).where("cdr IS NOT NULL"), cluster="clone")
+    routed.write_clusters(members.withColumn("uid", F.md5("seq")), path)
+    return routed.read_cluster_files(spark, path)
+
+
 _WEIGHTS = "SELECT sample, cdr, CAST(sum(qty) AS BIGINT) AS weight, count(*) AS n_unique FROM found GROUP BY sample, cdr"
 
 

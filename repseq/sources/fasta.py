@@ -16,19 +16,20 @@ def _records(block: Column) -> Column:
     return F.transform(F.filter(F.slice(own, 2, 1 << 30), lambda r: F.length(F.trim(r)) > 0), record)
 
 
-def read_fasta(spark: SparkSession, path: str, last_wins: bool = True, lead: bool = False) -> DataFrame:
+def read_fasta(spark: SparkSession, path: str, last_wins: bool = True, lead: bool = False, extra: dict[str, Column] | None = None) -> DataFrame:
     """``(read_id, seq, ord)``: a record a row, split where lines begin with ``>``; files are cut for many tasks.
 
     The id is the header's first token; lines are joined without white space. Of
-    repeated ids the last in the file stays, unless ``last_wins`` is off. Text before the first header is not a record; with ``lead`` it is a row of the empty id.
+    repeated ids the last in the file stays, unless ``last_wins`` is off. Text before the first header is not a record; with ``lead`` it is a row of the empty id. ``extra`` adds columns of the scan.
     """
-    lines = spark.read.option("lineSep", "\n>").text(path).withColumn("ord", F.monotonically_increasing_id())
+    extra = extra or {}
+    lines = spark.read.option("lineSep", "\n>").option("recursiveFileLookup", bool(extra)).text(path).withColumn("ord", F.monotonically_increasing_id())
     text = F.regexp_replace("value", r"\r", "")
     first = F.startswith(text, F.lit(">"))
-    rows = lines.select(F.when(first, F.substring(text, 2, 1 << 30)).otherwise(text).alias("r"), "ord", F.col("_metadata.file_block_start").alias("at"), first.alias("first"))
+    rows = lines.select(F.when(first, F.substring(text, 2, 1 << 30)).otherwise(text).alias("r"), "ord", F.col("_metadata.file_block_start").alias("at"), first.alias("first"), *(c.alias(k) for k, c in extra.items()))
     before = F.expr("ord % 8589934592 = 0 AND at = 0 AND NOT first")
     rows = rows.where(~before | F.lit(lead) & F.col("r").rlike(r"\S")).withColumn("r", F.when(before, F.concat(F.lit("\n"), "r")).otherwise(F.col("r"))).where("trim(r) <> ''")
-    out = rows.select(header_id(F.substring_index("r", "\n", 1)).alias("read_id"), F.regexp_replace(F.regexp_replace("r", r"^[^\n]*", ""), r"\s+", "").alias("seq"), "ord")
+    out = rows.select(header_id(F.substring_index("r", "\n", 1)).alias("read_id"), F.regexp_replace(F.regexp_replace("r", r"^[^\n]*", ""), r"\s+", "").alias("seq"), "ord", *extra)
     return dedup_last_by_id(out).select("read_id", "seq", "ord") if last_wins else out
 
 
@@ -46,8 +47,8 @@ def validate_reads(reads: DataFrame, compat: bool = False) -> DataFrame:
     return reads.withColumn("norm_seq", norm).withColumn("valid", F.coalesce(is_valid(norm, compat) & (F.col("read_id").cast("string") != ""), F.lit(False)))
 
 
-def read_clusters(spark: SparkSession, path: str) -> DataFrame:
-    """``(cluster_id, read_id, seq)`` of a cluster file: lines ``=name`` head blocks of records. Text before the first is dropped; of blocks of one name the last stays."""
+def read_clusters(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``(cluster_id, read_id, seq, description)`` of a cluster file: lines ``=name`` head blocks of records. Text before the first is dropped; of blocks of one name the last stays."""
     blocks = spark.read.option("lineSep", "\n=").text(path).withColumn("ord", F.monotonically_increasing_id())
     text = F.regexp_replace("value", r"\r", "")
     named = blocks.select(text.alias("b"), "ord", F.col("_metadata.file_block_start").alias("at"))
@@ -55,7 +56,7 @@ def read_clusters(spark: SparkSession, path: str) -> DataFrame:
     body = F.regexp_replace("b", r"^=?[^\n]*\n?", "")
     rows = headed.select(F.trim(F.regexp_replace(F.substring_index("b", "\n", 1), "^=", "")).alias("cluster_id"), body.alias("body"), "ord")
     last = dedup_last_by_id(rows, "cluster_id")
-    return last.select("cluster_id", F.explode(_records(F.col("body"))).alias("r")).select("cluster_id", "r.read_id", "r.seq")
+    return last.select("cluster_id", F.explode(_records(F.col("body"))).alias("r")).select("cluster_id", "r.read_id", "r.seq", "r.description")
 
 
 # --- text out -----------------------------------------------------------------------

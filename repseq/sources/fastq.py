@@ -1,64 +1,142 @@
-"""FASTQ as a Spark data source: ``spark.read.format("fastq").load(path)``."""
+"""FASTQ as a Spark data source: ``spark.read.format("fastq").load(path)``, files cut for many tasks."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pyarrow.fs as fs
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from repseq.operators.dedup import dedup_last_by_id
+from repseq.sources.store import data_files, store
 
+SPLIT_BYTES = 64 << 20
+#: Bytes read at a time.
+CHUNK = 4 << 20
+#: Records in a row that must look like records for the first to be taken as one.
+AGREE = 4
 
-@dataclass
-class File(InputPartition):
-    number: int
-    path: str
-
+_SCHEMA = pa.schema([("read_id", pa.string()), ("seq", pa.string()), ("ord", pa.int64()), ("qual", pa.string())])
 
-def _store(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path.removeprefix("file:"))
 
+@dataclass
+class Split(InputPartition):
+    """Bytes ``lo`` to ``hi`` of the ``number``-th file: the records that begin in them."""
 
-class _Reader(DataSourceReader):
-    def __init__(self, path: str):
-        self.path = path
+    number: int
+    path: str
+    lo: int
+    hi: int | None
+
+
+class Lines:
+    """Lines of a stream from a place on, with where each begins; a carriage return at the end goes."""
+
+    def __init__(self, stream, at: int):
+        self.stream, self.at = stream, at
+        self.lines: list[bytes] = []
+        self.begins: list[int] = []
+        self.rest, self.ended = b"", False
+
+    def fill(self, n: int) -> bool:
+        """Whether ``n`` lines are there, after reading on if need be."""
+        while len(self.lines) < n and not self.ended:
+            chunk = self.stream.read(CHUNK)
+            self.ended = not chunk
+            parts = (self.rest + chunk).split(b"\n")
+            self.rest = b"" if self.ended else parts.pop()
+            if self.ended and parts == [b""]:
+                parts = []
+            for p in parts:
+                self.lines.append(p.rstrip(b"\r"))
+                self.begins.append(self.at)
+                self.at += len(p) + 1
+        return len(self.lines) >= n
+
+    def skip(self, n: int) -> None:
+        del self.lines[:n], self.begins[:n]
+
+
+def is_record(lines: list[bytes]) -> bool:
+    return lines[0].startswith(b"@") and lines[2].startswith(b"+") and len(lines[1]) == len(lines[3])
+
+
+def record_start(lines: Lines) -> None:
+    """Leaves ``lines`` at the first line from which records follow: ``@``, two lines on ``+``, as many qualities as letters, and so again ``AGREE`` times or to the end.
+
+    A line of qualities may begin with ``@`` or ``+``, but not the letters of a read; so from a wrong
+    line the ``+`` is missed. Blank lines between records count as none.
+    """
+    while lines.fill(4):
+        at, good = 0, 0
+        while good < AGREE and lines.fill(at + 4) and is_record(lines.lines[at : at + 4]):
+            good, at = good + 1, at + 4
+            while lines.fill(at + 1) and not lines.lines[at].strip():
+                at += 1
+        if good == AGREE or good and not lines.fill(at + 1):
+            return
+        lines.skip(1)
+    lines.skip(len(lines.lines))
+
+
+class FastqReader(DataSourceReader):
+    def __init__(self, path: str, split_bytes: int):
+        self.path, self.split_bytes = path, split_bytes
 
     def partitions(self) -> list[InputPartition]:
-        """A file is a partition: where records begin can't be told from the middle of one."""
-        store, path = _store(self.path)
-        info = store.get_file_info(path)
-        if info.type == fs.FileType.File:
-            return [File(0, self.path)]
-        head = self.path.removesuffix(path) if self.path.endswith(path) else ""
-        found = sorted(f.path for f in store.get_file_info(fs.FileSelector(path)) if f.is_file and not f.base_name.startswith(("_", ".")))
-        return [File(k, head + p) for k, p in enumerate(found)]
-
-    def read(self, partition: File) -> Iterator[tuple]:
-        """Records of four lines: ``@name``, letters, ``+``, and as many quality letters."""
-        store, path = _store(partition.path)
-        with store.open_input_stream(path) as stream:
-            lines = _lines(stream)
-            n = 0
-            for head in lines:
-                if not head.strip():
-                    continue
-                seq, plus, qual = next(lines, None), next(lines, None), next(lines, None)
-                if not head.startswith("@") or qual is None or not plus.startswith("+") or len(seq) != len(qual):
-                    raise ValueError(f"{partition.path}: record {n + 1} is not FASTQ")
-                yield (head[1:].split(" ")[0].split("\t")[0], seq, (partition.number << 40) + n, qual)
-                n += 1
-
-
-def _lines(stream) -> Iterator[str]:
-    rest = b""
-    while chunk := stream.read(1 << 20):
-        *whole, rest = (rest + chunk).split(b"\n")
-        yield from (w.rstrip(b"\r").decode("latin-1") for w in whole)
-    if rest:
-        yield rest.rstrip(b"\r").decode("latin-1")
+        """Files in pieces of ``split_bytes``; compressed ones whole."""
+        out: list[InputPartition] = []
+        for k, (path, size) in enumerate(data_files(self.path)):
+            if path.endswith(".gz"):
+                out.append(Split(k, path, 0, None))
+            else:
+                out += [Split(k, path, lo, min(size, lo + self.split_bytes)) for lo in range(0, size, self.split_bytes)]
+        return out or [Split(0, "", 0, 0)]
+
+    def read(self, partition: Split) -> Iterator[pa.RecordBatch]:
+        """Batches of the records that begin in the split. ``ord`` is the file's number and the record's place in it: it does not depend on the cut."""
+        if not partition.path:
+            return
+        system, path = store(partition.path)
+        if partition.hi is None:
+            stream, at = system.open_input_stream(path, compression="gzip"), 0
+        else:
+            stream, at = system.open_input_file(path), max(0, partition.lo - 1)
+            stream.seek(at)
+        with stream:
+            lines = Lines(stream, at)
+            if partition.lo > 0:
+                lines.fill(1)
+                lines.skip(1)  # up to the first line that begins in the split
+                record_start(lines)
+            yield from self._batches(lines, partition)
+
+    def _batches(self, lines: Lines, split: Split) -> Iterator[pa.RecordBatch]:
+        while lines.fill(1):
+            blank = next((k for k, x in enumerate(lines.lines) if x.strip()), len(lines.lines))
+            if blank:
+                lines.skip(blank)
+                continue
+            if not lines.fill(4):
+                raise ValueError(f"{split.path}: the record at byte {lines.begins[0]} is not FASTQ")
+            n = len(lines.lines) // 4
+            quads = lines.lines[: 4 * n]
+            heads, seqs, quals = quads[0::4], quads[1::4], quads[3::4]
+            begins = lines.begins[: 4 * n : 4]
+            good = next((k for k in range(n) if not is_record(quads[4 * k : 4 * k + 4])), n)
+            past = n if split.hi is None else next((k for k, b in enumerate(begins) if b >= split.hi), n)
+            if good < min(n, past) and heads[good].strip():
+                raise ValueError(f"{split.path}: the record at byte {begins[good]} is not FASTQ")
+            n = min(good, past)
+            ids = [h[1:].split(b" ", 1)[0].split(b"\t", 1)[0].decode("latin-1") for h in heads[:n]]
+            columns = [ids, [s.decode("latin-1") for s in seqs[:n]], [(split.number << 44) + b for b in begins[:n]], [q.decode("latin-1") for q in quals[:n]]]
+            if n:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _SCHEMA.types, strict=True)], schema=_SCHEMA)
+            if past <= good and past < len(begins):
+                return
+            lines.skip(4 * n)
 
 
 class FastqSource(DataSource):
@@ -70,13 +148,13 @@ class FastqSource(DataSource):
         return "read_id string, seq string, ord long, qual string"
 
     def reader(self, schema) -> DataSourceReader:
-        return _Reader(self.options["path"])
+        return FastqReader(self.options["path"], int(self.options.get("splitBytes", SPLIT_BYTES)))
 
 
-def read_fastq(spark: SparkSession, path: str, keep_quality: bool = False, last_wins: bool = True) -> DataFrame:
-    """``(read_id, seq, ord)``, with ``qual`` if asked for; of repeated ids the last stays."""
+def read_fastq(spark: SparkSession, path: str, keep_quality: bool = False, last_wins: bool = True, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """``(read_id, seq, ord)``, with ``qual`` if asked for; of repeated ids the last stays. Files are read in pieces of ``split_bytes``, files of ``.gz`` whole."""
     spark.dataSource.register(FastqSource)
-    rows = spark.read.format("fastq").load(path)
+    rows = spark.read.format("fastq").option("splitBytes", split_bytes).load(path)
     rows = rows if keep_quality else rows.drop("qual")
     return dedup_last_by_id(rows).select(*rows.columns) if last_wins else rows
 
