@@ -46,8 +46,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def small_batches(spark: SparkSession, most: int = 2 << 20) -> SparkSession:
-    """From now on batches between the JVM and Python have ``most`` bytes, so that workers hold little of long texts. What the application set itself stays."""
-    if not spark.sparkContext.getConf().contains(BATCH_BYTES):
+    """From now on batches between the JVM and Python have ``most`` bytes, so that workers hold little of long texts. A value that was set, at the start or in the session, stays."""
+    if not spark._jsparkSession.sessionState().conf().contains(BATCH_BYTES):
         spark.conf.set(BATCH_BYTES, most)
     return spark
 
