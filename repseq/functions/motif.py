@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -92,73 +92,140 @@ def codon_graph(motif: str) -> tuple[list[str], list[list[int]], list[int]]:
     return letters, before, ends
 
 
+#: Bytes of scores that are held at a time.
+TABLE_BYTES = 64 << 20
+
+
 def align_hits(seq: str, motif: str, threshold: int, match: int = MATCH, mismatch: int = MISMATCH, insert: int = INDEL, delete: int = INDEL) -> list[tuple[int, int, int]]:
-    """Local alignment of ``seq`` on the codon graph, linear gaps: hits ``(begin, end, score)`` of ``threshold`` or more.
+    """``align_many`` of one sequence."""
+    return align_many([seq], motif, threshold, match, mismatch, insert, delete)[0]
+
+
+def align_many(seqs: Sequence[str], motif: str, threshold: int, match: int = MATCH, mismatch: int = MISMATCH, insert: int = INDEL, delete: int = INDEL) -> list[list[tuple[int, int, int]]]:
+    """Local alignment of each sequence on the codon graph, linear gaps: hits ``(begin, end, score)`` of ``threshold`` or more.
 
     A cell is the best of zero, a diagonal step, a skipped graph base (``delete``) and an
     extra read base (``insert``), in that order among equals. A cell at the threshold is
     a candidate; it takes the place of the one before it on its path unless that one is better. The ends of the motif
     count as one node, with the best of them at each place. Candidates are listed by node, then
     place; of neighbours in the list with one begin the first best stays.
+
+    Sequences go through the graph together, those of like length in one table: a node is a few
+    steps over all of their places at once.
     """
-    letters, before, ends = codon_graph(motif)
-    n, m = len(letters), len(seq)
-    score = np.zeros((n, m + 1), np.int64)
-    back: dict[tuple[int, int], tuple[int, int]] = {}
-    kept: dict[tuple[int, int], bool] = {}
-    for v in range(1, n):
-        for j in range(1, m + 1):
-            own = match if letters[v] == seq[j - 1] else mismatch
-            best, source = 0, None
-            for p in before[v]:
-                if score[p, j - 1] + own > best:
-                    best, source = score[p, j - 1] + own, (p, j - 1)
-            for p in before[v]:
-                if score[p, j] + delete > best:
-                    best, source = score[p, j] + delete, (p, j)
-            if score[v, j - 1] + insert > best:
-                best, source = score[v, j - 1] + insert, (v, j - 1)
-            if source is None:
-                continue
-            score[v, j] = best
-            back[v, j] = source
-            if best >= threshold:
-                kept[v, j] = True
-                if source in kept and score[source] <= best:
-                    kept[source] = False
-    final: dict[int, int] = {}
-    for v, j in sorted(c for c, k in kept.items() if k and c[0] in ends):
-        if j not in final or score[v, j] > score[final[j], j]:
-            final[j] = v
-    inner = sorted(c for c, k in kept.items() if k and c[0] not in ends)
-    hits = []
-    for v, j in [*inner, *((final[j], j) for j in sorted(final))]:
-        at = (v, j)
-        while back[at] in back:
-            at = back[at]
-        hits.append((back[at][1], j - 1, int(score[v, j])))
-    out: list[tuple[int, int, int]] = []
-    for h in hits:
-        if out and out[-1][0] == h[0]:
-            if h[2] > out[-1][2]:
-                out[-1] = h
-        else:
-            out.append(h)
+    graph = codon_graph(motif)
+    order = sorted(range(len(seqs)), key=lambda k: len(seqs[k]))
+    out: list[list[tuple[int, int, int]]] = [[] for _ in seqs]
+    lo = 0
+    while lo < len(order):
+        hi = lo + 1
+        while hi < len(order) and (hi + 1 - lo) * (len(seqs[order[hi]]) + 1) * len(graph[0]) * 8 <= TABLE_BYTES:
+            hi += 1
+        for k, hits in zip(order[lo:hi], _align_table([seqs[k] for k in order[lo:hi]], graph, threshold, match, mismatch, insert, delete), strict=True):
+            out[k] = hits
+        lo = hi
+    return out
+
+
+def _align_table(seqs: list[str], graph: tuple[list[str], list[list[int]], list[int]], threshold: int, match: int, mismatch: int, insert: int, delete: int) -> list[list[tuple[int, int, int]]]:
+    letters, before, ends = graph
+    wide = max(map(len, seqs))
+    reads = np.zeros((len(seqs), wide), np.uint32)
+    for k, s in enumerate(seqs):
+        reads[k, : len(s)] = np.frombuffer(s.encode("utf-32-le"), np.uint32)
+    place = np.arange(wide + 1, dtype=np.int32)
+    inside = place[None, :] <= np.array([len(s) for s in seqs])[:, None]
+    shape = (len(seqs), wide + 1)
+    #: Of each node: scores, where its paths begin, and its candidates so far.
+    score, begin, kept = {0: np.zeros(shape, np.int32)}, {0: np.broadcast_to(place, shape)}, {}
+    merged: dict[tuple[int, ...], tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+    for v in range(1, len(letters)):
+        key = tuple(before[v])
+        if key not in merged:
+            merged = {key: _best_of(key, score, begin)}
+        top, since, which = merged[key]
+        diagonal = np.zeros(shape, np.int32)
+        diagonal[:, 1:] = top[:, :-1] + np.where(reads == ord(letters[v]), np.int32(match), np.int32(mismatch))
+        skipped = top + np.int32(delete)
+        skipped[:, 0] = 0
+        by_step = diagonal > 0
+        own = np.where(by_step, diagonal, 0)
+        by_skip = skipped > own
+        own[by_skip] = skipped[by_skip]
+        from_ = np.where(by_step, np.pad(since[:, :-1], ((0, 0), (1, 0))), place[None, :])
+        from_ = np.where(by_skip, since, from_)
+        rise = place * np.int32(insert)
+        best = np.maximum.accumulate(own - rise, axis=1) + rise
+        by_insert = best > own
+        last = np.maximum.accumulate(np.where(by_insert, 0, place), axis=1)
+        score[v], begin[v] = best, np.take_along_axis(from_, last, axis=1)
+        good = (best >= threshold) & (best > 0) & inside
+        if not good.any():
+            continue
+        kept[v] = good
+        i, j = np.nonzero(good)
+        at = best[i, j]
+        insert_, skip_ = by_insert[i, j], by_skip[i, j] & ~by_insert[i, j]
+        source = j - ~skip_
+        pred = which[i, np.where(insert_, 0, source)]
+        for p in np.unique(pred[~insert_]).tolist():
+            mine = ~insert_ & (pred == p)
+            _superseded(kept.get(p), score[p], i[mine], source[mine], at[mine])
+        _superseded(good, best, i[insert_], source[insert_], at[insert_])
+    return _listed(len(seqs), score, begin, kept, ends)
+
+
+def _best_of(nodes: tuple[int, ...], score: dict[int, np.ndarray], begin: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """At each place the first best of some nodes: its score, where its path begins, and its number."""
+    top, since, which = score[nodes[0]], begin[nodes[0]], np.full(score[nodes[0]].shape, nodes[0], np.int32)
+    for p in nodes[1:]:
+        higher = score[p] > top
+        top, since, which = np.where(higher, score[p], top), np.where(higher, begin[p], since), np.where(higher, np.int32(p), which)
+    return top, since, which
+
+
+def _superseded(kept: np.ndarray | None, score: np.ndarray, i: np.ndarray, j: np.ndarray, at: np.ndarray) -> None:
+    """Cells that a candidate at least as good comes from are none themselves."""
+    if kept is not None and len(i):
+        no_better = score[i, j] <= at
+        kept[i[no_better], j[no_better]] = False
+
+
+def _listed(n: int, score: dict[int, np.ndarray], begin: dict[int, np.ndarray], kept: dict[int, np.ndarray], ends: list[int]) -> list[list[tuple[int, int, int]]]:
+    found: list[list[tuple[int, int, int]]] = [[] for _ in range(n)]
+    last: list[dict[int, tuple[int, int, int]]] = [{} for _ in range(n)]
+    for v in sorted(kept):
+        for i, j in zip(*(x.tolist() for x in np.nonzero(kept[v])), strict=True):
+            hit = (int(begin[v][i, j]), j - 1, int(score[v][i, j]))
+            if v not in ends:
+                found[i].append(hit)
+            elif j not in last[i] or hit[2] > last[i][j][2]:
+                last[i][j] = hit
+    out = []
+    for inner, final in zip(found, last, strict=True):
+        own: list[tuple[int, int, int]] = []
+        for h in [*inner, *(final[j] for j in sorted(final))]:
+            if own and own[-1][0] == h[0]:
+                if h[2] > own[-1][2]:
+                    own[-1] = h
+            else:
+                own.append(h)
+        out.append(own)
     return out
 
 
 def scan_general(seq: Column, motif: str, threshold: int | None = None, match: int = MATCH, mismatch: int = MISMATCH, insert: int = INDEL, delete: int = INDEL) -> Column:
-    """``align_hits`` as a column, each different sequence of a batch aligned once."""
+    """``align_many`` as a column, each different sequence of a batch aligned once."""
     limit = default_threshold(motif, match, insert) if threshold is None else threshold
     parse(motif)
 
     @F.pandas_udf(HITS)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for given in batches:
+            once = [s for s in given.unique() if s is not None]
             known: dict[str | None, list] = {None: []}
-            for s in given:
-                if s not in known:
-                    known[s] = [{"begin": b, "end": e, "score": x} for b, e, x in align_hits(s, motif, limit, match, mismatch, insert, delete)]
+            for s, hits in zip(once, align_many(once, motif, limit, match, mismatch, insert, delete), strict=True):
+                known[s] = [{"begin": b, "end": e, "score": x} for b, e, x in hits]
             yield pd.Series([known[s] for s in given])
 
     return run(seq)

@@ -28,7 +28,12 @@ NATIVE = {
 def motif_hits(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     """Hits of a motif at the default scores and threshold."""
     for seqs, motifs in batches:
-        yield pd.Series([None if s is None or m is None else [{"begin": b, "end": e, "score": x} for b, e, x in M.align_hits(s, m, M.default_threshold(m))] for s, m in zip(seqs, motifs, strict=True)])
+        out: list[list | None] = [None] * len(seqs)
+        for m in motifs.dropna().unique():
+            at = [k for k, (s, own) in enumerate(zip(seqs, motifs, strict=True)) if own == m and s is not None]
+            for k, hits in zip(at, M.align_many([seqs.iloc[k] for k in at], m, M.default_threshold(m)), strict=True):
+                out[k] = [{"begin": b, "end": e, "score": x} for b, e, x in hits]
+        yield pd.Series(out)
 
 
 def register(spark: SparkSession) -> list[str]:
