@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from repseq.functions.align import align_global
+from repseq.functions.multiple import progressive_alignment
 
 GAP = "-"
 
@@ -54,7 +55,8 @@ def plurality(aligned: Sequence[str], weights: Sequence[int]) -> str:
 
 
 def consensus_of(seqs: Sequence[str], weights: Sequence[int]) -> str:
-    return seqs[0] if len(seqs) == 1 else plurality(star_alignment(seqs, weights), weights)
+    """The plurality of the progressive alignment of weighted sequences."""
+    return seqs[0] if len(seqs) == 1 else plurality(progressive_alignment(seqs, weights), weights)
 
 
 def pair_consensus(a: str, b: str, trusted: Iterable[str], k: int = 11) -> str:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -13,6 +14,7 @@ from repseq.functions.dna import kmers
 from repseq.operators import consensus as C
 from repseq.operators.cluster import graph_cluster, hierarchical_cluster
 from repseq.operators.shared import materialise
+from repseq.operators.simjoin import edit_distance_join
 
 TRUSTED_K = 11
 
@@ -110,12 +112,25 @@ def correct_reads(members: DataFrame, threshold: int = 4, cutoff: float = 4.0, c
     reads the side with more trusted k-mers; trusted are those of the sample's pluralities of
     more than two reads. Pairs are few and look up only their own k-mers.
     """
+    return correct_parts(split_clusters(members, threshold, cutoff), compat)
+
+
+def split_clusters(members: DataFrame, threshold: int = 4, cutoff: float = 4.0) -> DataFrame:
+    """``members`` (sample, cluster, seq, qty) summed per sequence, plus ``pre``, its component at ``threshold`` edits in the cluster, and ``part``, its average-linkage cluster in that. Written to the shared folder. One join gives the pairs for both."""
     members = materialise(members.groupBy("sample", "cluster", "seq").agg(F.sum("qty").cast("long").alias("qty")))
-    scope = F.concat_ws("\x1f", "sample", "cluster")
-    parted = graph_cluster(members.withColumn("scope", scope), threshold, "scope").withColumnRenamed("cluster", "pre")
-    pre = materialise(members.withColumn("scope", scope).join(parted, ["scope", "seq"]))
-    fine = hierarchical_cluster(pre.select("sample", "cluster", "pre", "seq", "qty"), cutoff, ("sample", "cluster", "pre"))
-    made = materialise(C.consensus_clusters(materialise(fine), ["sample", "cluster", "part"]))
+    scoped = members.withColumn("scope", F.struct("sample", "cluster"))
+    edges = materialise(edit_distance_join(scoped, max(threshold, math.floor(cutoff)), "scope"))
+    parted = graph_cluster(scoped, threshold, "scope", edges=edges.where(F.col("dist") <= threshold)).withColumnRenamed("cluster", "pre")
+    pre = materialise(scoped.join(parted, ["scope", "seq"]).select("sample", "cluster", "pre", "seq", "qty"))
+    inside = pre.select(F.struct("sample", "cluster").alias("scope"), F.col("seq").alias("src"), "pre")
+    other = inside.select("scope", F.col("src").alias("dst"), F.col("pre").alias("__other"))
+    within = edges.join(inside, ["scope", "src"]).join(other, ["scope", "dst"]).where("pre = __other").select("scope.sample", "scope.cluster", "pre", "src", "dst", "dist")
+    return materialise(hierarchical_cluster(pre, cutoff, ("sample", "cluster", "pre"), edges=within))
+
+
+def correct_parts(fine: DataFrame, compat: bool = True) -> DataFrame:
+    """The consensus of each part of ``split_clusters``."""
+    made = materialise(C.consensus_clusters(fine, ["sample", "cluster", "part"]))
     pairs = made.where("kind = 'pair'")
     trusted = trusted_kmers(made.where("kind = 'plurality'"))
     asked = pairs.select("sample", "cluster", "part", "a", "b", F.explode(F.array_union(kmers(F.col("a"), TRUSTED_K), kmers(F.col("b"), TRUSTED_K))).alias("kmer"))

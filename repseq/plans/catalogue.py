@@ -449,6 +449,27 @@ def hier_cluster(spark, sf_dir):
     return cluster.hierarchical_cluster(rows).select("sample", "seq", "part")
 
 
+def _turned(places: tuple[int, ...]) -> str:
+    """SQL of ``true_core`` with the bases at some places turned into their complements."""
+    out, at = [], 1
+    for p in places:
+        out += [f"substring(true_core, {at}, {p - at})", f"translate(substring(true_core, {p}, 1), 'ACGT', 'TGCA')"]
+        at = p + 1
+    return " || ".join([*out, f"substring(true_core, {at}, 1000)"])
+
+
+#: Of each clone three sequences, 2, 4 and 6 edits apart: the first two join, then the mean of 4 and 6 keeps the third out.
+_CHAIN = f"SELECT DISTINCT sample, CAST(clone % 12 AS BIGINT) AS cluster, true_core AS v0, {_turned((10, 30))} AS v1, {_turned((10, 30, 50, 70, 90, 110))} AS v2 FROM uniq"
+
+
+@query(f"SELECT sample, seq, part FROM (SELECT sample, unnest([v0, v1, v2]) AS seq, unnest([least(v0, v1), least(v0, v1), v2]) AS part FROM ({_CHAIN}) c) x")
+def hier_cluster_split(spark, sf_dir):
+    """Groups of several clones, each a chain that average linkage cuts."""
+    chain = spark.sql(_CHAIN.replace("FROM uniq", "FROM {uniq}"), uniq=synth.unique(spark, sf_dir))
+    rows = chain.select("sample", "cluster", F.explode(F.array("v0", "v1", "v2")).alias("seq"))
+    return cluster.hierarchical_cluster(rows).select("sample", "seq", "part")
+
+
 @query(_with(_FOUND, "SELECT f.sample, f.seq, f.cdr, t.cdr AS true_cdr FROM found f JOIN (SELECT sample, clone, arg_min(cdr, (-weight, cdr)) AS cdr FROM (SELECT sample, clone, cdr, sum(qty) AS weight FROM found GROUP BY ALL) w GROUP BY sample, clone) t ON t.sample = f.sample AND t.clone = f.clone"))
 def cdr_correct(spark, sf_dir):
     found = _found(spark, sf_dir).where("cdr IS NOT NULL").withColumnRenamed("clone", "cluster")
