@@ -14,12 +14,15 @@ from pyspark.sql.types import StructType
 
 from repseq.llm.learning import remainder
 from repseq.llm.textcore import give_back, lean, scrambled
+from repseq.operators.shared import materialise
 
 ORDER = 5
 FOLDS = 4
 #: Characters of each language to learn from, and the longest text among them.
 SAMPLE_CHARS = 1_500_000
 SAMPLE_TEXT = 50_000
+#: Characters of all languages together: with more languages each has fewer, so that the models, which are broadcast, have a bound of their own.
+TOTAL_CHARS = 48_000_000
 #: Texts of each language that set the rejection.
 CALIBRATION_TEXTS = 150
 #: Characters scored at a time; longer texts go in pieces.
@@ -304,8 +307,8 @@ def calibrate(found: Identifier, texts: Sequence[str], langs: Sequence[str]) ->
     found.sharpness = -min(losses)[1]
 
 
-def sampled(docs: DataFrame, sample_chars: int = SAMPLE_CHARS, sample_text: int = SAMPLE_TEXT) -> DataFrame:
-    """``(lang, text)``: of each language different texts of about ``sample_chars`` characters, or all it has, picked by a hash of the text.
+def sampled(docs: DataFrame, sample_chars: int = SAMPLE_CHARS, sample_text: int = SAMPLE_TEXT, total_chars: int = TOTAL_CHARS) -> DataFrame:
+    """``(lang, text)``: of each language different texts of about ``sample_chars`` characters, or all it has, picked by a hash of the text; of many languages, so many of each as make ``total_chars`` together.
 
     A text of more than ``sample_text`` characters goes in pieces of that size: all of
     them, or, where they are more than ``sample_chars``, as many as make that, spread
@@ -321,21 +324,23 @@ def sampled(docs: DataFrame, sample_chars: int = SAMPLE_CHARS, sample_text: int
     per = pieces.select("lang", F.xxhash64("text").alias("at"), size.alias("size")).distinct().groupBy("lang").agg(F.sum("size").alias("chars"))
     draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     share = F.lit(0.0)
-    for r in per.collect():  # one row a language
+    rows = per.collect()  # one a language
+    sample_chars = max(1, min(sample_chars, total_chars // max(len(rows), 1)))
+    for r in rows:
         share = F.when(F.col("lang") == r.lang, F.lit(min(1.0, sample_chars / max(r.chars, 1)))).otherwise(share)
     picked = pieces.where(draw < share).distinct()
     running = F.sum(size).over(Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text"))
-    return picked.withColumn("sofar", running).where(F.col("sofar") <= 2 * sample_chars + sample_text).drop("sofar")
+    return picked.withColumn("sofar", running).where(F.col("sofar") <= 2 * sample_chars + min(sample_text, sample_chars)).drop("sofar")
 
 
 def train(docs: DataFrame, learn, sample_chars: int = SAMPLE_CHARS, sample_text: int = SAMPLE_TEXT) -> Identifier:
     """An identifier of the languages in ``docs.lang``, from rows that ``learn`` allows.
 
     One task a language makes its model of what ``sampled`` picks, so a task and the
-    driver hold a sample and models of bounded size. Every eighth text picked is kept
+    driver hold a sample and models of bounded size, and all models together those of ``TOTAL_CHARS`` characters. Every eighth text picked is kept
     for calibration instead. A language needs one text with a letter.
     """
-    picked = sampled(docs.where(learn), sample_chars, sample_text)
+    picked = materialise(sampled(docs.where(learn), sample_chars, sample_text))  # read twice
     test = F.pmod(F.xxhash64(F.lit("calibration"), "text"), F.lit(8)) == 0
     held = picked.where(test).select("lang", "text", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")).alias("n")).where(F.col("n") <= CALIBRATION_TEXTS).collect()
 
@@ -384,8 +389,12 @@ def learnable():
 
 
 def recognised(docs: DataFrame) -> DataFrame:
-    """``docs`` without the documents that language identification rejects: no letters, or far above the cross-entropy of the nearest language."""
-    return identified(docs, train(docs, learnable())).where("NOT lang_rejected").select(*docs.columns)
+    """``docs`` without the documents that language identification rejects: no letters, or far above the cross-entropy of the nearest language. Columns of its own names are given back as they were."""
+    found = train(docs, learnable())
+    own = ["lang_pred", "lang_score", "lang_entropy", "lang_rejected"]
+    hidden = {c: f"__given_{c}" for c in docs.columns if c in own}
+    out = identified(docs.withColumnsRenamed(hidden), found).where("NOT lang_rejected")
+    return out.select(*(F.col(hidden.get(c, c)).alias(c) for c in docs.columns))
 
 
 def predicted(docs: DataFrame, **options) -> DataFrame:

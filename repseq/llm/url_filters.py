@@ -6,10 +6,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+#: A name of more characters or labels is no host name.
+HOST_CHARS, HOST_LABELS = 253, 127
+
+
 def host_of(url: Column) -> Column:
-    """The host of an absolute URL in lower case, without user and port; empty for anything else."""
-    host = F.regexp_extract(F.lower(url), r"^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:@]+)", 1)
-    return F.coalesce(F.rtrim(host, F.lit(".")), F.lit(""))
+    """The host of an absolute URL in lower case, without user, port and dots at the end; empty for anything else, names of more than 253 characters or 127 labels included."""
+    host = F.rtrim(F.regexp_extract(F.lower(url), r"^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:@]+)", 1), F.lit("."))
+    short = F.when(F.length(host) <= HOST_CHARS, host)
+    return F.coalesce(F.when(F.size(F.split(short, r"\.")) <= HOST_LABELS, short), F.lit(""))
 
 
 def host_keys(host: Column) -> Column:
@@ -40,7 +45,7 @@ def active_entries(captures: DataFrame, intervals: DataFrame) -> DataFrame:
     Days on which a key is asked for stand among the days on which its entries begin and
     end, each once, however many captures ask; a running sum gives how many are active as
     of each. So a key has at most as many rows as there are days, and a host with a third of all captures
-    is one row a day. Null or unusual URLs have an empty host, and with a null day, no entries;
+    is one row a day. Null or unusual URLs, and those whose host is too long to be one (``host_of``), have an empty host, and with a null day, no entries;
     repeated captures stay; empty tables give no rows or no entries. Columns of those names are replaced.
     """
     given = captures.drop("host", "n_entries", "categories")
@@ -90,10 +95,12 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE = r"""
-WITH c AS (
-  SELECT page_id, coalesce(rtrim(regexp_extract(lower(url), '^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1), '.'), '') AS host,
+WITH u AS (
+  SELECT page_id, coalesce(rtrim(regexp_extract(lower(url), '^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1), '.'), '') AS name,
     CAST(DATE '2015-01-01' + CAST((page_id * 7919) % 3650 AS INTEGER) AS DATE) AS fetched_on
   FROM pages
+), c AS (
+  SELECT page_id, CASE WHEN length(name) <= 253 AND len(string_split(name, '.')) <= 127 THEN name ELSE '' END AS host, fetched_on FROM u
 ), k AS (
   SELECT host, unnest(CASE WHEN host = '' THEN [] WHEN len(string_split(host, '.')) < 2 THEN [host] ELSE
     list_transform(range(1, len(string_split(host, '.'))), lambda i: array_to_string(list_slice(string_split(host, '.'), i, len(string_split(host, '.'))), '.')) END) AS key

@@ -136,3 +136,20 @@ def test_copies_and_long_texts_leave_the_sample_whole(spark):
     assert sorted(whole, key=long.index) == [long[k : k + 1_000] for k in range(0, len(long), 1_000)]
     spread = [long.index(r.text) for r in L.sampled(docs.where("lang = 'bb'"), 10_000, 1_000).collect()]
     assert max(spread) > len(long) / 2
+
+
+def test_many_languages_share_one_budget(spark):
+    rows = [(k, " ".join(f"w{k}{i % 7}{i}" for i in range(40)), f"l{k % 20:02d}") for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    picked = L.sampled(docs, sample_chars=5_000, total_chars=40_000).collect()
+    assert len({r.lang for r in picked}) == 20
+    per = {lang: sum(len(r.text) for r in picked if r.lang == lang) for lang in {r.lang for r in picked}}
+    assert max(per.values()) <= 3 * 2_000
+    assert sum(per.values()) < sum(len(r.text) for r in L.sampled(docs, sample_chars=5_000).collect())
+
+
+def test_columns_of_its_own_names_stay(spark):
+    docs = spark.createDataFrame([(k, "the quick brown fox jumps over the lazy dog again and again", "en", f"x{k}") for k in range(40)], "doc_id long, text string, lang string, lang_pred string")
+    out = L.recognised(docs)
+    assert out.columns == docs.columns
+    assert sorted(r.lang_pred for r in out.collect()) == sorted(f"x{k}" for k in range(40))

@@ -59,3 +59,18 @@ def test_hosts_of_many_labels_are_looked_up_whole(spark):
     captures = spark.createDataFrame([(1, f"http://{host}/", D(2020, 2, 1)), (2, f"http://x{host}/", D(2020, 2, 1))], "page_id long, url string, fetched_on date")
     got = {r.page_id: (r.n_entries, r.categories) for r in U.active_entries(captures, table).collect()}
     assert got == {1: (2, "adult,spam"), 2: (1, "adult")}
+
+
+def test_hosts_too_long_to_be_one(spark):
+    label = "a" * 62
+    long = [".".join([label] * 4), ".".join([label] * 4) + "aa", ".".join([label] * 4) + "aaa", ".".join(["b"] * 127), ".".join(["b"] * 128), ".".join(["c"] * 6000)]
+    assert [len(x) for x in long[:3]] == [251, 253, 254]
+    pages = spark.createDataFrame([(i, f"http://{h}/x", "") for i, h in enumerate(long)], "page_id long, url string, html string")
+    captures = U.captures_of(pages)
+    got = U.active_entries(captures, U.validity_intervals(U.entries_of(captures))).orderBy("page_id").collect()
+    assert [r.host for r in got] == [long[0], long[1], "", long[3], "", ""]
+    db = duckdb.connect()
+    rows = pages.toPandas()  # noqa: F841  DuckDB reads it by name
+    db.sql("CREATE VIEW pages AS SELECT * FROM rows")
+    assert [r[:2] for r in sorted(db.sql(U.ORACLE).fetchall())] == [(r.page_id, r.host) for r in got]
+    assert len(spark.createDataFrame([(long[3],)], "host string").select(U.host_keys(F.col("host")).alias("k")).first().k) == 126
