@@ -123,6 +123,29 @@ def levenshtein_to(one: str, others: list[str]) -> np.ndarray:
     return row[np.arange(len(others)), [len(s) for s in others]]
 
 
+def levenshtein_within(a: str, b: str, limit: int) -> bool:
+    """Whether two sequences are at most ``limit`` edits apart: cells that far from the diagonal alone are looked at."""
+    if abs(len(a) - len(b)) > limit:
+        return False
+    far = limit + 1
+    row = {d: d for d in range(limit + 1)}  # edits to reach each diagonal (letters of b less those of a) at the row
+    for i in range(1, len(a) + 1):
+        new: dict[int, int] = {}
+        for d in range(-min(limit, i), limit + 1):
+            j = i + d
+            if j > len(b):
+                break
+            cost = row.get(d + 1, far) + 1
+            if j:
+                cost = min(cost, row.get(d, far) + (a[i - 1] != b[j - 1]), new.get(d - 1, far) + 1)
+            if cost <= limit:
+                new[d] = cost
+        if not new:
+            return False
+        row = new
+    return row.get(len(b) - len(a), far) <= limit
+
+
 ALIGNED = "struct<a:string,b:string,start_a:int,start_b:int,score:int>"
 
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from repseq.functions.align import align_global, differing_columns
+from repseq.functions.align import differing_columns, levenshtein_within, substitutions
 from repseq.functions.dna import kmers
 from repseq.operators import consensus as C
 from repseq.operators.cluster import graph_cluster, hierarchical_cluster
@@ -32,6 +33,115 @@ def _true_of(c1: str, w1: int, c2: str, w2: int, ratio: float) -> str:
     return c2
 
 
+class Rows:
+    """Sequences as rows of letters, padded with 0, to compare one with many."""
+
+    def __init__(self, seqs: Sequence[str]):
+        self.seqs = list(seqs)
+        self.size = np.array([len(s) for s in seqs], np.int64)
+        self.table = np.zeros((len(seqs), int(self.size.max(initial=0)) + 1), np.uint32)
+        self.counts: dict[int, np.ndarray] = {}
+        for k, s in enumerate(self.seqs):
+            self.table[k, : len(s)] = self._codes(s)
+
+    @staticmethod
+    def _codes(s: str) -> np.ndarray:
+        return np.frombuffer(s.encode("utf-32-le"), np.uint32)
+
+    def put(self, k: int, s: str) -> None:
+        """Another sequence in place of one."""
+        if len(s) >= self.table.shape[1]:
+            self.table = np.pad(self.table, ((0, 0), (0, len(s) + 1 - self.table.shape[1])))
+        self.seqs[k], self.size[k] = s, len(s)
+        self.table[k] = 0
+        self.table[k, : len(s)] = self._codes(s)
+
+    def one_gap(self, k: int, others: np.ndarray) -> np.ndarray:
+        """Of each of ``others``, the fewest differing letters of an alignment with ``k`` whose only gap is one run, as long as their lengths differ by."""
+        out = np.zeros(len(others), np.int64)
+        own, n = self.table[k], int(self.size[k])
+        for d in np.unique(self.size[others] - n).tolist():
+            at = np.flatnonzero(self.size[others] - n == d)
+            rows, short = self.table[others[at]], min(n, n + d)
+            left = rows[:, :short] != own[:short]
+            right = rows[:, d : d + short] != own[:short] if d > 0 else rows[:, :short] != own[-d : short - d]
+            before = np.concatenate([np.zeros((len(at), 1), np.int64), np.cumsum(left, axis=1)], axis=1)
+            after = np.concatenate([np.zeros((len(at), 1), np.int64), np.cumsum(right, axis=1)], axis=1)
+            out[at] = (before + after[:, -1:] - after).min(axis=1)
+        return out
+
+    def contained(self, k: int, others: np.ndarray) -> np.ndarray:
+        """Whether the shorter of ``k`` and each of ``others`` is what is left of the longer without some letters."""
+        own, n = self.table[k], int(self.size[k])
+        longer = self.size[others] >= n
+        out = np.zeros(len(others), bool)
+        for flag in (True, False):
+            at = np.flatnonzero(longer == flag)
+            rows, row = self.table[others[at]], np.arange(len(at))
+            done = np.zeros(len(at), np.int64)
+            for j in range(rows.shape[1] if flag else n):
+                done += (rows[:, j] == own[done]) & (done < n) if flag else (rows[row, done] == own[j]) & (done < self.size[others[at]])
+            out[at] = done == (n if flag else self.size[others[at]])
+        return out
+
+    def costs(self, k: int, others: np.ndarray, differ: int) -> np.ndarray:
+        """Least costs of alignments with ``k``: 2 a gap, ``differ`` a pair of different letters."""
+        rows, own = self.table[others], self.table[k, : int(self.size[k])]
+        along = 2 * np.arange(rows.shape[1] + 1)
+        row = np.tile(along, (len(others), 1))
+        for i in range(1, len(own) + 1):
+            new = row + 2
+            new[:, 1:] = np.minimum(new[:, 1:], row[:, :-1] + differ * (rows != own[i - 1]))
+            new[:, 0] = 2 * i
+            row = np.minimum.accumulate(new - along, axis=1) + along
+        return row[np.arange(len(others)), self.size[others]]
+
+    def apart(self, k: int, others: np.ndarray) -> np.ndarray:
+        """At least so many edits lie between ``k`` and each of ``others``: by the letters they have."""
+        more, less = np.zeros(len(others), np.int64), np.zeros(len(others), np.int64)
+        for c in np.unique(self.table[k]).tolist():
+            if c:
+                own = (self.table[others] == c).sum(axis=1) - int((self.table[k] == c).sum())
+                more, less = more + np.maximum(own, 0), less + np.maximum(-own, 0)
+        return np.maximum(np.maximum(more, less), np.abs(self.size[others] - self.size[k]))
+
+
+def alike_but_gaps(rows: Rows, k: int, others: np.ndarray) -> np.ndarray:
+    """Whether the global alignment (0, -1, -2) of ``k`` with each of ``others`` has no two different letters in a column.
+
+    So it is where the shorter is contained in the longer: no alignment costs less than the gaps their
+    lengths ask for. Otherwise it needs a gap on either side more, at a cost of 4, so an alignment with
+    1 to 3 differing letters and the asked gaps is better. What is left is decided by the costs with and
+    without differing letters, and where those are equal by the alignment itself.
+    """
+    few = rows.one_gap(k, others)
+    out = few == 0
+    some = np.flatnonzero(~out & (np.abs(rows.size[others] - rows.size[k]) > 1))
+    if len(some):
+        out[some] = rows.contained(k, others[some])
+    left = np.flatnonzero(~out & (few > 3))
+    if len(left):
+        left = left[rows.costs(k, others[left], 1) == rows.costs(k, others[left], 4)]
+        for i in left.tolist():
+            out[i] = substitutions(rows.seqs[k], rows.seqs[int(others[i])]) == 0
+    return out
+
+
+def near_in_columns(rows: Rows, k: int, others: np.ndarray, limit: int) -> np.ndarray:
+    """Whether the global alignment of ``k`` with each of ``others`` has at most ``limit`` columns that differ.
+
+    It has no more than it costs, and no fewer than the edits between them; only what lies between those bounds is aligned.
+    """
+    gaps = np.abs(rows.size[others] - rows.size[k])
+    out = rows.one_gap(k, others) + 2 * gaps <= limit
+    left = np.flatnonzero(~out & (gaps <= limit))
+    left = left[rows.apart(k, others[left]) <= limit]
+    for i in left.tolist():
+        a, b = rows.seqs[k], rows.seqs[int(others[i])]
+        out[i] = levenshtein_within(a, b, limit) and differing_columns(a, b) <= limit
+    return out
+
+
 def merge_variants(reads: Sequence[tuple[str, str, int]], ratio: float, limit: int) -> dict[str, str]:
     """CDR -> the CDR it merges into, for ``(cdr, seq, qty)`` rows of one component.
 
@@ -39,40 +149,52 @@ def merge_variants(reads: Sequence[tuple[str, str, int]], ratio: float, limit: i
     substitution merge. Second pass, ordered anew: pairs whose consensus reads differ in
     at most ``limit`` columns merge. ``_true_of`` says which stays; reads and weight move
     to it, and the consensus of both is made anew when next asked for.
+
+    Each CDR in turn is compared with all that are left at once, and again with those behind
+    the place of a merge that changed its consensus.
     """
     members: dict[str, list[tuple[str, int]]] = {}
     for cdr, seq, qty in sorted(reads):
         members.setdefault(cdr, []).append((seq, qty))
     weight = {c: sum(q for _, q in m) for c, m in members.items()}
     into = {c: c for c in members}
-    made: dict[str, str] = {}
+    follow: dict[str, list[str]] = {c: [c] for c in members}
 
     def consensus(c: str) -> str:
-        if c not in made:
-            made[c] = C.consensus_of([s for s, _ in members[c]], [q for _, q in members[c]])
-        return made[c]
-
-    def alike_but_gaps(c1: str, c2: str) -> bool:
-        got = align_global(c1, c2)
-        return not any(p != q and C.GAP not in (p, q) for p, q in zip(got.a, got.b, strict=True))
+        return C.consensus_of([s for s, _ in members[c]], [q for _, q in members[c]])
 
-    for same in (alike_but_gaps, lambda c1, c2: differing_columns(consensus(c1), consensus(c2)) <= limit):
+    for first in (True, False):
         order = sorted(members, key=lambda c: (-weight[c], c))
-        gone: set[str] = set()
+        rows = Rows(order if first else [consensus(c) for c in order])
+        gone = np.zeros(len(order), bool)
         for i, c1 in enumerate(order):
-            for c2 in order[i + 1 :]:
-                if c1 in gone:
+            at = i + 1
+            while not gone[i]:
+                others = np.flatnonzero(~gone[at:]) + at
+                if not len(others):
+                    break
+                same = alike_but_gaps(rows, i, others) if first else near_in_columns(rows, i, others, limit)
+                met = others[same]
+                if not len(met):
+                    break
+                for j in met.tolist():
+                    c2, at = order[j], j + 1
+                    stays = _true_of(c1, weight[c1], c2, weight[c2], ratio)
+                    goes = c2 if stays == c1 else c1
+                    members[stays] += members.pop(goes)
+                    weight[stays] += weight.pop(goes)
+                    gone[j if goes == c2 else i] = True
+                    for c in follow.pop(goes):
+                        into[c] = stays
+                        follow[stays].append(c)
+                    kept = i if stays == c1 else j
+                    before = rows.seqs[kept]
+                    if not first:
+                        rows.put(kept, consensus(stays))
+                    if gone[i] or rows.seqs[kept] != before:
+                        break
+                else:
                     break
-                if c2 in gone or not same(c1, c2):
-                    continue
-                stays = _true_of(c1, weight[c1], c2, weight[c2], ratio)
-                goes = c2 if stays == c1 else c1
-                members[stays] += members.pop(goes)
-                weight[stays] += weight.pop(goes)
-                gone.add(goes)
-                into = {c: stays if t == goes else t for c, t in into.items()}
-                made.pop(stays, None)
-                made.pop(goes, None)
     return into
 
 
