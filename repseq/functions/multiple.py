@@ -66,7 +66,7 @@ def steps(a: Profile, b: Profile) -> tuple[np.ndarray, np.ndarray, float]:
 
 def spread(rows: list[np.ndarray], columns: np.ndarray) -> list[np.ndarray]:
     """Rows in new columns, gaps where there is none."""
-    if len(rows[0]) == len(columns):
+    if not rows or len(rows[0]) == len(columns):
         return rows
     return [np.where(columns < 0, np.uint8(0), r[columns]) if len(r) else np.zeros(len(columns), np.uint8) for r in rows]
 
@@ -145,16 +145,18 @@ def _score(a: Profile, b: Profile, left: np.ndarray, right: np.ndarray) -> float
     return score + float((INDEL * (1 - fa[left[right < 0], 0])).sum() + (INDEL * (1 - fb[right[left < 0], 0])).sum())
 
 
-def progressive_alignment(seqs: Sequence[str], weights: Sequence[float]) -> list[str]:
-    """Strings of one length, in the order given.
+def letters_of(seqs: Sequence[str]) -> list[str]:
+    """Letters in order; the code of one is its place from 1."""
+    return sorted(set("".join(seqs)) - {GAP})
+
+
+def aligned(seqs: Sequence[str], weights: Sequence[float], letters: Sequence[str]) -> Profile:
+    """The alignment of weighted sequences, one at least.
 
-    The ``TREE`` heaviest sequences (of equals the least) are joined along a guide tree of mean
+    The ``TREE`` heaviest (of equals the least) are joined along a guide tree of mean
     distances between their words; the rest are added to the profile one by one. Then each is once taken out and
     aligned again. Sequences may repeat; empty ones are all gaps.
     """
-    if not seqs:
-        return []
-    letters = sorted(set("".join(seqs)) - {GAP})
     code = {c: k + 1 for k, c in enumerate(letters)}
     codes = [np.array([code[c] for c in s if c != GAP], np.uint8 if len(letters) < 255 else np.uint32) for s in seqs]
     order = sorted(range(len(seqs)), key=lambda k: (-weights[k], seqs[k], k))
@@ -165,10 +167,24 @@ def progressive_alignment(seqs: Sequence[str], weights: Sequence[float]) -> list
     whole = held[0]
     for k in later:
         whole = joined(whole, profile_of(k, codes[k], float(weights[k]), len(letters) + 1))
-    if len(seqs) > 2:
-        whole = refined(whole, order, [float(w) for w in weights])
+    return refined(whole, order, [float(w) for w in weights]) if len(seqs) > 2 else whole
+
+
+def progressive_alignment(seqs: Sequence[str], weights: Sequence[float]) -> list[str]:
+    """Strings of one length, in the order given: the rows of ``aligned``."""
+    if not seqs:
+        return []
+    letters = letters_of(seqs)
+    whole = aligned(seqs, weights, letters)
     table = np.array([GAP, *letters])
     out = [""] * len(seqs)
     for k, row in zip(whole.members, whole.rows, strict=True):
         out[k] = "".join(table[row])
     return out
+
+
+def heaviest(profile: Profile, letters: Sequence[str]) -> str:
+    """The heaviest letter of each column, gaps counted as one and then left out; of equals a letter, the least."""
+    turned = np.hstack([profile.weights[:, 1:], profile.weights[:, :1]])  # the gap last
+    best = turned.argmax(axis=1)
+    return "".join(letters[k] for k in best.tolist() if k < len(letters))

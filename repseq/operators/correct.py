@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from repseq.functions.align import differing_columns, levenshtein_within, substitutions
 from repseq.functions.dna import kmers
+from repseq.functions.multiple import Profile, aligned, heaviest, joined, letters_of
 from repseq.operators import consensus as C
 from repseq.operators.cluster import graph_cluster, hierarchical_cluster
 from repseq.operators.shared import materialise
@@ -148,7 +149,7 @@ def merge_variants(reads: Sequence[tuple[str, str, int]], ratio: float, limit: i
     First pass, heaviest first (of equals, the least CDR): pairs whose alignment has no
     substitution merge. Second pass, ordered anew: pairs whose consensus reads differ in
     at most ``limit`` columns merge. ``_true_of`` says which stays; reads and weight move
-    to it, and the consensus of both is made anew when next asked for.
+    to it. Its consensus then comes from the alignment of the two profiles, so a merge costs one alignment, however many reads meet.
 
     Each CDR in turn is compared with all that are left at once, and again with those behind
     the place of a merge that changed its consensus.
@@ -160,12 +161,17 @@ def merge_variants(reads: Sequence[tuple[str, str, int]], ratio: float, limit: i
     into = {c: c for c in members}
     follow: dict[str, list[str]] = {c: [c] for c in members}
 
-    def consensus(c: str) -> str:
-        return C.consensus_of([s for s, _ in members[c]], [q for _, q in members[c]])
+    letters = letters_of([s for m in members.values() for s, _ in m])
+    profiles: dict[str, Profile] = {}
+
+    def profiled(c: str) -> str:
+        whole = aligned([s for s, _ in members[c]], [q for _, q in members[c]], letters)
+        profiles[c] = Profile([], [], whole.weights, whole.total)
+        return heaviest(whole, letters)
 
     for first in (True, False):
         order = sorted(members, key=lambda c: (-weight[c], c))
-        rows = Rows(order if first else [consensus(c) for c in order])
+        rows = Rows(order if first else [profiled(c) for c in order])
         gone = np.zeros(len(order), bool)
         for i, c1 in enumerate(order):
             at = i + 1
@@ -190,7 +196,8 @@ def merge_variants(reads: Sequence[tuple[str, str, int]], ratio: float, limit: i
                     kept = i if stays == c1 else j
                     before = rows.seqs[kept]
                     if not first:
-                        rows.put(kept, consensus(stays))
+                        profiles[stays] = joined(profiles[stays], profiles.pop(goes))
+                        rows.put(kept, heaviest(profiles[stays], letters))
                     if gone[i] or rows.seqs[kept] != before:
                         break
                 else:

@@ -12,6 +12,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from repseq.operators.scope import current_scope
+
 try:
     _LIBC = ctypes.CDLL("libc.so.6")
     _LIBC.malloc_trim  # noqa: B018
@@ -53,7 +55,10 @@ def small_batches(spark: SparkSession, most: int = 2 << 20) -> SparkSession:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the shared folder, with its lineage cut."""
+    """``df`` computed once and kept in the shared folder, with its lineage cut: in the folder of the run's scope where there is one, else as a checkpoint."""
+    scope = current_scope()
+    if scope is not None:
+        return scope.keep(df)
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 

@@ -415,7 +415,7 @@ def edit_join_blocked(spark, sf_dir):
 
 @query(f"SELECT * FROM ({_NAME_PAIRS}) p ORDER BY dist, src, dst LIMIT 1", reads=False)
 def closest_pair(spark, sf_dir):
-    return levenshtein_pairs(spark, sf_dir).orderBy("dist", "src", "dst").limit(1)
+    return simjoin.closest_pair(_names(spark, sf_dir))
 
 
 _COMPONENTS = """WITH RECURSIVE n AS MATERIALIZED ({nodes}), e AS MATERIALIZED (SELECT a.g, a.seq AS a, b.seq AS b FROM n a JOIN n b ON a.g = b.g AND a.seq <> b.seq AND levenshtein(a.seq, b.seq) <= 2),

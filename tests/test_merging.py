@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from repseq.functions.align import differing_columns, levenshtein_to, levenshtein_within, substitutions
-from repseq.operators import consensus as C
+from repseq.functions.multiple import aligned, heaviest, joined, letters_of
 from repseq.operators import correct
 
 
@@ -30,8 +30,10 @@ def pair_by_pair(reads, ratio, limit):
         members.setdefault(cdr, []).append((seq, qty))
     weight = {c: sum(q for _, q in m) for c, m in members.items()}
     into = {c: c for c in members}
-    consensus = lambda c: C.consensus_of([s for s, _ in members[c]], [q for _, q in members[c]])
+    letters, profiles = letters_of([s for m in members.values() for s, _ in m]), {}
+    consensus = lambda c: heaviest(profiles[c], letters)
     for same in (lambda a, b: substitutions(a, b) == 0, lambda a, b: differing_columns(consensus(a), consensus(b)) <= limit):
+        profiles = {c: aligned([s for s, _ in m], [q for _, q in m], letters) for c, m in members.items()}
         order, gone = sorted(members, key=lambda c: (-weight[c], c)), set()
         for i, c1 in enumerate(order):
             for c2 in order[i + 1 :]:
@@ -42,6 +44,7 @@ def pair_by_pair(reads, ratio, limit):
                 heavy = weight[c1] / weight[c2] >= ratio or len(c1) % 3 == 0 or len(c2) % 3
                 stays, goes = (c1, c2) if heavy else (c2, c1)
                 members[stays] += members.pop(goes)
+                profiles[stays] = joined(profiles[stays], profiles.pop(goes))
                 weight[stays] += weight.pop(goes)
                 gone.add(goes)
                 into = {c: stays if t == goes else t for c, t in into.items()}
