@@ -188,7 +188,7 @@ def routes(path: str) -> dict[str, list[str]]:
 
 def read_routed(spark: SparkSession, path: str) -> DataFrame:
     """``(file, read_id, seq)`` of all FASTA files of a folder; ``file`` is the route, without numbers."""
-    name = F.regexp_replace(F.regexp_replace(F.col("_metadata.file_path"), r"^.*?" + re.escape(path.rstrip("/").rpartition("/")[2]) + "/", ""), r"\.\d{5}(?=\.[^./]*$|$)", "")
+    name = F.regexp_replace(F.regexp_replace(F.col("_metadata.file_path"), r"^.*?/" + re.escape(store(path)[1].strip("/")) + "/", ""), r"\.\d{5}(?=\.[^./]*$|$)", "")
     return read_fasta(spark, path, last_wins=False, extra={"file": name}).select("file", "read_id", "seq")
 
 

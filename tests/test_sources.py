@@ -1,12 +1,13 @@
 import json
+import re
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from repseq import cli
-from repseq.plans import synth
-from repseq.sources import fasta, fastq
+from repseq.plans import pipeline, synth
+from repseq.sources import fasta, fastq, routed
 from repseq.sources.config import read_config
 from repseq.streaming import reads as S
 
@@ -87,10 +88,10 @@ def test_stream_equals_batch(spark, tmp_path):
     assert got == {str(r.read_id): r.status for r in rows}
 
 
-def test_command_line(spark, tmp_path):
+def test_command_line(spark, tmp_path, capsys):
     rows = synth.unique(spark, "/root/testdata/sf0.001").limit(20).collect()
     (tmp_path / "x.fasta").write_text("".join(f">r{k}\n{r.seq}\n" for k, r in enumerate(rows)))
-    for args in (["graph-clust", "-m", "2"], ["hierarchical-clust"], ["motif-scan", "YYC"]):
+    for args in (["graph-clust", "-m", "2", "-k", "11"], ["hierarchical-clust", "-q"], ["motif-scan", "YYC", "-q"]):
         out = str(tmp_path / args[0])
         assert cli.main([*args, str(tmp_path / "x.fasta"), out], spark) == 0
         assert spark.read.text(out).count() > 0
@@ -98,5 +99,15 @@ def test_command_line(spark, tmp_path):
     (tmp_path / "c.json").write_text(json.dumps([dict(zip(keys, r[:-1], strict=True)) for r in synth.config_rows()]))
     reads = synth.reads(spark, "/root/testdata/sf0.001").limit(150).collect()
     (tmp_path / "r.fasta").write_text("".join(f">{r.read_id}\n{r.seq}\n" for r in reads))
-    assert cli.main(["pipeline", str(tmp_path / "r.fasta"), "-c", str(tmp_path / "c.json"), "-o", str(tmp_path / "o")], spark) == 0
-    assert (tmp_path / "o" / "sample=s0").exists()
+    members = [n for line in (tmp_path / "graph-clust").glob("part-*") for n in re.findall(r"^=Cluster_\d+_(\d+)$", line.read_text(), re.M)]
+    assert sum(map(int, members)) == 20
+    assert cli.main(["pipeline", str(tmp_path / "r.fasta"), "-c", str(tmp_path / "c.json"), "-o", str(tmp_path / "o"), "-d", "-n", "r1"], spark) == 0
+    found = {str(p.relative_to(tmp_path / "o")) for p in (tmp_path / "o").rglob("*") if p.is_file()}
+    assert {f"s{k}/s{k}{x}" for k in range(3) for x in (".fasta", "_corrected.fasta", ".cl")} | {"filtered.fasta"} <= found
+    said = capsys.readouterr().err
+    assert "demultiplexed: s0 ok: " in said and "corrected-0: s1: " in said
+    want = sorted((r.sample, r.seq) for r in pipeline.run(fasta.read_fasta(spark, str(tmp_path / "r.fasta")), synth.config(spark)).collect())
+    got = sorted((r.file.split("/")[0], r.seq) for r in routed.read_routed(spark, str(tmp_path / "o")).where("file LIKE '%_corrected.fasta'").collect())
+    assert got == want
+    clusters = routed.read_cluster_files(spark, str(tmp_path / "o" / "s0"))
+    assert clusters.where("cluster_id NOT RLIKE '^Cluster_[0-9]+_[0-9]+$' OR read_id NOT RLIKE '^Seq[0-9]+_[0-9]+$' OR cdr = ''").count() == 0 < clusters.count()
