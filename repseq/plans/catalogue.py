@@ -43,7 +43,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # --- scalar functions ---------------------------------------------------------------
 
 
-@query(f"SELECT read_id, reverse(translate(seq, '{dna.IUPAC + dna.IUPAC.lower()}', '{dna.COMPLEMENT + dna.COMPLEMENT.lower()}')) AS rc FROM reads")
+@query("SELECT read_id, reverse(translate(seq, 'ACGTNacgtn', 'TGCANtgcan')) AS rc FROM reads")
 def reverse_complement(spark, sf_dir):
     return synth.reads(spark, sf_dir).select("read_id", dna.reverse_complement(F.col("seq")).alias("rc"))
 
@@ -69,15 +69,26 @@ def kmers(spark, sf_dir):
     return synth.ok_reads(spark, sf_dir).select("read_id", dna.kmers(F.col("seq"), 21).alias("kmers"))
 
 
-_MAP = "MAP {" + ", ".join(f"'{c}': '{a}'" for c, a in dna.CODONS.items()) + "}"
+_CODON_ROWS = "SELECT substring(seq, CAST(3 * i + 1 AS INT), 3) AS codon FROM (SELECT seq, unnest(range(0, length(seq) // 3)) AS i FROM uniq) x"
 
 
-@query(f"SELECT codon, aa FROM (SELECT unnest(map_entries({_MAP})) AS e) x, LATERAL (SELECT e.key AS codon, e.value AS aa) y", reads=False)
+def _base(k: int) -> str:
+    return f"(strpos('TCAG', substring(seq, CAST(i * 3 + {k} AS INT), 1)) - 1)"
+
+
+#: The standard code in the order TCAG of its three bases, as published; the reads have no other letters.
+_CODE = f"substring('FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG', CAST(16 * {_base(1)} + 4 * {_base(2)} + {_base(3)} + 1 AS INT), 1)"
+
+
+@query(f"SELECT codon, {_CODE.replace('seq', 'codon').replace('i * 3', '0')} AS aa, count(*) AS n FROM ({_CODON_ROWS}) c GROUP BY codon")
 def codon_table(spark, sf_dir):
-    return spark.createDataFrame(list(dna.CODONS.items()), "codon string, aa string")
+    """The codons of all unique reads, what each stands for, and how often it occurs."""
+    codons = F.transform(F.sequence(F.lit(0), F.floor(F.length("seq") / 3).cast("int") - 1), lambda i: F.substring(F.col("seq"), i * 3 + 1, F.lit(3)))
+    rows = synth.unique(spark, sf_dir).where("length(seq) >= 3").select(F.explode(codons).alias("codon"))
+    return rows.groupBy("codon").agg(F.count("*").alias("n")).select("codon", dna.translate_protein(F.col("codon")).alias("aa"), "n")
 
 
-@query(f"SELECT sample, seq, array_to_string(list_transform(range(0, length(seq) // 3), lambda i: coalesce({_MAP}[upper(substring(seq, CAST(i * 3 + 1 AS INT), 3))], 'X')), '') AS protein FROM uniq")
+@query(f"SELECT sample, seq, array_to_string(list_transform(range(0, length(seq) // 3), lambda i: {_CODE}), '') AS protein FROM uniq")
 def translate_protein(spark, sf_dir):
     return synth.unique(spark, sf_dir).select("sample", "seq", dna.translate_protein(F.col("seq")).alias("protein"))
 
@@ -183,11 +194,18 @@ def scan_clusters(spark, sf_dir):
     return fasta.read_clusters(spark, path).select("cluster_id", "read_id", "seq")
 
 
-@query("SELECT * FROM (VALUES " + ", ".join("(" + ", ".join(f"'{x}'" if isinstance(x, str) else str(x) for x in r) + ")" for r in synth.config_rows()) + ") t(sampleName, forwardMid, reverseMid, forwardPrimer, reversePrimer, cdr3Start, cdr3End, cdr3Threshold, sequenceThreshold, cfg_ord)", reads=False)
+_MID = "substring(translate(md5({0} || s_name), '0123456789abcdef', 'ACGTACGTACGTACGT'), 1, {1})"
+_SAMPLES = f"""SELECT s_name AS sampleName, {_MID.format("'a'", 10)} AS forwardMid, {_MID.format("'b'", 10)} AS reverseMid, {_MID.format("'c'", 22)} AS forwardPrimer, {_MID.format("'d'", 25)} AS reversePrimer,
+  ARRAY{{0}}'YYC'{{1}} AS cdr3Start, ARRAY{{0}}'WG[QKR]'{{1}} AS cdr3End, CAST(s_nationkey % 3 + 1 AS INT) AS cdr3Threshold, CAST(s_nationkey % 5 AS INT) AS sequenceThreshold, CAST(row_number() OVER (ORDER BY s_suppkey) - 1 AS INT) AS cfg_ord FROM"""
+
+
+@query(f"{_SAMPLES.format('[', ']')} supplier", reads=False)
 def scan_config(spark, sf_dir):
+    """A configuration of a sample a supplier, written as one JSON array and read again."""
     path = _scratch(spark)
-    rows = synth.config(spark).orderBy("cfg_ord").drop("cfg_ord").agg(F.to_json(F.array_sort(F.collect_list(F.struct("*")))).alias("j"))
-    fasta.write_text(rows, "j", path)
+    rows = spark.sql(_SAMPLES.format("(", ")") + " {supplier}", supplier=_table(spark, sf_dir, "supplier"))
+    one = rows.agg(F.array_sort(F.collect_list(F.struct("cfg_ord", F.struct(*(c for c in rows.columns if c != "cfg_ord")).alias("c")))).alias("all"))
+    fasta.write_text(one.select(F.to_json(F.transform("all", lambda x: x.c)).alias("j")), "j", path)
     return read_config(spark, path)
 
 
@@ -525,9 +543,11 @@ def align_nonmutual(spark, sf_dir):
     return _pairs(spark, sf_dir).withColumn("g", align.nonmutual_align(F.col("a"), F.col("b"))).select("sample", "a", "b", "g.score")
 
 
-@query("SELECT sample, seq, CAST(60 AS INT) AS score, CAST(100 AS INT) AS start_a FROM uniq")
+@query("SELECT sample, seq, CAST(40 + clone % 20 AS INT) AS score, CAST(100 + clone % 37 AS INT) AS start_a FROM uniq")
 def local_align(spark, sf_dir):
-    rows = synth.unique(spark, sf_dir).withColumn("g", align.local_align(F.col("seq"), F.substring("seq", 101, 60)))
+    """A piece of each read, of 40 to 59 bases from 100 to 136 on, between letters that match nothing."""
+    piece = F.substring(F.col("seq"), (F.lit(101) + F.col("clone") % 37).cast("int"), (F.lit(40) + F.col("clone") % 20).cast("int"))
+    rows = synth.unique(spark, sf_dir).withColumn("g", align.local_align(F.col("seq"), F.concat(F.lit("----"), piece, F.lit("--"))))
     return rows.select("sample", "seq", "g.score", "g.start_a")
 
 
@@ -560,7 +580,7 @@ def primer_clip(spark, sf_dir):
 
 # --- the whole ----------------------------------------------------------------------
 
-@query()
+@query("SELECT sample, 'p' || CAST(clone AS VARCHAR) AS cluster, min(true_core) AS seq, CAST(count(DISTINCT seq) + 1 AS BIGINT) AS n_reads FROM uniq WHERE seq <> true_core GROUP BY sample, clone")
 def pair_consensus(spark, sf_dir):
     """Clusters of two single reads, made of the first two variants of each clone, resolved by trusted k-mers."""
     u = synth.unique(spark, sf_dir).select("sample", "seq", F.lit(1).cast("long").alias("qty"), "clone", "true_core")

@@ -8,8 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Clones; raise by multiples of 60 for more distinct sequences.
-CLONES = 60
+#: Clones, as SQL: 60 for each 6,000 orders begun, so that distinct sequences grow with the table. A multiple of 60, as sample, V region and length of the loop go by the customer.
+CLONES = "(60 * (1 + CAST(floor((SELECT count(*) FROM orders) / 6000.0) AS BIGINT)))"
 
 #: Adapters of the three samples: barcode and primer of either side.
 ADAPTERS = [
@@ -48,7 +48,7 @@ def _adapter(side: int) -> str:
     return f"CASE s WHEN 0 THEN '{whole[0]}' WHEN 1 THEN '{whole[1]}' ELSE '{whole[2]}' END"
 
 
-def reads_sql(clones: int = CLONES) -> str:
+def reads_sql(clones: str | int = CLONES) -> str:
     """The rows of ``reads``: read_id, ord, seq, sample, clone, status, core (with its error), true_core."""
     v = " || ".join(_dna(f"'v' || {_text('u % 12')} || '_{i}'") for i in range(5))
     loop = f"substring({_dna(f"'ca' || {_text('clone')}")} || {_dna(f"'cb' || {_text('clone')}")}, 1, cast(36 + 3 * (u % 5) as int))"
@@ -80,7 +80,7 @@ def _rows(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     return spark.sql(sql.replace("FROM orders", "FROM {orders}"), orders=orders)
 
 
-def reads(spark: SparkSession, sf_dir: str, clones: int = CLONES) -> DataFrame:
+def reads(spark: SparkSession, sf_dir: str, clones: str | int = CLONES) -> DataFrame:
     return _rows(spark, sf_dir, reads_sql(clones))
 
 
