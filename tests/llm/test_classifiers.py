@@ -109,3 +109,41 @@ def test_cut():
     assert learning.best_cut(np.array([0.0, 1, 2, 8, 9]), np.array([0, 0, 0, 1, 1])) == 5
     assert learning.best_cut(np.array([1.0, 1.0]), np.array([1, 1])) == 0
     assert math.isclose(learning.shifted(np.array([5.0]), 5.0)[0], 0.3)
+
+
+def test_gradients_of_the_toxicity_network_against_finite_differences():
+    """One step of Adagrad from a known start moves each weight by its gradient, as differences of the loss give it."""
+    rng = np.random.default_rng(11)
+    sizes = [1, 2, 3, 5, 9, 4]
+    firsts = np.concatenate([[0], np.cumsum(sizes)])
+    rows = rng.integers(1, 30, (int(firsts[-1]), 3))
+    vectors = rng.normal(0, 0.5, (30, toxicity.DIM)).astype(np.float32)
+    vectors[0] = 0
+    labels = np.array([1, 0, 1, 1, 0, 0])
+    start = toxicity.train(rows, firsts, labels, vectors.copy(), epochs=0)
+    moved = toxicity.train(rows, firsts, labels, vectors.copy(), epochs=1, step=len(sizes), rate=0.05)
+    x = vectors[rows].sum(axis=1).astype(np.float64)
+
+    def loss(banks, bias, out, last):
+        net = toxicity.Net([b.astype(np.float64) for b in banks], bias, out, last)
+        best, _ = net.pooled(x, firsts)
+        z = np.maximum(best + bias, 0) @ out + last
+        return float(np.mean(np.logaddexp(0, z) - labels * z))
+
+    own = ([b.astype(np.float64) for b in start.banks], start.bias.astype(np.float64), start.out.astype(np.float64), float(start.last))
+    checked = 0
+    for part, now in (*((own[0][k], moved.banks[k]) for k in range(len(own[0]))), (own[1], moved.bias), (own[2], moved.out)):
+        for at in rng.integers(0, part.size, 40):
+            place = np.unravel_index(at, part.shape)
+            kept = part[place]
+            part[place] = kept + 1e-5
+            above = loss(*own)
+            part[place] = kept - 1e-5
+            below = loss(*own)
+            part[place] = kept
+            grad = (above - below) / 2e-5
+            want = -0.05 * grad / np.sqrt(1e-6 + grad**2)
+            if abs(grad) > 1e-4:
+                checked += 1
+                assert abs((now[place] - kept) - want) < 2e-3, (place, grad)
+    assert checked > 40
