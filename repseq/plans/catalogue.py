@@ -601,7 +601,7 @@ def read_correct(spark, sf_dir):
     return correct.correct_reads(rows).select("sample", "cluster", "seq", "qty", "n_reads")
 
 
-@query(f"SELECT sample, substring(seq, 161, length(seq) - 201) AS cdr, seq, qty, n_reads FROM ({_TRUTH}) t")
+@query(_with(_FOUND, f"SELECT t.sample, f.cdr, t.seq, t.qty, t.n_reads FROM ({_TRUTH}) t JOIN found f ON f.sample = t.sample AND f.seq = t.seq"))
 def pipeline_reads(spark, sf_dir):
     return flagship(spark, sf_dir)
 
