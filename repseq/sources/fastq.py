@@ -13,8 +13,12 @@ from repseq.operators.dedup import dedup_last_by_id
 from repseq.sources.store import data_files, store
 
 SPLIT_BYTES = 64 << 20
-#: Bytes read at a time.
+#: Of more than so many pieces, one task reads some neighbouring small ones, up to so many bytes, piece by piece.
+TASKS, TASK_BYTES = 64, 8 << 20
+#: Most bytes read at a time; pieces smaller than that are read as such.
 CHUNK = 4 << 20
+#: Rows of a batch, about: small pieces are put together to that.
+BATCH_ROWS = 4096
 #: Records in a row that must look like records for the first to be taken as one.
 AGREE = 4
 
@@ -23,19 +27,27 @@ _SCHEMA = pa.schema([("read_id", pa.string()), ("seq", pa.string()), ("ord", pa.
 
 @dataclass
 class Split(InputPartition):
-    """Bytes ``lo`` to ``hi`` of the ``number``-th file: the records that begin in them."""
+    """Bytes ``lo`` to ``hi`` of the ``number``-th file, in pieces of ``step`` bytes if given: the records that begin in them."""
 
     number: int
     path: str
     lo: int
     hi: int | None
+    step: int | None = None
+
+    def pieces(self) -> Iterator[Split]:
+        if self.hi is None or not self.step:
+            yield self
+            return
+        for lo in range(self.lo, self.hi, self.step):
+            yield Split(self.number, self.path, lo, min(self.hi, lo + self.step))
 
 
 class Lines:
     """Lines of a stream from a place on, with where each begins; a carriage return at the end goes."""
 
-    def __init__(self, stream, at: int):
-        self.stream, self.at = stream, at
+    def __init__(self, stream, at: int, chunk: int = CHUNK):
+        self.stream, self.at, self.chunk = stream, at, chunk
         self.lines: list[bytes] = []
         self.begins: list[int] = []
         self.rest, self.ended = b"", False
@@ -43,8 +55,10 @@ class Lines:
     def fill(self, n: int) -> bool:
         """Whether ``n`` lines are there, after reading on if need be."""
         while len(self.lines) < n and not self.ended:
-            chunk = self.stream.read(CHUNK)
+            chunk = self.stream.read(self.chunk)
             self.ended = not chunk
+            if b"\n" not in chunk:  # a line longer than that: more at a time, so that it is not put together bit by bit
+                self.chunk = min(CHUNK, 2 * self.chunk)
             parts = (self.rest + chunk).split(b"\n")
             self.rest = b"" if self.ended else parts.pop()
             if self.ended and parts == [b""]:
@@ -86,13 +100,15 @@ class FastqReader(DataSourceReader):
         self.path, self.split_bytes = path, split_bytes
 
     def partitions(self) -> list[InputPartition]:
-        """Files in pieces of ``split_bytes``; compressed ones whole."""
+        """Files in pieces of ``split_bytes``, small ones some to a task; compressed files whole. Tasks go by bytes, however small the pieces are."""
+        files = data_files(self.path)
+        whole = self.split_bytes * max(1, min(TASK_BYTES, sum(size for _, size in files) // TASKS) // self.split_bytes)
         out: list[InputPartition] = []
-        for k, (path, size) in enumerate(data_files(self.path)):
+        for k, (path, size) in enumerate(files):
             if path.endswith(".gz"):
                 out.append(Split(k, path, 0, None))
             else:
-                out += [Split(k, path, lo, min(size, lo + self.split_bytes)) for lo in range(0, size, self.split_bytes)]
+                out += [Split(k, path, lo, min(size, lo + whole), self.split_bytes) for lo in range(0, size, whole)]
         return out or [Split(0, "", 0, 0)]
 
     def read(self, partition: Split) -> Iterator[pa.RecordBatch]:
@@ -101,19 +117,41 @@ class FastqReader(DataSourceReader):
             return
         system, path = store(partition.path)
         if partition.hi is None:
-            stream, at = system.open_input_stream(path, compression="gzip"), 0
+            stream = system.open_input_stream(path, compression="gzip")
         else:
-            stream, at = system.open_input_file(path), max(0, partition.lo - 1)
-            stream.seek(at)
+            stream = system.open_input_file(path)
+        held: list[list] = [[] for _ in _SCHEMA]
         with stream:
-            lines = Lines(stream, at)
-            if partition.lo > 0:
-                lines.fill(1)
-                lines.skip(1)  # up to the first line that begins in the split
-                record_start(lines)
-            yield from self._batches(lines, partition)
-
-    def _batches(self, lines: Lines, split: Split) -> Iterator[pa.RecordBatch]:
+            for piece in partition.pieces():
+                for columns in self._records(self._lines(stream, piece), piece):
+                    for have, more in zip(held, columns, strict=True):
+                        have += more
+                    if len(held[0]) >= BATCH_ROWS:
+                        yield self._batch(held)
+                        held = [[] for _ in _SCHEMA]
+        if held[0]:
+            yield self._batch(held)
+
+    @staticmethod
+    def _batch(columns: list[list]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _SCHEMA.types, strict=True)], schema=_SCHEMA)
+
+    @staticmethod
+    def _lines(stream, piece: Split) -> Lines:
+        """Lines from the first record on that begins in the piece."""
+        if piece.hi is None:
+            return Lines(stream, 0)
+        at = max(0, piece.lo - 1)
+        stream.seek(at)
+        lines = Lines(stream, at, min(CHUNK, max(1024, piece.hi - piece.lo)))
+        if piece.lo > 0:
+            lines.fill(1)
+            lines.skip(1)  # up to the first line that begins in the piece
+            record_start(lines)
+        return lines
+
+    def _records(self, lines: Lines, split: Split) -> Iterator[list[list]]:
+        """Columns of the records that begin in the piece."""
         while lines.fill(1):
             blank = next((k for k, x in enumerate(lines.lines) if x.strip()), len(lines.lines))
             if blank:
@@ -131,9 +169,8 @@ class FastqReader(DataSourceReader):
                 raise ValueError(f"{split.path}: the record at byte {begins[good]} is not FASTQ")
             n = min(good, past)
             ids = [h[1:].split(b" ", 1)[0].split(b"\t", 1)[0].decode("latin-1") for h in heads[:n]]
-            columns = [ids, [s.decode("latin-1") for s in seqs[:n]], [(split.number << 44) + b for b in begins[:n]], [q.decode("latin-1") for q in quals[:n]]]
             if n:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _SCHEMA.types, strict=True)], schema=_SCHEMA)
+                yield [ids, [s.decode("latin-1") for s in seqs[:n]], [(split.number << 44) + b for b in begins[:n]], [q.decode("latin-1") for q in quals[:n]]]
             if past <= good and past < len(begins):
                 return
             lines.skip(4 * n)

@@ -54,6 +54,40 @@ def test_fastq_any_cut(tmp_path_factory, seed, split):
     assert [r[:3] for r in rows_of(path, split)] == want
 
 
+def test_fastq_small_pieces_cost_few_tasks_and_little_reading(tmp_path, monkeypatch):
+    text, want = fastq_text(5, 4000, False)
+    path = tmp_path / "x.fastq"
+    path.write_text(text)
+    reader = FastqReader(str(path), 100)
+    assert len(reader.partitions()) < 128
+    taken = []
+
+    class Counted:
+        def __init__(self, path, **_):
+            self.file = open(path, "rb")
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *_):
+            self.file.close()
+
+        def seek(self, at):
+            self.file.seek(at)
+
+        def read(self, n):
+            taken.append(len(out := self.file.read(n)))
+            return out
+
+    class System:
+        open_input_file = Counted
+
+    monkeypatch.setattr("repseq.sources.fastq.store", lambda path: (System, path))
+    got = [r for part in reader.partitions() for b in reader.read(part) for r in b.column("read_id").to_pylist()]
+    assert len(got) == len(want) == 4000
+    assert sum(taken) < 60 * len(text)  # pieces of 100 bytes, each read as a few KB, not to the end of the file
+
+
 def test_fastq_frame_gz_folders_and_errors(spark, tmp_path):
     text, want = fastq_text(3, 60, False)
     (tmp_path / "a").mkdir()
