@@ -174,6 +174,31 @@ def test_adapter_alignment_equals_the_pairwise_one():
     assert isinstance(score, np.ndarray)
 
 
+def test_windows_are_aligned_once_and_whole_adapters_not_at_all(monkeypatch):
+    rng = random.Random(9)
+    for sample in adapters():
+        adapter = sample.forward
+        reads = [mutated(rng, "".join(rng.choice("ACGT") for _ in range(rng.randrange(6))) + adapter + adapter[:7], rng.randrange(9))[: rng.randrange(50)].encode() for _ in range(400)] + [b"", adapter.encode() * 3]
+        for least in (len(adapter) - 6, 0):
+            score, clip = demux.locate_adapter(demux._table(reads, 40), adapter)
+            known = {}
+            for some in (reads[:200], reads):
+                got = demux.located(some, adapter, 40, least, known)
+                assert got[0].tolist() == score[: len(some)].tolist()
+                assert got[1].tolist() == [c if s >= least else 0 for s, c in zip(score[: len(some)].tolist(), clip[: len(some)].tolist(), strict=True)]
+    rows, plain = [], demux.best_scores
+    monkeypatch.setattr(demux, "best_scores", lambda windows, adapter: rows.append(len(windows)) or plain(windows, adapter))
+    core = "GATTACAGATTACAGGCCTTAACCGGTTAA" * 3
+    demux.assign([adapters()[0].forward + core + rc(adapters()[0].reverse)] * 500 + [core] * 500, adapters())
+    assert sum(rows) <= 10
+
+
+def test_reads_are_dealt_out_and_summed_in_one_pass(spark):
+    assert synth.reads(spark, SF).rdd.getNumPartitions() > spark.read.parquet(f"{SF}/orders.parquet").rdd.getNumPartitions()
+    summary = demux.demux_summary(demux.demultiplex(synth.reads(spark, SF).select("read_id", "seq"), synth.config(spark)), synth.config(spark))
+    assert summary._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
 def test_statuses_of_a_run(spark):
     a, _ = adapters()
     config = spark.createDataFrame([("a", a.forward[:10], a.reverse[:10], a.forward[10:], a.reverse[10:], 0), ("none", "C" * 10, "C" * 10, "G" * 10, "G" * 10, 1)], "sampleName string, forwardMid string, reverseMid string, forwardPrimer string, reversePrimer string, cfg_ord int")
