@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -54,6 +55,25 @@ def test_prefilter_loses_no_pair(spark):
     assert [tuple(r) for r in simjoin.kmer_prefilter(pair, 11, 2).collect()] == [("x", "ACGTACCTACGTAC", "ACGTACGTACGTAC", 0)]
 
 
+def test_pairs_by_blocks_equal_all_pairs_and_are_not_shuffled(spark):
+    rng = random.Random(4)
+    seqs = ["".join(rng.choice("AC") for _ in range(rng.randrange(0, 40))) for _ in range(90)] + ["é" * 5, "C" * 80, None]
+    rows = spark.createDataFrame([(rng.choice("xy"), rng.randrange(12), s) for s in seqs] + [("x", 3, "ACCA")] * 2 + [(None, 1, "A"), ("x", None, "A")], "sample string, cluster int, seq string")
+    left, right = rows.selectExpr("sample", "cluster AS cluster_a", "seq AS a"), rows.selectExpr("sample", "cluster AS cluster_b", "seq AS b")
+    want = left.join(right, "sample").where("cluster_a < cluster_b").groupBy("sample", "cluster_a", "cluster_b").agg(F.avg(F.levenshtein("a", "b").cast("double")).alias("d"))
+    for size in (5, 1000):
+        key = lambda r: (r[:3], r[3])
+        assert sorted(map(tuple, cluster.cluster_pair_distances(rows, block_rows=size).collect()), key=key) == sorted(map(tuple, want.collect()), key=key)
+    few = rows.where("cluster < 4 AND seq IS NOT NULL")
+    bags = {(r.sample, r.seq): Counter(r.seq[i : i + 3] for i in range(len(r.seq) - 2)) for r in few.collect() if r.sample}
+    every = {(*a, b[1]): (bags[a] & bags[b]).total() for a in bags for b in bags if a[0] == b[0] and a[1] < b[1]}
+    got = simjoin.shared_kmers(few, 3, block_rows=7)
+    assert sorted(map(tuple, got.collect())) == sorted((*k, n) for k, n in every.items() if n)
+    assert sorted(map(tuple, simjoin.kmer_prefilter(few, 3, 2, block_rows=7).collect())) == sorted((*k, n) for k, n in every.items() if n >= max(map(len, k[1:])) - 2 - 10)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "src" not in "".join(line for line in plan.splitlines() if "Exchange" in line)
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(0, 40)] + [(rng.randrange(100, 160), rng.randrange(100, 160)) for _ in range(50)] + [(500, k) for k in range(501, 560)] + [(7, 7), (None, 3)]
