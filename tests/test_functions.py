@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -33,6 +35,17 @@ def test_alphabet(spark):
     assert [(r.norm_seq, r.valid) for r in rows] == [("ACGT", True), ("A", False), (None, False), ("A!", False)]
 
 
+def test_kmers_cut_by_place(spark):
+    assert one(spark, "Äb𝒞d", lambda c: dna.kmers(c, 2)) == ["Äb", "b𝒞", "𝒞d"]
+    assert one(spark, "", lambda c: dna.kmers(c, 2)) == []
+    assert one(spark, None, lambda c: dna.kmers(c, 2)) == []
+    rows = spark.range(0, 20, 1, 1).select(F.concat(F.repeat(F.lit("ACGTTGCA"), 2500), F.col("id").cast("string")).alias("c"))
+    began = time.perf_counter()
+    last = rows.select(F.element_at(dna.kmers(F.col("c"), 21), -1).alias("k"), F.size(dna.kmers(F.col("c"), 21)).alias("n")).collect()
+    assert last[19] == ("GCA" + "ACGTTGCA" * 2 + "19", 20_002 - 20) and last[0].n == 20_001 - 20
+    assert time.perf_counter() - began < 12  # places counted from the start would take a second a row
+
+
 def test_kmers_translate_gaps(spark):
     assert one(spark, "ACGT", lambda c: dna.kmers(c, 3)) == ["ACG", "CGT"]
     assert one(spark, "AC", lambda c: dna.kmers(c, 3)) == []
