@@ -226,11 +226,12 @@ def trusted_kmers(clusters: DataFrame, k: int = TRUSTED_K, seq: str = "consensus
 
 
 def trusted_kmer_count(reads: DataFrame, trusted: DataFrame, k: int = TRUSTED_K, keys: Sequence[str] = ("sample", "seq")) -> DataFrame:
-    """How many of a sequence's k-mers are trusted in its sample."""
-    own = reads.select(*keys).distinct().select(*keys, F.explode_outer(kmers(F.col("seq"), k)).alias("kmer"))
+    """How many of a sequence's k-mers are trusted in its sample. K-mers are shuffled with a number, not with the sequence; sequences are written once, so that the numbers stay."""
+    own = materialise(reads.select(*keys).distinct().withColumn("__id", F.monotonically_increasing_id()))
+    asked = own.select("__id", F.col("sample").alias("__s"), F.explode(kmers(F.col("seq"), k)).alias("__k"))
     known = trusted.select(F.col("sample").alias("__s"), F.col("kmer").alias("__k"))
-    hit = own.join(known, (F.col("sample") == F.col("__s")) & (F.col("kmer") == F.col("__k")), "left")
-    return hit.groupBy(*keys).agg(F.count("__k").alias("n_trusted"))
+    counts = asked.join(known, ["__s", "__k"], "left_semi").groupBy("__id").agg(F.count("*").alias("__n"))
+    return own.join(counts, "__id", "left").select(*keys, F.coalesce("__n", F.lit(0)).cast("long").alias("n_trusted"))
 
 
 def correct_reads(members: DataFrame, threshold: int = 4, cutoff: float = 4.0, compat: bool = True) -> DataFrame:

@@ -93,6 +93,20 @@ def test_components(spark):
     assert connected_components(spark.createDataFrame([], "src int, dst int")).count() == 0
 
 
+def test_trusted_kmer_count_shuffles_no_sequence_with_its_kmers(spark):
+    rng = random.Random(5)
+    seqs = ["".join(rng.choice("AC") for _ in range(n)) for n in (3, 10, 11, 40, 40, 60)]
+    rows = [(s, q) for s in ("x", "y") for q in seqs] + [("x", seqs[4]), ("x", None), (None, seqs[5]), ("z", seqs[5])]
+    trust = {(s, q[i : i + 4]) for s, q in rows[:9] if s for i in range(0, len(q) - 3, 3)}
+    trusted = spark.createDataFrame(sorted(trust), "sample string, kmer string")
+    got = correct.trusted_kmer_count(spark.createDataFrame(rows, "sample string, seq string"), trusted, 4)
+    want = {(s, q): sum((s, q[i : i + 4]) in trust for i in range(len(q or "") - 3)) for s, q in rows}
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(((*k, n) for k, n in want.items()), key=str)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    beside = [line.rsplit("], ", 1)[0].rsplit("[", 1)[1] for line in plan.splitlines() if "Generate explode" in line]
+    assert beside and not any("seq" in x for x in beside)
+
+
 def test_average_linkage():
     def with_distances(d, monkey):
         names = sorted({x for p in d for x in p})
