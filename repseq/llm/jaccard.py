@@ -226,7 +226,7 @@ def shared_tokens(docs: DataFrame, width: int, similar: tuple[int, int], expecte
 
 
 def similar_links(docs: DataFrame, rows: DataFrame, width: int, similar: tuple[int, int], kept: list[DataFrame]) -> DataFrame:
-    """``(src, dst)``: pairs of different nodes of at least that Jaccard similarity, whose components are those of all such pairs.
+    """``(src, dst)``: pairs of different nodes whose components are those of all pairs of at least that Jaccard similarity.
 
     First candidates: nodes whose SimHash fingerprints differ in two bits or fewer, found
     by probing parts of correlated bits, and of each list of a shared token every node with the one
@@ -262,6 +262,10 @@ def similar_links(docs: DataFrame, rows: DataFrame, width: int, similar: tuple[i
         both = pairs.join(sets.select(F.col("node").alias("src"), F.col("shingles").alias("a")), "src").join(sets.select(F.col("node").alias("dst"), F.col("shingles").alias("b")), "dst")
         return compact(both.where(f"{num + den}L * SIZE(ARRAY_INTERSECT(a, b)) >= {num}L * (SIZE(a) + SIZE(b))").select("src", "dst"))[0]
 
+    def joined(groups: DataFrame) -> DataFrame:
+        """The least pairs that have these components: rounds over them are fewer than over all pairs."""
+        return groups.where("node <> component").select(F.col("node").alias("src"), F.col("component").alias("dst"))
+
     def labelled(pairs: DataFrame, groups: DataFrame) -> DataFrame:
         """Pairs with the components ``g`` and ``h`` of their ends."""
         out = pairs.join(groups.select(F.col("node").alias("src"), F.col("component").alias("g")), "src", "left").join(groups.select(F.col("node").alias("dst"), F.col("component").alias("h")), "dst", "left")
@@ -279,14 +283,13 @@ def similar_links(docs: DataFrame, rows: DataFrame, width: int, similar: tuple[i
     pairs, _ = compact(passed(pairs))
     sets = sets_of(pairs)
     asked, _ = compact(pairs.select(F.explode(F.array("src", "dst")).alias("end"), F.struct("d", "src", "dst").alias("p")).groupBy("end").agg(F.min("p").alias("p")).select("p.src", "p.dst").distinct())
-    first = verified(asked, sets)
-    groups = small_side(connected_components(first))
+    groups = small_side(connected_components(verified(asked, sets)))
     for _ in range(ROUNDS):
         across = labelled(pairs.join(asked, ["src", "dst"], "left_anti"), groups).where("g <> h")
         nearest = across.select(F.explode(F.array("g", "h")).alias("end"), F.struct("d", "src", "dst").alias("p")).groupBy("end").agg(F.min("p").alias("p"))
         more, _ = compact(nearest.select("p.src", "p.dst").distinct())
-        first, asked = first.unionAll(verified(more, sets)), asked.unionAll(more)
-        groups = small_side(connected_components(first))
+        asked = asked.unionAll(more)
+        groups = small_side(connected_components(joined(groups).unionAll(verified(more, sets))))
     # rank: where the token stands in the set's prefix, tokens of shorter lists before; those that no other set has come first of all
     prefix = lambda n: f"({n} - ({num}L * {n} + {den - 1}) DIV {den} + 1)"
     rank = F.expr(f"{prefix('size')} + 1") - F.row_number().over(Window.partitionBy("node").orderBy(F.desc("held"), F.desc("token")))
@@ -300,7 +303,7 @@ def similar_links(docs: DataFrame, rows: DataFrame, width: int, similar: tuple[i
     fits = f"{den}L * LEAST(n, m) >= {num}L * GREATEST(n, m) AND i <= {prefix('n')} - {more} AND j <= {prefix('m')} - {more}"
     across = x.join(y, "token").where(f"g <> h AND (h = main OR dst < src) AND {fits}").select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).distinct()
     rest, _ = compact(passed(across).select("src", "dst"))
-    return first.unionAll(verified(rest, sets_of(rest)))
+    return joined(groups).unionAll(verified(rest, sets_of(rest)))
 
 
 def similar_groups(docs: DataFrame, kept: list[DataFrame], width: int = WORDS, similar: tuple[int, int] = SIMILAR) -> DataFrame:

@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from repseq.operators.shared import free_shuffles, materialise
+from repseq.operators.shared import compact
+
+#: Rows of the edge table in a file, so that a small table is not read by a task for each shuffle partition.
+FILE_ROWS = 1 << 17
+
+
+def _step(e: DataFrame) -> DataFrame:
+    """Edges ``(a, b)``, a > b, after large-star and small-star."""
+    ends = F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))
+    both = e.select(F.explode(ends).alias("p")).select("p.*")
+    low = both.groupBy("u").agg(F.min(F.least("u", "v")).alias("m"))
+    large = both.where("v > u").join(low, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
+    low = large.groupBy("a").agg(F.min("b").alias("m"))
+    pairs = F.array(F.struct(F.col("a").alias("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))
+    return large.join(low, "a").select(F.explode(pairs).alias("p")).select("p.*").where("a != b").distinct()
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60) -> DataFrame:
@@ -14,26 +28,18 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     Any orderable node type; nulls and self-loops add nothing. Each round takes two
     map-side combined minima and two joins whose minimum side has unique keys, so a
     hub never gathers its neighbours in one task (its join partition can be split).
-    The edge table is written to the shared folder once a round; the number of rounds
+    The edge table is written to the shared folder once a round, in few files; the number of rounds
     is logarithmic in the longest path. An edgeless table gives an empty result.
     """
     a, b = F.col(src), F.col(dst)
-    e = materialise(edges.where(a.isNotNull() & b.isNotNull() & (a != b)).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct())
+    e, _ = compact(edges.where(a.isNotNull() & b.isNotNull() & (a != b)).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct(), FILE_ROWS)
     seen = None
     for _ in range(max_rounds):
-        both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(e.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        low = both.groupBy("u").agg(F.min(F.least("u", "v")).alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a")
-        pairs = F.array(F.struct(F.col("a").alias("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))
-        e = materialise(small.select(F.explode(pairs).alias("p")).select("p.*").where("a != b").distinct())
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(now) == seen:
+        e, n = compact(_step(e), FILE_ROWS)
+        now = n, e.agg(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()[0]
+        if now == seen:
             break
-        seen = tuple(now)
-        del both, low, large, small
-        free_shuffles(e.sparkSession)
+        seen = now
     else:
         raise RuntimeError(f"components not settled in {max_rounds} rounds")
     roots = e.select(F.col("b").alias("node")).distinct()

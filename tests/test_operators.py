@@ -93,6 +93,32 @@ def test_components(spark):
     assert connected_components(spark.createDataFrame([], "src int, dst int")).count() == 0
 
 
+def test_components_of_few_edges_take_few_tasks(spark):
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    sc = spark.sparkContext
+    edges = spark.createDataFrame([(i, i + 1) for i in range(30)], "src int, dst int")
+    first = 1 + max([j for j in sc.statusTracker().getJobIdsForGroup(None)], default=0)
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        got = {r.node: r.component for r in connected_components(edges).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == dict.fromkeys(range(31), 0)
+    tasks, stages = 0, set()
+    for j in range(first, 100_000):
+        job = sc.statusTracker().getJobInfo(j)
+        if job is None:
+            break
+        stages |= set(job.stageIds)
+    for s in stages:
+        info = sc.statusTracker().getStageInfo(s)
+        tasks += info.numCompletedTasks if info else 0
+    assert tasks < 2200  # reading the edges by a task for each partition took 2,810
+
+
 def test_trusted_kmer_count_shuffles_no_sequence_with_its_kmers(spark):
     rng = random.Random(5)
     seqs = ["".join(rng.choice("AC") for _ in range(n)) for n in (3, 10, 11, 40, 40, 60)]
