@@ -260,7 +260,7 @@ def similar_links(docs: DataFrame, rows: DataFrame, width: int, similar: tuple[i
 
     def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         both = pairs.join(sets.select(F.col("node").alias("src"), F.col("shingles").alias("a")), "src").join(sets.select(F.col("node").alias("dst"), F.col("shingles").alias("b")), "dst")
-        return compact(both.where(f"{num + den}L * SIZE(ARRAY_INTERSECT(a, b)) >= {num}L * (SIZE(a) + SIZE(b))").select("src", "dst"))[0]
+        return both.where(f"{num + den}L * SIZE(ARRAY_INTERSECT(a, b)) >= {num}L * (SIZE(a) + SIZE(b))").select("src", "dst")  # read once, for components, which keep what they read
 
     def joined(groups: DataFrame) -> DataFrame:
         """The least pairs that have these components: rounds over them are fewer than over all pairs."""

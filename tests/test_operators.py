@@ -116,7 +116,23 @@ def test_components_of_few_edges_take_few_tasks(spark):
     for s in stages:
         info = sc.statusTracker().getStageInfo(s)
         tasks += info.numCompletedTasks if info else 0
-    assert tasks < 2200  # reading the edges by a task for each partition took 2,810
+    assert tasks < 200  # rounds took 1,604
+
+
+def test_components_of_edges_in_many_pieces(spark):
+    rng = random.Random(3)
+    whole = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)] + [(i, i + 1) for i in range(300, 340)] + [(400, i) for i in range(401, 430)] + [(5, 5), (None, 3)]
+    rng.shuffle(whole)
+    text = [tuple(None if x is None else "é" * (x % 3) + str(x) for x in e) for e in whole]
+    for edges, kind in ((whole, "long"), (text, "string")):
+        up = {x: x for e in edges if None not in e and e[0] != e[1] for x in e}
+        for _ in up:
+            for a, b in edges:
+                if a in up and b in up:
+                    up[a] = up[b] = min(up[a], up[b])
+        for most in (7, 40, 1000):
+            got = connected_components(spark.createDataFrame(edges, f"src {kind}, dst {kind}").repartition(3), most=most).collect()
+            assert len(got) == len(up) and {r.node: r.component for r in got} == up
 
 
 def test_trusted_kmer_count_shuffles_no_sequence_with_its_kmers(spark):
