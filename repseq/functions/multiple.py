@@ -12,7 +12,7 @@ GAP = "-"
 MISMATCH, INDEL = -1.0, -2.0
 #: Letters of a word whose shared number says how near two sequences are; sequences that the guide tree is made for.
 WORD, TREE = 6, 300
-_NEAR = 1e-9
+_NEAR, _SURE = 1e-9, 1e-6
 
 
 @dataclass
@@ -37,6 +37,42 @@ def steps(a: Profile, b: Profile) -> tuple[np.ndarray, np.ndarray, float]:
     A pair of columns costs what its letters cost on average; so does a column across a gap. Of
     equals a pair is preferred to a gap in ``b``, and that to a gap in ``a``, from the end.
     """
+    return fewest_gaps(a, b) or steps_by_table(a, b)
+
+
+def fewest_gaps(a: Profile, b: Profile) -> tuple[np.ndarray, np.ndarray, float] | None:
+    """``steps`` of profiles as long as each other or longer by a column, where the best alignment has no gaps but the one that asks for; else None.
+
+    Any other has a gap on either side more. So if even the cheapest of those cost more than what differs, it is not the best.
+    """
+    n, m = len(a.weights), len(b.weights)
+    if abs(n - m) > 1 or not n or not m:
+        return None
+    fa, fb = a.weights / a.total, b.weights / b.total
+    price = np.full((fa.shape[1],) * 2, MISMATCH)
+    price[0], price[:, 0] = INDEL, INDEL
+    np.fill_diagonal(price, 0)
+    pair, gap_a, gap_b = fa @ price, INDEL * (1 - fb[:, 0]), INDEL * (1 - fa[:, 0])
+    more = float(gap_a.max() + gap_b.max())
+    if n == m:
+        score = float((pair * fb).sum())
+        return (np.arange(n), np.arange(n), score) if score > more + _SURE else None
+    few = min(n, m)
+    left = np.concatenate([[0.0], np.cumsum((pair[:few] * fb[:few]).sum(axis=1))])
+    right = np.concatenate([[0.0], np.cumsum((pair[n - few :] * fb[m - few :]).sum(axis=1)[::-1])])[::-1]
+    gap = gap_b if n > m else gap_a
+    score = left + gap + right
+    best = float(score.max())
+    if best <= float(gap.max()) + more + _SURE:
+        return None
+    record = np.concatenate([[-np.inf], np.maximum.accumulate(score)[:-1]])
+    at = int(np.flatnonzero(score > record + _NEAR)[-1])  # from the end, a pair as long as one before is as good
+    whole, part = np.arange(few + 1), np.concatenate([np.arange(at), [-1], np.arange(at, few)])
+    return (whole, part, best) if n > m else (part, whole, best)
+
+
+def steps_by_table(a: Profile, b: Profile) -> tuple[np.ndarray, np.ndarray, float]:
+    """``steps`` by a table of all prefixes."""
     fa, fb = a.weights / a.total, b.weights / b.total
     price = np.full((fa.shape[1],) * 2, MISMATCH)
     price[0], price[:, 0] = INDEL, INDEL

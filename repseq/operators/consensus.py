@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterable, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from repseq.functions.align import align_global
-from repseq.functions.multiple import progressive_alignment
+from repseq.functions.multiple import aligned, heaviest, letters_of
+from repseq.operators.shared import tasks
 
 GAP = "-"
 
@@ -56,7 +57,10 @@ def plurality(aligned: Sequence[str], weights: Sequence[int]) -> str:
 
 def consensus_of(seqs: Sequence[str], weights: Sequence[int]) -> str:
     """The plurality of the progressive alignment of weighted sequences."""
-    return seqs[0] if len(seqs) == 1 else plurality(progressive_alignment(seqs, weights), weights)
+    if len(seqs) == 1:
+        return seqs[0]
+    letters = letters_of(seqs)
+    return heaviest(aligned(seqs, weights, letters), letters)
 
 
 def pair_consensus(a: str, b: str, trusted: Iterable[str], k: int = 11) -> str:
@@ -103,11 +107,12 @@ def consensus_clusters(members: DataFrame, keys: Sequence[str], seq: str = "seq"
     big = members.join(stats.where("n_reads > 2 AND n_unique > 1").select(*keys), keys)
     kinds = {f.name: f.dataType.simpleString() for f in members.schema.fields}
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(seq, kind="stable")
-        seqs, weights = pdf[seq].tolist(), pdf[weight].tolist()
-        head = {k: pdf[k].iloc[0] for k in keys}
-        return pd.DataFrame([{**head, "consensus": consensus_of(seqs, weights), "n_reads": int(sum(weights)), "n_unique": len(seqs), "kind": "plurality", "a": seqs[0], "b": seqs[-1]}])
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by(seq)
+        seqs, weights = table[seq].to_pylist(), table[weight].to_pylist()
+        head = {k: table[k][:1] for k in keys}
+        return pa.table({**head, "consensus": [consensus_of(seqs, weights)], "n_reads": [int(sum(weights))], "n_unique": [len(seqs)], "kind": ["plurality"], "a": seqs[:1], "b": seqs[-1:]})
 
     schema = ", ".join(f"{k} {kinds[k]}" for k in keys) + ", consensus string, n_reads long, n_unique long, kind string, a string, b string"
-    return simple.unionByName(pairs).unionByName(big.groupBy(*keys).applyInPandas(run, schema))
+    dealt = big.repartition(tasks(members.sparkSession), *keys)  # few bytes, but alignments are the work
+    return simple.unionByName(pairs).unionByName(dealt.groupBy(*keys).applyInArrow(run, schema))
