@@ -15,7 +15,7 @@ from repseq.functions.dna import kmers
 from repseq.functions.multiple import Profile, aligned, heaviest, joined, letters_of
 from repseq.operators import consensus as C
 from repseq.operators.cluster import graph_cluster, hierarchical_cluster
-from repseq.operators.shared import materialise
+from repseq.operators.shared import materialise, tasks
 from repseq.operators.simjoin import edit_distance_join
 
 TRUSTED_K = 11
@@ -217,7 +217,8 @@ def correct_cdrs(reads: DataFrame, ratio: float = 2.0, limit: int = 4, keys: Seq
         return pdf.assign(true_cdr=pdf["cdr"].map(into))
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in reads.schema.fields) + ", true_cdr string"
-    return alone.unionByName(sized.where("__n > 1").drop("__n").groupBy(*keys).applyInPandas(run, schema))
+    dealt = sized.where("__n > 1").drop("__n").repartition(tasks(reads.sparkSession), *keys)  # few bytes, but comparing is the work
+    return alone.unionByName(dealt.groupBy(*keys).applyInPandas(run, schema))
 
 
 def trusted_kmers(clusters: DataFrame, k: int = TRUSTED_K, seq: str = "consensus", group: str = "sample") -> DataFrame:
@@ -265,7 +266,7 @@ def correct_parts(fine: DataFrame, compat: bool = True) -> DataFrame:
     trusted = trusted_kmers(made.where("kind = 'plurality'"))
     asked = pairs.select("sample", "cluster", "part", "a", "b", F.explode(F.array_union(kmers(F.col("a"), TRUSTED_K), kmers(F.col("b"), TRUSTED_K))).alias("kmer"))
     known = asked.join(trusted, ["sample", "kmer"], "left_semi").groupBy("sample", "cluster", "part").agg(F.collect_set("kmer").alias("known"))
-    judged = pairs.join(known, ["sample", "cluster", "part"], "left")
+    judged = pairs.join(known, ["sample", "cluster", "part"], "left").repartition(tasks(fine.sparkSession), "sample", "cluster", "part")
 
     @F.pandas_udf("string")
     def decide(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:

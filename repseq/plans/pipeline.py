@@ -13,7 +13,7 @@ from repseq.operators.correct import correct_cdrs, correct_parts, split_clusters
 from repseq.operators.dedup import dedup_exact
 from repseq.operators.demux import HAS_N, INCOMPLETE, NOMID, OK, demultiplex
 from repseq.operators.scope import RunScope
-from repseq.operators.shared import materialise
+from repseq.operators.shared import materialise, tasks
 from repseq.plans.counts import StageCounts
 
 STATUSES = (OK, INCOMPLETE, NOMID, HAS_N)
@@ -34,7 +34,8 @@ def stages(unique: DataFrame, cdr_threshold: int = 2, seq_threshold: int = 4, ra
     watched = lambda stage, df: df if counts is None else counts.watch(f"{stage}{label}", df)
 
     def merged() -> DataFrame:
-        found = materialise(watched("cdr3", cdr3.with_cdr3(unique, starts, ends).where("cdr IS NOT NULL").select("sample", "seq", "qty", "cdr")))
+        dealt = unique.repartition(tasks(unique.sparkSession), "sample", "seq")  # few bytes, but the motif scans are work
+        found = materialise(watched("cdr3", cdr3.with_cdr3(dealt, starts, ends).where("cdr IS NOT NULL").select("sample", "seq", "qty", "cdr")))
         components = graph_cluster(found.select("sample", F.col("cdr").alias("seq")), cdr_threshold).withColumnRenamed("seq", "cdr")
         return watched("merged", correct_cdrs(materialise(found.join(components, ["sample", "cdr"])), float(cdr_threshold if ratio is None else ratio), limit))
 

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from repseq.operators import cluster, simjoin
+from repseq.operators import cluster, components, consensus, correct, simjoin
 
 
 def mutated(r, s, n, letters="ACGT"):
@@ -64,3 +64,19 @@ def test_groups_near_throughout_pass_by_without_python(spark, monkeypatch):
     assert {x.seq: x.part for x in out.where("cluster = 'o'").collect()} == {"AAAAAAAA": "AAAAAAAA", "AAAAAACC": "AAAAAAAA", "AAAACCCC": "AAAACCCC"}
     monkeypatch.setattr(cluster, "average_linkage", None)  # what goes to Python fails
     assert cluster.hierarchical_cluster(df.where("cluster <> 'o'"), 2.0).count() == 120
+
+
+def test_work_on_few_bytes_is_dealt_out(spark):
+    """Adaptive execution would put groups of few bytes into one task, which a number of partitions that is asked for prevents."""
+    reads = spark.createDataFrame([("s", f"c{k}", f"ACGT{'A' * (k % 3)}", "ACGTACGT", 3) for k in range(9)], "sample string, cluster string, cdr string, seq string, qty long")
+    for df in (correct.correct_cdrs(reads), consensus.consensus_clusters(reads, ["sample", "cluster"])):
+        lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+        at = next(k for k, line in enumerate(lines) if "FlatMapGroups" in line)
+        assert any("REPARTITION_BY_NUM" in line for line in lines[at : at + 4])
+
+
+def test_components_of_few_near_sequences_take_no_rounds(spark, monkeypatch):
+    monkeypatch.setattr(components, "_step", None)
+    rows = spark.createDataFrame([("x", s) for s in ("TTTTTTTT", "AAAAAAAA", "AAAAAAAC", "AAAAAACC", "GGGGGGGG", "GGGGGGGC")] + [("y", "AAAAAACC")], "sample string, seq string")
+    got = {(r.sample, r.seq): r.cluster for r in cluster.graph_cluster(rows, 1).collect()}
+    assert got == {("x", "TTTTTTTT"): "TTTTTTTT", **{("x", s): "AAAAAAAA" for s in ("AAAAAAAA", "AAAAAAAC", "AAAAAACC")}, ("x", "GGGGGGGG"): "GGGGGGGC", ("x", "GGGGGGGC"): "GGGGGGGC", ("y", "AAAAAACC"): "AAAAAACC"}
