@@ -66,9 +66,13 @@ def test_groups_near_throughout_pass_by_without_python(spark, monkeypatch):
     assert cluster.hierarchical_cluster(df.where("cluster <> 'o'"), 2.0).count() == 120
 
 
-def test_work_on_few_bytes_is_dealt_out(spark):
+@pytest.mark.parametrize("partitions", [4, 16, 64])
+def test_work_on_few_bytes_is_dealt_out(spark, request, partitions):
     """Adaptive execution would put groups of few bytes into one task, which a number of partitions that is asked for prevents."""
     reads = spark.createDataFrame([("s", f"c{k}", f"ACGT{'A' * (k % 3)}", "ACGTACGT", 3) for k in range(9)], "sample string, cluster string, cdr string, seq string, qty long")
+    for key, value, before in (("spark.sql.shuffle.partitions", partitions, 4), ("spark.sql.autoBroadcastJoinThreshold", -1, 10 << 20)):
+        spark.conf.set(key, value)
+        request.addfinalizer(lambda key=key, before=before: spark.conf.set(key, before))
     for df in (correct.correct_cdrs(reads), consensus.consensus_clusters(reads, ["sample", "cluster"])):
         lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
         at = next(k for k, line in enumerate(lines) if "FlatMapGroups" in line)
